@@ -37,6 +37,9 @@ SCORE_DECIMALS = 9
 # in several chunks, each under the bound.
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Up to this many (query term, document) pairs a lexical search scores them all
+# in one pass; beyond it makes three passes that skip the frequent terms.
+MAX_SCORED_PAIRS = 2_000_000_000
 
 
 @dataclass(frozen=True)

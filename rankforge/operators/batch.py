@@ -21,27 +21,25 @@ class QueryBatch:
     n_queries: int
     n_tokens: int
 
-    def chunks(self, size: int, limit: int, run: Callable[[QueryBatch], DataFrame]) -> DataFrame:
-        """``run`` over the whole table when ``size`` is under ``limit``, else
-        over as many hash chunks of queries as bring each under it.
+    def chunks(self, size: Callable[[QueryBatch], int], limit: int,
+               run: Callable[[QueryBatch], DataFrame], level: int = 0) -> DataFrame:
+        """``run`` over the whole table when its ``size`` is within ``limit``,
+        else over hash chunks of the queries that are.
 
         Queries are independent of each other, so the union of the chunks is
         the exact result; each chunk costs one more pass over the documents.
         """
-        n = -(-size // limit) if size > limit else 1
-        if n == 1:
+        total = size(self)
+        if total <= limit or self.n_queries <= 1:
             return run(self)
         # twice as many chunks as needed: hashing does not cut evenly
-        n *= 2
-        part = F.pmod(F.xxhash64("query_id"), F.lit(n))
-        cuts = [prepare_queries(self.queries.where(part == i)) for i in range(n)]
-        return reduce(DataFrame.unionByName, (c.chunks(c.scaled(size, self), limit, run) for c in cuts))
-
-    def scaled(self, size: int, whole: QueryBatch) -> int:
-        """``size`` scaled from the whole table to this part of it."""
-        if self.n_queries <= 1:
-            return 0  # one query cannot be cut further
-        return -(-size * max(self.n_queries, 1) // max(whole.n_queries, 1))
+        n = 2 * -(-total // limit)
+        part = F.pmod(F.xxhash64(F.lit(level), "query_id"), F.lit(n))
+        cuts = (prepare_queries(self.queries.where(part == i)) for i in range(n))
+        return reduce(
+            DataFrame.unionByName,
+            [c.chunks(size, limit, run, level + 1) for c in cuts if c.n_queries],
+        )
 
 
 def prepare_queries(queries: DataFrame | QueryBatch) -> QueryBatch:

@@ -134,9 +134,9 @@ def _nearest(vectors: DataFrame, queries: DataFrame | QueryBatch, k: int,
              centres: np.ndarray | None, nprobe_col: str | None, max_bytes: int) -> DataFrame:
     batch = prepare_queries(queries)
     first = vectors.select(F.size("embedding")).where("embedding is not null").first()
-    dim = first[0] if first else 1
+    row_bytes = 8 * (first[0] if first else 1)
     return batch.chunks(
-        batch.n_queries * dim * 8, max_bytes,
+        lambda part: part.n_queries * row_bytes, max_bytes,
         lambda part: _search(vectors.sparkSession, vectors, part, k, centres, nprobe_col),
     )
 

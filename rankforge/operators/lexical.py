@@ -4,7 +4,8 @@ Postings are partitioned by document, as search shards are. The weighted query
 terms are broadcast, so the join with the postings, the sums per (query,
 document) and the first top-k all happen inside one partition; only the k best
 documents per query and partition are shuffled. A term that occurs in every
-document costs work, but no shuffle and no hot task.
+document makes no shuffle and no hot task, and when such terms would make too
+many pairs, exact bounds leave them out.
 """
 
 from __future__ import annotations
@@ -15,9 +16,15 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.config import FIELD_BOOSTS, MAX_BROADCAST_ROWS, SCORE_DECIMALS, Bm25Params
+from rankforge.config import (
+    FIELD_BOOSTS, MAX_BROADCAST_ROWS, MAX_SCORED_PAIRS, SCORE_DECIMALS, Bm25Params,
+)
 from rankforge.operators.batch import QueryBatch, prepare_queries, query_terms
 from rankforge.operators.filters import hard_condition, soft_score
+from rankforge.storage import materialize
+
+# Bounds are sums in another order than the scores: this much room for rounding.
+_MARGIN = 1e-6
 
 
 def top_k(scored: DataFrame, k: int, *, by: str = "score") -> DataFrame:
@@ -35,35 +42,106 @@ def idf(n_docs: Column, df: Column) -> Column:
 
 def weighted_terms(terms: DataFrame, term_stats: DataFrame, field_stats: DataFrame,
                    boosts: Mapping[str, float]) -> DataFrame:
-    """``(query_id, field, term, weight, avgdl)`` for the terms that occur."""
+    """``(query_id, field, term, weight, avgdl, df)`` for the terms that occur."""
     boost = F.create_map(*(F.lit(x) for kv in boosts.items() for x in (kv[0], float(kv[1]))))
     return (
         term_stats.where(F.col("field").isin(list(boosts)))
         .join(F.broadcast(terms), "term")
         .join(F.broadcast(field_stats), "field")  # one row per field
         .select(
-            "query_id", "field", "term", "avgdl",
+            "query_id", "field", "term", "avgdl", "df",
             (boost[F.col("field")] * F.col("qtf") * idf(F.col("n_docs"), F.col("df"))).alias("weight"),
         )
     )
 
 
-def bm25(postings: DataFrame, weighted: DataFrame, params: Bm25Params = Bm25Params()) -> DataFrame:
+def bm25(postings: DataFrame, weighted: DataFrame, params: Bm25Params = Bm25Params(),
+         keys: tuple[str, ...] = ("field", "term")) -> DataFrame:
     """``(query_id, doc_id, score)``: the best field's sum over the query terms.
 
-    Terms are OR-ed. ``weighted`` must be small enough to broadcast.
+    Terms are OR-ed. ``weighted`` must be small enough to broadcast. A
+    ``bonus`` column of the postings (one value per document) is added.
     """
     length = (1 - params.b) + params.b * F.col("dl") / F.col("avgdl")
     part = F.col("weight") * F.col("tf") / (F.col("tf") + params.k1 * length)
     keep = [c for c in ("bonus",) if c in postings.columns]
-    return (
-        postings.join(F.broadcast(weighted), ["field", "term"])
+    scored = (
+        postings.join(F.broadcast(weighted.select("query_id", "field", "term", "weight", "avgdl")), list(keys))
         .select("query_id", "doc_id", "field", part.alias("part"), *keep)
         .groupBy("doc_id", "query_id", "field")
         .agg(F.sum("part").alias("field_score"), *(F.max(c).alias(c) for c in keep))
         .groupBy("doc_id", "query_id")
         .agg(F.max("field_score").alias("score"), *(F.max(c).alias(c) for c in keep))
     )
+    total = F.col("score") + F.col("bonus") if keep else F.col("score")
+    return scored.select("query_id", "doc_id", F.round(total, SCORE_DECIMALS).alias("score"))
+
+
+def _kth_scores(postings: DataFrame, weighted: DataFrame, k: int, params: Bm25Params) -> DataFrame:
+    """``(query_id, floor)``: a score the k-th best document surely reaches.
+
+    It comes from the rarest terms of each query alone: enough of them to meet
+    several times k documents. Every term adds to a score, so what the k-th
+    document gets from some of the terms is a lower bound. A query whose rare
+    terms meet fewer than k documents has no floor.
+    """
+    per_term = weighted.groupBy("query_id", "term").agg(F.sum("df").alias("df"))
+    before = (
+        Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    rare = (
+        per_term.withColumn("_met", F.coalesce(F.sum("df").over(before), F.lit(0)))
+        .where(F.col("_met") < 4 * k).select("query_id", "term")
+    )
+    seeds = weighted.join(rare, ["query_id", "term"], "left_semi")
+    best = top_k(bm25(postings, seeds, params), k)
+    return best.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+
+
+def pruned_bm25(postings: DataFrame, weighted: DataFrame, k: int, params: Bm25Params = Bm25Params(),
+                max_bonus: float = 0.0) -> DataFrame:
+    """The same k best rows as :func:`bm25`, without pairing every query with
+    every document that shares a frequent term (MaxScore, Turtle & Flood 1995).
+
+    A term adds less than its weight to a score. The frequent terms that cannot
+    even together lift a document to the floor of the k-th best need not be
+    looked up on their own: only documents with one of the other terms are
+    scored, and of those only the ones that can still reach the floor in full.
+    """
+    weighted = materialize(weighted, "terms")
+    bounds = weighted.groupBy("query_id", "term").agg(F.max("weight").alias("most"))
+    upto = (
+        Window.partitionBy("query_id").orderBy("most", "term")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    optional = (F.col("_sum") + max_bonus + _MARGIN) < F.coalesce("floor", F.lit(0.0))
+    marked = materialize(
+        bounds.withColumn("_sum", F.sum("most").over(upto))
+        .join(_kth_scores(postings, weighted, k, params), "query_id", "left")
+        .select("query_id", "term", "floor", optional.alias("optional"),
+                F.when(optional, F.col("_sum")).alias("_sum")),
+        "bounds",
+    )
+    needed = weighted.join(
+        F.broadcast(marked.where(~F.col("optional")).select("query_id", "term")),
+        ["query_id", "term"], "left_semi",
+    )
+    limits = marked.groupBy("query_id").agg(
+        F.max("floor").alias("floor"), F.coalesce(F.max("_sum"), F.lit(0.0)).alias("rest")
+    )
+    hopeful = (
+        bm25(postings, needed, params)
+        .join(F.broadcast(limits), "query_id")
+        .where(F.col("floor").isNull() | (F.col("score") + F.col("rest") + _MARGIN >= F.col("floor")))
+        .select("doc_id", "query_id")
+    )
+    # both sides are partitioned by document: no shuffle, and the postings are
+    # streamed past a hash table of one bucket's hopeful pairs
+    vocabulary = weighted.select("field", "term").distinct()
+    candidates = postings.join(F.broadcast(vocabulary), ["field", "term"], "left_semi").join(
+        hopeful.hint("shuffle_hash"), "doc_id"
+    )
+    return bm25(candidates, weighted, params, keys=("query_id", "field", "term"))
 
 
 def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,
@@ -73,11 +151,14 @@ def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,
                    boosts: Mapping[str, float] | None = None,
                    params: Bm25Params = Bm25Params(),
                    should_weight: float = 1.0,
+                   max_pairs: int = MAX_SCORED_PAIRS,
                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the k best documents per query.
 
     Hard filters restrict the documents; soft ones add ``should_weight`` per
-    matched clause to the score of documents that match a query term.
+    matched clause to the score of documents that match a query term. Up to
+    ``max_pairs`` (query term, document) pairs are all scored; beyond that
+    :func:`pruned_bm25` finds the same rows.
     """
     boosts = dict(boosts or FIELD_BOOSTS)
     batch = prepare_queries(queries)
@@ -89,14 +170,18 @@ def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,
         extra = [] if bonus is None else [bonus.alias("bonus")]
         # both tables are bucketed by document: no shuffle
         post = post.join(eligible.select("doc_id", *extra), "doc_id", "inner" if extra else "left_semi")
+    n_docs = index.field_stats.agg(F.max("n_docs")).first()[0] or 0
 
     def run(part: QueryBatch) -> DataFrame:
         terms = weighted_terms(query_terms(part.queries), index.term_stats, index.field_stats, boosts)
-        scored = bm25(post, terms, params)
-        total = F.col("score") if bonus is None else F.col("score") + F.col("bonus")
-        ranked = top_k(
-            scored.select("query_id", "doc_id", F.round(total, SCORE_DECIMALS).alias("score")), k
+        # the count of pairs is only worked out when it can exceed the bound
+        many = part.n_tokens * len(boosts) * n_docs > max_pairs and (
+            (terms.agg(F.sum("df")).first()[0] or 0) > max_pairs
         )
-        return ranked.select("query_id", "rank", "doc_id", "score")
+        if many:
+            scored = pruned_bm25(post, terms, k, params, should_weight * len(should or ()))
+        else:
+            scored = bm25(post, terms, params)
+        return top_k(scored, k).select("query_id", "rank", "doc_id", "score")
 
-    return batch.chunks(batch.n_tokens * len(boosts), max_broadcast_rows, run)
+    return batch.chunks(lambda part: part.n_tokens * len(boosts), max_broadcast_rows, run)

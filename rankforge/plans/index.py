@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ _TABLES = ("docs", "postings")
 _TARGET_BUCKET_BYTES = 128 * 1024 * 1024
 # How much larger than the raw text postings and vectors may be on disk.
 _GROWTH = 2
+_META = "buckets int, encoder string, dim int, centres array<array<double>>"
 
 
 @dataclass(frozen=True)
@@ -79,10 +81,11 @@ def _table(path: str, name: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a complete index is at ``path`` (``meta`` is written last)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/meta/_SUCCESS")
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop.getFileSystem(conf).exists(hadoop)
+    """Whether a complete index is at ``path``: ``meta`` is written last."""
+    try:
+        return not spark.read.schema(_META).parquet(f"{path}/meta").isEmpty()
+    except AnalysisException:
+        return False
 
 
 def build_index(docs: DataFrame, path: str, *, id_col: str = "doc_id",
@@ -129,7 +132,7 @@ def build_index(docs: DataFrame, path: str, *, id_col: str = "doc_id",
         spread.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
     meta = spark.createDataFrame(
         [(n, encoder.name, encoder.dim, None if centres is None else centres.tolist())],
-        "buckets int, encoder string, dim int, centres array<array<double>>",
+        _META,
     )
     meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     return open_index(spark, path, encoder)

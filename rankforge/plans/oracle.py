@@ -400,6 +400,7 @@ def hits(source: str, extra: str = "") -> str:
 _cte("text_scores", "field_scores", "SELECT query_id, doc_id, s FROM field_scores WHERE field = 'text'")
 _oracle("bm25_single_field", "text_scores", hits(ranked("text_scores", "s", 10)))
 _oracle("bm25_best_fields", "bm25", hits(ranked("bm25", "s", 10)))
+_oracle("bm25_pruned", "bm25", hits(ranked("bm25", "s", 10)))
 _cte("bm25_docs", "bm25 docs", "SELECT b.*, title, lang, source, n_chars FROM bm25 b JOIN docs USING (doc_id)")
 _oracle("lexical_search", "bm25_docs", hits(
     ranked("bm25_docs", "s", 20, _DOC_FILTER, ", title, lang, source"), ", title, lang, source"))

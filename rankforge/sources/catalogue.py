@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,25 +138,31 @@ def corpus_profile(docs: DataFrame, words: Column, *, has: dict[str, Column],
     )
 
 
-def upsert(base: DataFrame, batch: DataFrame, key: str = "id", order: str = "pos") -> DataFrame:
-    """Rows of ``batch`` replace rows of ``base`` with the same key; within the
-    batch the highest ``order`` wins. Rows without a key are left out.
+def latest(rows: DataFrame, key: str = "id", order: Sequence[str] = ("pos",)) -> DataFrame:
+    """The row with the highest ``order`` of every key; rows without a key are
+    left out and the order columns dropped.
 
     ``max_by`` keeps one row per key already on the map side, so a key that is
     written over and over never gathers in one task.
     """
-    columns = [c for c in base.columns if c != key]
-    both = base.select(
-        key, F.lit(0).alias("_batch"), F.lit(0).cast("bigint").alias("_pos"),
-        F.struct(*columns).alias("_row"),
-    ).unionByName(
-        batch.where(_present(F.col(key))).select(
-            key, F.lit(1).alias("_batch"), F.col(order).cast("bigint").alias("_pos"),
-            F.struct(*columns).alias("_row"),
+    columns = [c for c in rows.columns if c != key and c not in order]
+    newest = (
+        rows.where(_present(F.col(key)))
+        .select(key, F.struct(*order).alias("_order"), F.struct(*columns).alias("_row"))
+        .groupBy(key).agg(F.max_by("_row", "_order").alias("_row"))
+    )
+    return newest.select(key, *(F.col(f"_row.{c}").alias(c) for c in columns))
+
+
+def upsert(base: DataFrame, batch: DataFrame, key: str = "id", order: str = "pos") -> DataFrame:
+    """Rows of ``batch`` replace rows of ``base`` with the same key; within the
+    batch the highest ``order`` wins."""
+    both = base.select("*", F.lit(0).alias("_batch"), F.lit(0).cast("bigint").alias("_pos")).unionByName(
+        batch.select(
+            *base.columns, F.lit(1).alias("_batch"), F.col(order).cast("bigint").alias("_pos")
         )
     )
-    latest = both.groupBy(key).agg(F.max_by("_row", F.struct("_batch", "_pos")).alias("_row"))
-    return latest.select(key, *(F.col(f"_row.{c}").alias(c) for c in columns)).select(*base.columns)
+    return latest(both, key, ("_batch", "_pos")).select(*base.columns)
 
 
 def upsert_outcome(base: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
@@ -182,6 +190,6 @@ def upsert_outcome(base: DataFrame, batch: DataFrame, key: str = "id") -> DataFr
 
 __all__ = [
     "ARTICLE_SCHEMA", "RAW_PRODUCT_FIELDS", "build_articles", "clean_products",
-    "corpus_profile", "doc_count", "first_n", "parse_json_lines", "read_articles",
+    "corpus_profile", "doc_count", "first_n", "latest", "parse_json_lines", "read_articles",
     "read_raw_products", "save", "upsert", "upsert_outcome",
 ]
