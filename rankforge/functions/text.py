@@ -9,15 +9,18 @@ from rankforge.config import KEYWORD_MAX_CHARS
 
 # Every character Python's ``str.strip`` removes; plain ``trim`` removes only
 # the space.
-_WS = r"[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]"
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _TOKEN = r"[\p{L}\p{N}_]+"
 # What a decimal number looks like once currency signs and commas are gone.
-_NUMBER = rf"^{_WS}*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?{_WS}*$"
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def strip(c: Column) -> Column:
     """Remove white space of every kind, newlines included, from both ends."""
-    return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
+    return F.trim(c, F.lit(_BLANKS))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -58,8 +61,8 @@ def join_items(items: Column) -> Column:
 
 def parse_price(c: Column) -> Column:
     """A price given as ``13.99``, ``$13.99`` or ``1,299.50``; null for junk."""
-    s = F.regexp_replace(F.regexp_replace(strip(c.cast("string")), r"^\$+", ""), ",", "")
-    value = F.when(F.regexp_like(s, F.lit(_NUMBER)), strip(s).try_cast("double"))
+    s = strip(F.replace(F.ltrim(strip(c.cast("string")), F.lit("$")), F.lit(","), F.lit("")))
+    value = F.when(F.regexp_like(s, F.lit(_NUMBER)), s.try_cast("double"))
     return F.when(F.abs(value) < float("inf"), value)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rankforge.config import EMBED_MAX_TOKENS
 from rankforge.functions.text import embedding_text, tokens
+from rankforge.storage import materialize
 
 
 def postings(docs: DataFrame, fields: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -78,6 +79,7 @@ def truncation_report(counts: DataFrame, max_tokens: int = EMBED_MAX_TOKENS,
     Every partition hands on at most ``show`` ids (a top-n, not a collection).
     """
     over = F.col("n_tokens") > max_tokens
+    counts = materialize(counts, "token-counts")  # two numbers per document, read twice
     totals = counts.agg(F.count_if(over).alias("n_over"), F.count(F.lit(1)).alias("n_docs"))
     firsts = (
         counts.where(over).orderBy("doc_id").limit(show)
@@ -105,7 +107,7 @@ def length_statistics(counts: DataFrame, max_tokens: int = EMBED_MAX_TOKENS) ->
 def length_histogram(counts: DataFrame, bins: int = 60) -> DataFrame:
     """Equal-width bins between the shortest and the longest text; the last bin
     includes the maximum."""
-    per_length = counts.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n"))
+    per_length = materialize(counts.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")), "lengths")
     ends = per_length.agg(F.min("n_tokens").alias("lo"), F.max("n_tokens").alias("hi"))
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
     scaled = F.floor((F.col("n_tokens") - lo) * bins / F.greatest(hi - lo, F.lit(1))).cast("int")

@@ -13,7 +13,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,17 +74,12 @@ class HashingEncoder:
     def name(self) -> str:
         return f"hashing-{self.dim}-{self.max_tokens}"
 
-    def hashed(self, text):
-        """Array of bucket numbers, negative (``-1 - bucket``) for a minus sign."""
-
-        def one(t):
-            h = F.md5(t)
-            bucket = F.pmod(F.conv(F.substring(h, 1, 7), 16, 10).cast("int"), F.lit(self.dim))
-            return F.when(F.conv(F.substring(h, 8, 1), 16, 10).cast("int") < 8, bucket).otherwise(
-                -1 - bucket
-            )
-
-        return F.transform(F.slice(tokens(text), 1, self.max_tokens), one)
+    def hashed(self, text: Column) -> Column:
+        """The first eight hex digits of every token's md5, as numbers."""
+        return F.transform(
+            F.slice(tokens(text), 1, self.max_tokens),
+            lambda t: F.conv(F.left(F.md5(t), F.lit(8)), 16, 10).cast("bigint"),
+        )
 
     def encode(self, df: DataFrame, text: str, out: str = "embedding") -> DataFrame:
         dim = self.dim
@@ -93,10 +88,10 @@ class HashingEncoder:
             def to_matrix(lists: pa.ListArray) -> np.ndarray:
                 codes = lists.flatten().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-                sign = np.where(codes < 0, -1.0, 1.0)
-                bucket = np.where(codes < 0, -1 - codes, codes)
+                bucket = (codes >> 4) % dim
+                sign = np.where((codes & 15) < 8, 1.0, -1.0)
                 sums = np.bincount(row * dim + bucket, weights=sign, minlength=len(lists) * dim)
-                return unit_rows(sums.reshape(len(lists), dim))
+                return unit_rows(sums.astype(np.float64).reshape(len(lists), dim))
 
             return to_matrix
 

@@ -159,7 +159,8 @@ def train_cells(vectors: DataFrame, n_cells: int, seed: int = 11, max_iter: int
     holds, ``n_cells x dim`` numbers."""
     if n_cells * 8 * (vectors.select(F.size("embedding")).first()[0]) > MAX_BROADCAST_BYTES:
         raise ValueError("too many cells to broadcast their centres")
-    features = vectors.where("embedding is not null").select(
+    # a zero vector (a text without tokens) has no direction to learn from
+    features = vectors.where(F.exists("embedding", lambda x: x != 0)).select(
         array_to_vector("embedding").alias("features")
     )
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(features)

@@ -39,7 +39,7 @@ class OverlapScorer:
     bigram_weight: float = 0.5
 
     def query_side(self, queries: DataFrame, index) -> DataFrame:
-        """``(query_id, _terms: array<struct<term, w>>, _pairs, ..)``; a term's
+        """``(query_id, _terms, _weights: map<term, w>, _total, _pairs)``; a term's
         weight comes from the field it is most frequent in."""
         terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
         wanted = terms.select("term").distinct()
@@ -52,9 +52,10 @@ class OverlapScorer:
             .withColumn("w", weight)
             .groupBy("query_id")
             .agg(
-                F.array_sort(F.collect_list(F.struct("term", "w"))).alias("_terms"),
+                F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "w")))).alias("_weights"),
                 F.sum("w").alias("_total"),
             )
+            .withColumn("_terms", F.map_keys("_weights"))
         )
         return queries.select(
             "query_id", bigrams(tokens(F.col("query"))).alias("_pairs")
@@ -64,9 +65,11 @@ class OverlapScorer:
         side = self.query_side(batch.queries, index)
         if batch.n_tokens <= MAX_BROADCAST_ROWS:
             side = F.broadcast(side)
+        # the document's tokens stay outside the lambda, which would otherwise
+        # cut them anew for every term of the query
         hit = F.aggregate(
-            F.filter("_terms", lambda t: F.array_contains(F.col("_words"), t["term"])),
-            F.lit(0.0), lambda acc, t: acc + t["w"],
+            F.array_intersect("_terms", "_toks"), F.lit(0.0),
+            lambda acc, t: acc + F.element_at("_weights", t),
         )
         coverage = F.when(F.col("_total") > 0, hit / F.col("_total"))
         common = F.size(F.array_intersect("_pairs", bigrams(F.col("_toks"))))
@@ -75,9 +78,8 @@ class OverlapScorer:
         return (
             pairs.join(side, "query_id", "left")
             .withColumn("_toks", tokens(F.col("doc_text")))
-            .withColumn("_words", F.array_distinct("_toks"))
             .withColumn("ce_score", F.round(score, SCORE_DECIMALS))
-            .drop("_toks", "_words", "_terms", "_total", "_pairs")
+            .drop("_toks", "_terms", "_weights", "_total", "_pairs")
         )
 
 
@@ -119,13 +121,14 @@ def score_pairs(ranked: DataFrame, queries: DataFrame | QueryBatch, index,
     """
     batch = prepare_queries(queries)
     head = ranked if depth is None else ranked.where(F.col("rank") <= depth)
-    texts = index.docs.select(
-        "doc_id",
-        embedding_text(F.col("title"), F.col("features"), F.col("text")).alias("doc_text"),
-    )
     keyed = head.select("query_id", "rank", "doc_id")
     bounded = depth is not None and batch.n_queries * depth <= MAX_BROADCAST_ROWS
-    with_text = texts.join(F.broadcast(keyed) if bounded else keyed, "doc_id")
+    with_text = (
+        index.docs.select("doc_id", "title", "features", "text")
+        .join(F.broadcast(keyed) if bounded else keyed, "doc_id")
+        .select("query_id", "rank", "doc_id",
+                embedding_text(F.col("title"), F.col("features"), F.col("text")).alias("doc_text"))
+    )
     asked = batch.queries.select("query_id", F.coalesce("query", F.lit("")).alias("query"))
     if batch.n_queries <= MAX_BROADCAST_ROWS:
         asked = F.broadcast(asked)

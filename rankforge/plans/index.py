@@ -26,6 +26,8 @@ from rankforge.config import FIELD_BOOSTS
 from rankforge.operators import analysis
 from rankforge.operators.encode import Encoder, HashingEncoder, attach_embeddings
 from rankforge.operators.knn import assign_cells, train_cells
+from rankforge.sources.catalogue import latest
+from rankforge.storage import estimated_bytes, materialize
 
 _TABLES = ("docs", "postings")
 _TARGET_BUCKET_BYTES = 128 * 1024 * 1024
@@ -70,8 +72,7 @@ def frames(docs: DataFrame, encoder: Encoder | None = None,
 def default_buckets(docs: DataFrame) -> int:
     """Buckets of about 128 MB by the optimizer's size of the input, at least
     one per core."""
-    size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    wanted = -(-int(str(size)) * _GROWTH // _TARGET_BUCKET_BYTES)
+    wanted = -(-estimated_bytes(docs) * _GROWTH // _TARGET_BUCKET_BYTES)
     # the size of an unknown source is reported as astronomically large
     return max(docs.sparkSession.sparkContext.defaultParallelism, min(wanted, 100_000))
 
@@ -105,36 +106,60 @@ def build_index(docs: DataFrame, path: str, *, id_col: str = "doc_id",
         return open_index(spark, path, encoder)
     docs = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
     n = buckets or default_buckets(docs)
+    embedded, post = attach_embeddings(docs, encoder), analysis.postings(docs, fields, n)
+    return _write(spark, path, n, embedded, post, encoder, fields, n_cells, centres)
+
+
+def update_index(spark: SparkSession, path: str, batch: DataFrame, out: str, *,
+                 encoder: Encoder | None = None, order: str = "pos",
+                 fields: Sequence[str] = tuple(FIELD_BOOSTS)) -> Index:
+    """The index at ``path`` with a batch of documents inserted or replaced,
+    written to ``out``. Within the batch the highest ``order`` wins.
+
+    Only the batch is analysed and encoded. Parquet tables cannot be changed
+    while they are read, so the result is a new index; switch readers to it.
+    """
+    encoder = encoder or HashingEncoder()
+    old = open_index(spark, path, encoder)
+    n = spark.read.parquet(f"{path.rstrip('/')}/meta").first()["buckets"]
+    fresh = materialize(latest(batch, "doc_id", (order,)), "batch")
+    ids = fresh.select("doc_id")
+    stored = spark.table(_table(path.rstrip("/"), "docs"))
+    embedded = stored.join(ids, "doc_id", "left_anti").unionByName(attach_embeddings(fresh, encoder))
+    post = old.postings.join(ids, "doc_id", "left_anti").unionByName(analysis.postings(fresh, fields, n))
+    return _write(spark, out.rstrip("/"), n, embedded, post.repartition(n, "doc_id"), encoder, fields,
+                  None, old.centres)
+
+
+def _write(spark: SparkSession, path: str, n: int, embedded: DataFrame, post: DataFrame,
+           encoder: Encoder, fields: Sequence[str], n_cells: int | None,
+           centres: np.ndarray | None) -> Index:
     for name in _TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {_table(path, name)}")
 
-    def write_bucketed(df: DataFrame, name: str, *sort: str) -> None:
+    def write_bucketed(df: DataFrame, name: str, *sort: str) -> DataFrame:
         (
             df.write.mode("overwrite").format("parquet").bucketBy(n, "doc_id").sortBy(*sort)
             .option("path", f"{path}/{name}").saveAsTable(_table(path, name))
         )
+        return spark.table(_table(path, name))
 
     # one task per bucket, so that a bucket is one sorted file
-    write_bucketed(attach_embeddings(docs, encoder).repartition(n, "doc_id"), "docs", "doc_id")
-    write_bucketed(analysis.postings(docs, fields, n), "postings", "field", "term", "doc_id")
-    post = spark.table(_table(path, "postings"))
-    analysis.term_stats(post).write.mode("overwrite").parquet(f"{path}/term_stats")
-    analysis.field_stats(post).coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
-
-    stored = spark.table(_table(path, "docs"))
-    plain = stored.drop(*[f for f in fields if f in stored.columns])
+    docs = write_bucketed(embedded.repartition(n, "doc_id"), "docs", "doc_id")
+    postings = write_bucketed(post, "postings", "field", "term", "doc_id")
+    analysis.term_stats(postings).write.mode("overwrite").parquet(f"{path}/term_stats")
+    analysis.field_stats(postings).coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
+
+    plain = docs.drop(*[f for f in fields if f in docs.columns])
     if centres is None and n_cells:
         centres = train_cells(plain, n_cells)
     if centres is not None:
-        cells = assign_cells(plain, centres)
         # a hot cell is spread over several files by the second key
-        spread = cells.repartition("cell", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // len(centres)))))
-        spread.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
-    meta = spark.createDataFrame(
-        [(n, encoder.name, encoder.dim, None if centres is None else centres.tolist())],
-        _META,
-    )
-    meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+        spread = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // len(centres))))
+        cells = assign_cells(plain, centres).repartition("cell", spread)
+        cells.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+    meta = [(n, encoder.name, encoder.dim, None if centres is None else centres.tolist())]
+    spark.createDataFrame(meta, _META).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     return open_index(spark, path, encoder)
 
 

@@ -9,7 +9,7 @@ from rankforge.functions.text import tokens
 from rankforge.functions.vectors import l2_normalise
 from rankforge.operators.encode import HashingEncoder
 from rankforge.plans.index import Index, build_index
-from rankforge.storage import shared_dir
+from rankforge.storage import prepared, shared_dir, spread
 
 ENCODER = HashingEncoder(dim=64)
 # Per query, besides the documents that contain its passage, this many others
@@ -17,6 +17,10 @@ ENCODER = HashingEncoder(dim=64)
 POOL = 10
 
 
+def _slug(sf_dir: str) -> str:
+    return sf_dir.strip("/").replace("/", "_")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,7 +28,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First line as title, second as features, the rest as text."""
     lines = F.split("text", "\n", -1)
-    return read(spark, sf_dir, "documents").select(
+    return spread(read(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id",
         F.get(lines, 0).alias("title"),
         F.coalesce(F.get(lines, 1), F.lit("")).alias("features"),
@@ -53,14 +57,19 @@ def _containing(spark: SparkSession, sf_dir: str) -> DataFrame:
         queries(spark, sf_dir).withColumn("toks", tokens(F.col("query")))
         .select("query_id", "query", longest["t"].alias("anchor"))
     )
-    words = read(spark, sf_dir, "documents").select(
+    words = spread(read(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", "text", F.explode(F.array_distinct(tokens(F.col("text")))).alias("anchor")
     )
     return words.join(passages, "anchor").where(F.contains("text", "query")).select("query_id", "doc_id")
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Judgments in the layout of a judged-query dataset, one per pair."""
+    """Judgments in the layout of a judged-query dataset, one per pair; written
+    by the first job of a session that asks for them."""
+    return prepared(spark, f"examples-{_slug(sf_dir)}", lambda: _judge(spark, sf_dir))
+
+
+def _judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     # the number of documents is one row
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -170,6 +179,5 @@ def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resident_index(spark: SparkSession, sf_dir: str) -> Index:
     """The searchable tables of the documents: built by the first job that asks
     for them in a session, opened by the others."""
-    app = spark.sparkContext.applicationId
-    name = sf_dir.strip("/").replace("/", "_")
-    return build_index(documents(spark, sf_dir), f"{shared_dir(spark)}/index-{app}-{name}", encoder=ENCODER)
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-index-{_slug(sf_dir)}"
+    return build_index(documents(spark, sf_dir), path, encoder=ENCODER)

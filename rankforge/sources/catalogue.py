@@ -38,13 +38,15 @@ def parse_json_lines(lines: DataFrame, fields: dict[str, str], line: str = "valu
     whose value does not fit its type is null; the rest of the row is kept.
     """
     clean = F.regexp_replace(F.make_valid_utf8(F.col(line)), "�", "")
-    # a trailing comma-free object only: text after the object makes a line invalid
-    whole = F.regexp_like(clean, F.lit(r"^\s*\{[\s\S]*\}\s*$"))
-    parsed = lines.select(F.when(whole, F.try_parse_json(clean)).alias("_v")).where(
-        F.col("_v").isNotNull()
+    is_object = F.regexp_like(clean, F.lit(r"^\s*\{[\s\S]*\}\s*$"))
+    # the parser stops after the first value; inside brackets a second one on
+    # the same line is an error, or shows up as a second element
+    listed = F.try_parse_json(F.concat(F.lit("["), clean, F.lit("]")))
+    parsed = lines.select(F.when(is_object, listed).alias("_v")).where(
+        F.col("_v").isNotNull() & F.try_variant_get("_v", "$[1]", "variant").isNull()
     )
     return parsed.select(
-        *(F.try_variant_get("_v", f"$.{name}", kind).alias(name) for name, kind in fields.items())
+        *(F.try_variant_get("_v", f"$[0].{name}", kind).alias(name) for name, kind in fields.items())
     )
 
 

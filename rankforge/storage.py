@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
@@ -36,6 +38,35 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a table's size: file sizes for a scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a small table.
+
+    A file with one row group is read by one task, however much work follows.
+    A table with less than 128 MB for each core is redistributed by its key; a
+    larger one has enough row groups and stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) < cores * 128 * 1024 * 1024:
+        return df.repartition(cores, key)
+    return df
+
+
+def prepared(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table of this application in the shared folder: built when it is not
+    there yet, read when it is."""
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{name}"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        build().write.mode("ignore").parquet(path)
+        return spark.read.parquet(path)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
