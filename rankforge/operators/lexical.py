@@ -76,14 +76,21 @@ def bm25(postings: DataFrame, weighted: DataFrame, fields: Sequence[str],
     )
 
 
-def _kth_scores(postings: DataFrame, weighted: DataFrame, k: int, fields: Sequence[str],
-                params: Bm25Params) -> DataFrame:
+def _full_scores(postings: DataFrame, pairs: DataFrame, weighted: DataFrame, fields: Sequence[str],
+                 params: Bm25Params) -> DataFrame:
+    """The scores of given (query, document) pairs. The pairs, not the postings,
+    move to the documents' partitions, and the postings stream past them."""
+    known = postings.join(pairs.select("doc_id", "query_id").hint("shuffle_hash"), "doc_id")
+    return bm25(known, weighted, fields, params, keys=("query_id", "field", "term"))
+
+
+def _floors(postings: DataFrame, weighted: DataFrame, k: int, fields: Sequence[str],
+            params: Bm25Params) -> DataFrame:
     """``(query_id, floor)``: a score the k-th best document surely reaches.
 
-    It comes from the rarest terms of each query alone: enough of them to meet
-    several times k documents. Every term adds to a score, so what the k-th
-    document gets from some of the terms is a lower bound. A query whose rare
-    terms meet fewer than k documents has no floor.
+    The rarest terms of a query, enough of them to meet several times k
+    documents, name some promising documents; the k-th best full score among
+    those is a lower bound. Fewer than k such documents make no floor.
     """
     per_term = weighted.groupBy("query_id", "term").agg(F.sum("df").alias("df"))
     before = (
@@ -91,10 +98,11 @@ def _kth_scores(postings: DataFrame, weighted: DataFrame, k: int, fields: Sequen
     )
     rare = (
         per_term.withColumn("_met", F.coalesce(F.sum("df").over(before), F.lit(0)))
-        .where(F.col("_met") < 4 * k).select("query_id", "term")
+        .where(F.col("_met") < 8 * k).select("query_id", "term")
     )
     seeds = weighted.join(rare, ["query_id", "term"], "left_semi")
-    best = top_k(bm25(postings, seeds, fields, params), k)
+    promising = materialize(top_k(bm25(postings, seeds, fields, params), 2 * k), "promising")
+    best = top_k(_full_scores(postings, promising, weighted, fields, params), k)
     return best.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
 
 
@@ -103,21 +111,26 @@ def pruned_bm25(postings: DataFrame, weighted: DataFrame, k: int, fields: Sequen
     """The same k best rows as :func:`bm25`, without pairing every query with
     every document that shares a frequent term (MaxScore, Turtle & Flood 1995).
 
-    A term adds less than its weight to a score. The frequent terms that cannot
-    even together lift a document to the floor of the k-th best need not be
-    looked up on their own: only documents with one of the other terms are
-    scored, and of those only the ones that can still reach the floor in full.
+    A term adds less than its weight to a score. The terms that cannot even
+    together lift a document to the floor of the k-th best need not be looked
+    up on their own: only documents with one of the other terms are scored, and
+    of those only the ones that can still reach the floor in full.
     """
     weighted = materialize(weighted, "terms")
+    vocabulary = F.broadcast(weighted.select("field", "term").distinct())
+    postings = postings.join(vocabulary, ["field", "term"], "left_semi")
     bounds = weighted.groupBy("query_id", "term").agg(F.max("weight").alias("most"))
     upto = (
         Window.partitionBy("query_id").orderBy("most", "term")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    optional = (F.col("_sum") + max_bonus + _MARGIN) < F.coalesce("floor", F.lit(0.0))
+    # Half the floor, not all of it: the rest must then come from needed terms,
+    # which few documents achieve, and the most frequent terms are left out anyway.
+    reach = F.coalesce(F.col("floor") / 2, F.lit(0.0))
+    optional = (F.col("_sum") + max_bonus + _MARGIN) < reach
     marked = materialize(
         bounds.withColumn("_sum", F.sum("most").over(upto))
-        .join(_kth_scores(postings, weighted, k, fields, params), "query_id", "left")
+        .join(_floors(postings, weighted, k, fields, params), "query_id", "left")
         .select("query_id", "term", "floor", optional.alias("optional"),
                 F.when(optional, F.col("_sum")).alias("_sum")),
         "bounds",
@@ -133,15 +146,8 @@ def pruned_bm25(postings: DataFrame, weighted: DataFrame, k: int, fields: Sequen
         bm25(postings, needed, fields, params)
         .join(F.broadcast(limits), "query_id")
         .where(F.col("floor").isNull() | (F.col("score") + F.col("rest") + _MARGIN >= F.col("floor")))
-        .select("doc_id", "query_id")
-    )
-    # both sides are partitioned by document: no shuffle, and the postings are
-    # streamed past a hash table of one bucket's hopeful pairs
-    vocabulary = weighted.select("field", "term").distinct()
-    candidates = postings.join(F.broadcast(vocabulary), ["field", "term"], "left_semi").join(
-        hopeful.hint("shuffle_hash"), "doc_id"
     )
-    return bm25(candidates, weighted, fields, params, keys=("query_id", "field", "term"))
+    return _full_scores(postings, hopeful, weighted, fields, params)
 
 
 def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,

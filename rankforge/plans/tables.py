@@ -118,7 +118,7 @@ def dirty_price(key: Column, price: Column) -> Column:
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts as raw product records, with the usual dirt."""
     key = F.col("p_partkey")
-    return read(spark, sf_dir, "part").select(
+    return spread(read(spark, sf_dir, "part"), "p_partkey").select(
         "p_partkey",
         F.when(key % 13 == 0, "").otherwise(F.concat(F.lit("P"), key.cast("string"))).alias("parent_asin"),
         F.when(key % 11 == 0, "  ab ").otherwise(F.concat(F.lit(" "), "p_name", F.lit("\n"))).alias("title"),

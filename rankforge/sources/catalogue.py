@@ -42,7 +42,9 @@ def parse_json_lines(lines: DataFrame, fields: dict[str, str], line: str = "valu
     # the parser stops after the first value; inside brackets a second one on
     # the same line is an error, or shows up as a second element
     listed = F.try_parse_json(F.concat(F.lit("["), clean, F.lit("]")))
-    parsed = lines.select(F.when(is_object, listed).alias("_v")).where(
+    # Exploding a one-element array keeps the filter from being pushed below the
+    # parser, where it would parse every line once more per condition.
+    parsed = lines.select(F.explode(F.array(F.when(is_object, listed))).alias("_v")).where(
         F.col("_v").isNotNull() & F.try_variant_get("_v", "$[1]", "variant").isNull()
     )
     return parsed.select(
