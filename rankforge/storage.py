@@ -63,7 +63,7 @@ def prepared(spark: SparkSession, name: str, build: Callable[[], DataFrame]) ->
     try:
         return spark.read.parquet(path)
     except AnalysisException:
-        build().write.mode("ignore").parquet(path)
+        build().write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
 
