@@ -38,12 +38,15 @@ class OverlapScorer:
 
     bigram_weight: float = 0.5
 
-    def query_side(self, queries: DataFrame, index) -> DataFrame:
+    def query_side(self, batch: QueryBatch, index) -> DataFrame:
         """``(query_id, _terms, _weights: map<term, w>, _total, _pairs)``; a term's
         weight comes from the field it is most frequent in."""
+        queries = batch.queries
         terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
         wanted = terms.select("term").distinct()
-        df = index.term_stats.join(F.broadcast(wanted), "term").groupBy("term").agg(F.max("df").alias("df"))
+        if batch.n_tokens <= MAX_BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)
+        df = index.term_stats.join(wanted, "term").groupBy("term").agg(F.max("df").alias("df"))
         n_docs = index.field_stats.agg(F.max("n_docs").alias("n_docs")).scalar()
         weight = F.log1p(F.col("_n") / (F.coalesce("df", F.lit(0)) + 1.0))
         weighted = (
@@ -62,7 +65,7 @@ class OverlapScorer:
         ).join(weighted, "query_id", "left")
 
     def score(self, pairs: DataFrame, index, batch: QueryBatch) -> DataFrame:
-        side = self.query_side(batch.queries, index)
+        side = self.query_side(batch, index)
         if batch.n_tokens <= MAX_BROADCAST_ROWS:
             side = F.broadcast(side)
         # the document's tokens stay outside the lambda, which would otherwise

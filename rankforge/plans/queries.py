@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.config import FunnelParams
+from rankforge.functions.geo import haversine_m
 from rankforge.functions.text import embedding_text, keyword, parse_price
 from rankforge.functions.vectors import l2_normalise
 from rankforge.operators import analysis, analyze, encode, filters, fusion, hits, knn, lexical, metrics
@@ -127,14 +129,14 @@ def qrels_build(spark, sf):
 
 @query
 def qrels_dedupe(spark, sf):
-    """Every sold (order, part) pair judged by quantity; the last line wins."""
+    """Every (supplier, part) pair judged by quantity; the last line wins."""
     lines = tables.read(spark, sf, "lineitem")
     label = (
         F.when(F.col("l_quantity") > 40, "E").when(F.col("l_quantity") > 25, "S")
         .when(F.col("l_quantity") > 10, "C").otherwise("I")
     )
     loaded = lines.select(
-        F.col("l_suppkey").alias("query_id"), F.col("l_shipmode" if "l_shipmode" in lines.columns else "l_returnflag").alias("query"),
+        F.col("l_suppkey").alias("query_id"), F.col("l_returnflag").alias("query"),
         F.col("l_partkey").alias("doc_id"), label.alias("label"),
         F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag").alias("line"),
     )
@@ -182,8 +184,6 @@ def geo_distance_filter(spark, sf):
     near = filters.hard_condition(
         places.schema, {"c_acctbal": {"gte": 0}}, {"distance": "4000km", "lat": 10.0, "lon": 20.0}
     )
-    from rankforge.functions.geo import haversine_m
-
     metres = haversine_m(F.col("location.lat"), F.col("location.lon"), 10.0, 20.0)
     return places.where(near).select("c_custkey", F.round(metres / 1000, 6).alias("km"))
 
@@ -336,8 +336,6 @@ def _setup(spark, sf) -> tuple[Index, object]:
 @query
 def index_build(spark, sf):
     """Rows of every searchable table."""
-    from functools import reduce
-
     ix = tables.resident_index(spark, sf)
     named = {"docs": ix.docs, "postings": ix.postings, "term_stats": ix.term_stats,
              "field_stats": ix.field_stats, "vectors": ix.vectors}
