@@ -66,7 +66,7 @@ class Encoder:
             return self._whole.encode(text, add_special_tokens=False).ids
         return self._fast.encode_ordinary(text)
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of " " + word for all words, and where each word's ids start."""
         long = {i for i, w in enumerate(words) if len(w) > _LONG}
         short = [w for i, w in enumerate(words) if i not in long]
@@ -87,7 +87,7 @@ class Encoder:
         whole = np.array([bool(_NEAR_SPACE.search(t)) for t in plain], bool)
         split = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
         starts, codes, words = dictionary_of(split)
-        ids, bounds = self._encode_words([w if not _NEAR_SPACE.search(w) else "" for w in words])
+        ids, bounds = self.encode_words([w if not _NEAR_SPACE.search(w) else "" for w in words])
         # the first word of a text has no space before it: ids of its own
         own = [np.array(self.encode(t if w else t[: t.find(" ")] if " " in t else t), np.uint32)
                for t, w in zip(plain, whole)]

@@ -34,8 +34,8 @@ class QualityParams:
     epochs: int = 6
     rate: float = 1.5
     # the training sample: at most so many texts of a class, none longer than this
-    per_class: int = 2500
-    max_doc_chars: int = 20_000
+    per_class: int = 1500
+    max_doc_chars: int = 10_000
     seed: int = 7
 
 
@@ -91,17 +91,18 @@ def train(texts: list[str], labels: np.ndarray, params: QualityParams) -> Qualit
     starts, codes, words = dictionary_of(_words(pa.array(texts, pa.large_string())))
     features, bounds = word_features(words, size)
     hashes = word_hashes(words)
-    documents = []
+    # the features of all documents one after another, with their weights
+    flat, weights, ends = [], [], [0]
     for i in range(n):
         own = codes[starts[i]:starts[i + 1]]
         parts = [features[bounds[c]:bounds[c + 1]] for c in own]
         if len(own) > 1:
             parts.append(pair_features(own, hashes, size) + size)
-        if not parts:
-            documents.append((np.zeros(0, np.int64), np.zeros(0, np.float32)))
-            continue
-        ids, counts = np.unique(np.concatenate(parts), return_counts=True)
-        documents.append((ids, (counts / counts.sum()).astype(np.float32)))
+        ids, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0), np.zeros(0))
+        flat.append(ids.astype(np.int32))
+        weights.append((counts / max(counts.sum(), 1)).astype(np.float32))
+        ends.append(ends[-1] + len(ids))
+    flat, weights = np.concatenate(flat), np.concatenate(weights)
     rng = np.random.default_rng(params.seed)
     vectors = rng.uniform(-1.0 / dim, 1.0 / dim, (2 * size, dim)).astype(np.float32)
     output, bias = np.zeros((dim, 2), np.float32), np.array([0.0, np.log(share / (1 - share))], np.float32)
@@ -109,7 +110,7 @@ def train(texts: list[str], labels: np.ndarray, params: QualityParams) -> Qualit
     steps, done = params.epochs * n, 0
     for _ in range(params.epochs):
         for i in rng.permutation(n):
-            ids, weight = documents[i]
+            ids, weight = flat[ends[i]:ends[i + 1]], weights[ends[i]:ends[i + 1]]
             rate = params.rate * (1.0 - done / steps)
             done += 1
             rows = vectors[ids]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from rankforge.llm.langid import op7_language_id
+from rankforge.llm.lm import op10_lm_scoring
 from rankforge.llm.mixing import op2_source_mixing
 from rankforge.llm.packing import op5_packing
 from rankforge.llm.quality import op4_quality_classifier
@@ -19,7 +20,7 @@ from rankforge.llm.toxicity import op1_toxicity
 
 QUERIES = (
     op1_toxicity, op2_source_mixing, op3_exact_top_k, op4_quality_classifier, op5_packing, op6_quality_rules,
-    op7_language_id, op8_secret_scan, op9_simhash_near_dedup,
+    op7_language_id, op8_secret_scan, op9_simhash_near_dedup, op10_lm_scoring,
 )
 
 
