@@ -76,6 +76,19 @@ def dictionary_of(lists) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return starts - starts[0], codes, encoded.dictionary.to_pylist()
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words of all texts: (first position of every text and the end, code of
+    every word, distinct words). Only the six ASCII white space characters part
+    words; the empty ones that splitting leaves at the ends of a text are dropped."""
+    starts, codes, words = dictionary_of(pc.ascii_split_whitespace(texts))
+    if "" not in words:
+        return starts, codes, words
+    empty = words.index("")
+    keep = codes != empty
+    before = np.concatenate(([0], np.cumsum(keep)))
+    return before[starts], np.where(codes > empty, codes - 1, codes)[keep], words[:empty] + words[empty + 1:]
+
+
 def code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All code points one after another, and where each word starts, with the end."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import blocks, dictionary_of, remainder_is, share_of, table, text_array
+from rankforge.llm.common import blocks, remainder_is, share_of, table, text_array, words_of
 from rankforge.llm.packing import Encoder
 from rankforge.storage import materialize
 
@@ -49,31 +49,17 @@ class LmParams:
     # the driver's sample: at most so many texts, none longer than this
     sample_docs: int = 400
     max_doc_chars: int = 10_000
-    epochs: int = 3
+    epochs: int = 4
     # share of all training documents that the tasks go on with
-    share: float = 1 / 32
+    share: float = 1 / 64
     batch: int = 64  # chunks of a training step
     rate: float = 4e-3
     seed: int = 3
     frequent_words: int = 200_000  # words whose counts every executor gets, at most
 
 
-def word_lists(texts: pa.Array):
-    return pc.ascii_split_whitespace(pc.ascii_lower(texts))
-
-
-def _dense(starts: np.ndarray, codes: np.ndarray, words: list[str]):
-    """Without the empty words that splitting leaves at the ends of a text."""
-    if "" not in words:
-        return starts, codes, words
-    empty = words.index("")
-    keep = codes != empty
-    before = np.concatenate(([0], np.cumsum(keep)))
-    return before[starts], np.where(codes > empty, codes - 1, codes)[keep], words[:empty] + words[empty + 1:]
-
-
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    return _dense(*dictionary_of(word_lists(texts)))
+def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    return words_of(pc.ascii_lower(texts))
 
 
 # Counts -----------------------------------------------------------------------
@@ -92,7 +78,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return batch
 
         for block in blocks(batches):
-            _, codes, words = words_of(text_array(block.column(0)))
+            _, codes, words = lower_words(text_array(block.column(0)))
             for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
                 held[word] = held.get(word, 0) + n
             held[END_WORD] = held.get(END_WORD, 0) + block.num_rows
@@ -257,7 +243,7 @@ class Trainer:
 def subwords(texts: pa.Array, encoder: Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, each with its end, and where they
     start, with the end."""
-    starts, codes, words = words_of(texts)
+    starts, codes, words = lower_words(texts)
     ids, bounds = encoder.encode_words(words)
     n = len(words)
     length = np.append(np.diff(bounds), 1)
@@ -298,22 +284,28 @@ def _windows(texts: pa.Array, encoder: Encoder, code: dict, params: LmParams):
 def score_texts(texts: pa.Array, encoder: Encoder, code: dict, p: dict, params: LmParams) -> np.ndarray:
     """Natural log-probability of every text."""
     chunk, d = params.chunk, params.dim
-    inputs, target, scored, first = chunks(*subwords(texts, encoder, params.end_id), code, params.chunk)
-    keys, values = p["E"] @ p["K"] / np.float32(np.sqrt(d)), p["E"] @ p["V"]
-    queries = p["E"] @ p["Q"]
+    inputs, target, _, first = chunks(*subwords(texts, encoder, params.end_id), code, params.chunk)
+    # per input its vector, query, key, value, and a 1 that adds up the weights
+    one = np.ones((len(p["E"]), 1), np.float32)
+    rows = np.hstack([p["E"], p["E"] @ p["Q"], p["E"] @ p["K"] / np.float32(np.sqrt(d)), p["E"] @ p["V"], one])
     distance, later = _distance(chunk)
     mask = np.where(later, np.float32(-1e30), p["R"][distance]).astype(np.float32)
     own = np.zeros(len(inputs))
-    for low in range(0, len(scored), 512):
-        at = scored[low:low + 512]
-        now, window = inputs[at], np.concatenate([inputs[at - 1], inputs[at]], axis=1)
-        s = queries[now] @ keys[window].transpose(0, 2, 1)
-        s += mask
-        s -= s.max(axis=-1, keepdims=True)
-        np.exp(s, out=s)
-        h = s @ values[window]
-        h /= s.sum(axis=-1, keepdims=True)
-        h += p["E"][now]
+    # every chunk but the first has one before it; the chunk that stands for
+    # what lies before a text has no targets
+    for low in range(1, len(inputs), 256):
+        high = min(low + 256, len(inputs))
+        g = rows[inputs[low - 1:high]]
+        query = g[1:, :, d:2 * d]
+        h = np.zeros((high - low, chunk, d + 1), np.float32)
+        for part, bias in ((g[:-1], mask[:, :chunk]), (g[1:], mask[:, chunk:])):
+            s = query @ part[:, :, 2 * d:3 * d].transpose(0, 2, 1)
+            s += bias
+            np.minimum(s, np.float32(60), out=s)  # no overflow; never reached by a trained model
+            np.exp(s, out=s)
+            h += s @ part[:, :, 3 * d:]
+        h = h[:, :, :d] / h[:, :, d:]
+        h += g[1:, :, :d]
         h = h.reshape(-1, d)
         r = h @ p["W1"]
         r += p["b1"]
@@ -321,14 +313,15 @@ def score_texts(texts: pa.Array, encoder: Encoder, code: dict, p: dict, params:
         h += r @ p["W2"]
         logits = h @ p["C"]
         logits += p["c"]
-        logits -= logits.max(axis=-1, keepdims=True)
-        want = target[at].ravel()
-        real = want >= 0
-        of = code["class"][np.maximum(want, 0)]
-        picked = logits[np.arange(len(want)), of]
+        np.clip(logits, np.float32(-60), np.float32(60), out=logits)
+        want = target[low:high].ravel()
+        real = np.flatnonzero(want >= 0)
+        ids = want[real]
+        picked = logits[real, code["class"][ids]]
         np.exp(logits, out=logits)
-        value = np.where(real, picked - np.log(logits.sum(axis=-1)) + code["within"][np.maximum(want, 0)], 0.0)
-        own[at] = value.reshape(-1, chunk).sum(axis=1)
+        value = np.zeros(len(want))
+        value[real] = picked - np.log(logits.sum(axis=-1)[real]) + code["within"][ids]
+        own[low:high] = value.reshape(-1, chunk).sum(axis=1)
     return np.add.reduceat(own, first[:-1])
 
 
@@ -418,7 +411,7 @@ def score_documents(docs: DataFrame, learnable: Column, params: LmParams = LmPar
             texts = text_array(block.column(1))
             m = len(texts)
             score = score_texts(texts, encoder, code, weights, params) / np.log(10)
-            starts, codes, words = words_of(texts)
+            starts, codes, words = lower_words(texts)
             counted = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
             common = counted >= 0
             log = np.log10((np.maximum(counted, 0) + smooth) / below)

@@ -49,20 +49,26 @@ class Encoder:
     def __init__(self, name: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-
-        with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self._fast = tiktoken.Encoding(
-            "public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self._whole.encode_special_tokens = True
-        self._bytes = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, rank in ranks.items():
-            self._bytes[rank] = len(token)
+        from tiktoken.registry import ENCODINGS
+
+        # the library's own registry keeps the vocabulary for a worker's next tasks
+        if name not in ENCODINGS:
+            with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            ENCODINGS[name] = tiktoken.Encoding(
+                name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._fast, self._name, self._whole = ENCODINGS[name], name, None
+        ids = range(self._fast.max_token_value + 1)
+        self._bytes = np.fromiter((len(self._fast.decode_single_token_bytes(i)) for i in ids), np.int64, len(ids))
 
     def encode(self, text: str) -> list[int]:
         if len(text) > _LONG and max(map(len, text.split())) > _LONG:
+            if self._whole is None:
+                import public_tokenizers
+                from tokenizers import Tokenizer
+
+                self._whole = Tokenizer.from_file(public_tokenizers.path(f"{self._name}.json"))
+                self._whole.encode_special_tokens = True
             return self._whole.encode(text, add_special_tokens=False).ids
         return self._fast.encode_ordinary(text)
 

@@ -15,13 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import (
-    blocks, code_points, dictionary_of, labelled_sample, mixed, remainder_is, segment_sums, sigmoid, table, text_array,
-    word_hashes,
+    blocks, code_points, labelled_sample, mixed, remainder_is, segment_sums, sigmoid, table, text_array,
+    word_hashes, words_of,
 )
 
 NGRAMS = (3, 4, 5)
@@ -88,7 +87,7 @@ def train(texts: list[str], labels: np.ndarray, params: QualityParams) -> Qualit
     if n == 0 or labels.min() == labels.max():
         zero = np.zeros(size, np.float32)
         return QualityModel(zero, zero, float(np.log(share / (1 - share))))
-    starts, codes, words = dictionary_of(_words(pa.array(texts, pa.large_string())))
+    starts, codes, words = words_of(pa.array(texts, pa.large_string()))
     features, bounds = word_features(words, size)
     hashes = word_hashes(words)
     # the features of all documents one after another, with their weights
@@ -129,15 +128,9 @@ def train(texts: list[str], labels: np.ndarray, params: QualityParams) -> Qualit
     return QualityModel(folded[:size], folded[size:], float(bias[1] - bias[0]))
 
 
-def _words(texts: pa.Array):
-    """Lists of words; only the six ASCII whitespace characters part them."""
-    return pc.ascii_split_whitespace(texts)
-
-
 def scores(texts: pa.Array, model: QualityModel) -> np.ndarray:
     """Probability of label 1 of every text; without words, that of the intercept."""
-    lists = _words(texts)
-    starts, codes, words = dictionary_of(lists)
+    starts, codes, words = words_of(texts)
     if not len(codes):
         return np.full(len(texts), float(sigmoid(model.intercept)))
     size = len(model.weights)

@@ -142,7 +142,8 @@ def top_k(vectors: DataFrame, is_query: Column, params: TopKParams = TopKParams(
     base = materialize(whole.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), "vector", is_query.alias("asked"), F.size("vector").alias("dim")),
         "vectors")
-    asked = base.where("asked").select("vec_id", "vector", "dim", F.xxhash64("vec_id", "vector").alias("query")).distinct()
+    asked = materialize(base.where("asked").select(
+        "vec_id", "vector", "dim", F.xxhash64("vec_id", "vector").alias("query")).distinct(), "queries")
     n, m = base.count(), asked.count()
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")

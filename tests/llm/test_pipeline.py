@@ -1,0 +1,42 @@
+"""The pipeline as a whole, and the registered queries at the smallest size."""
+
+import os
+
+import pytest
+from compare import compare, duck
+
+import corpus_pipeline
+from rankforge.llm import queries
+
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_messy_rows_and_none(spark, messy, no_docs, tmp_path, name, stage):
+    spark.createDataFrame(
+        [(i, i % 2, 0) for i in range(20)], "doc_id bigint, quality int, toxic int"
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    found = stage(spark, messy, str(tmp_path))
+    if name != "packing":
+        assert found.columns == messy.columns and found.schema.simpleString() == messy.schema.simpleString()
+    found.write.parquet(f"{tmp_path}/out")
+    assert stage(spark, no_docs, str(tmp_path)).count() == 0
+
+
+@needs_data
+def test_pipeline(spark):
+    pieces = corpus_pipeline.run(spark, SF)
+    docs = {r["doc_id"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
+    assert {r["doc_id"] for r in pieces.collect()} <= docs
+    assert pieces.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").isEmpty()
+
+
+@needs_data
+@pytest.mark.parametrize("name", [q.__name__ for q in queries.QUERIES])
+def test_query(spark, name):
+    found = queries.registry()[name](spark, SF)
+    if name in queries.oracles():
+        assert compare(found, queries.oracles()[name], duck(SF)) is None
+    else:
+        assert found.count() >= 200 or "top_k" in name
