@@ -306,11 +306,11 @@ def near_duplicates(docs: DataFrame, params: SimHashParams = SimHashParams()) ->
     rows = materialize(fingerprints(docs, params), "fingerprints")
     nodes = materialize(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "nodes")
     linked = components(links(nodes, params))
-    rooted = (
+    rooted = materialize(
         nodes.join(linked, nodes["fingerprint"] == linked["node"], "left")
-        .select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        .select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")), "rooted")
+    # written, so that the join below stands alone and Spark can split a large component
+    smallest = materialize(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
     found = rooted.join(smallest, "root").select("fingerprint", "root", "component_id")
     return rows.join(found, "fingerprint").select("doc_id", "text_hash", "fingerprint", "root", "component_id")
 
@@ -320,7 +320,7 @@ def one_of_each(docs: DataFrame, params: SimHashParams = SimHashParams()) -> Dat
     all), then the smallest hash of the text; of rows alike, one."""
     found = materialize(near_duplicates(docs, params).groupBy("root", "doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("rows")), "components")
-    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    first = materialize(found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")), "first")
     marked = found.join(first, "root").withColumn("stays", F.struct("doc_id", "text_hash").eqNullSafe(F.col("first")))
     gone = materialize(marked.where(~F.col("stays")).select("doc_id", "text_hash"), "gone")
     small = gone.count() <= MAX_BROADCAST_ROWS
