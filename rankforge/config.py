@@ -16,15 +16,6 @@ MIN_TITLE_CHARS = 3
 KEYWORD_MAX_CHARS = 256
 EMBED_DIM = 384
 EMBED_MAX_TOKENS = 256
-# City coordinates of the article corpus (latitude, longitude).
-CITY_COORDINATES = {
-    "Karachi": (24.8607, 67.0011),
-    "Bengaluru": (12.9716, 77.5946),
-    "Berlin": (52.5200, 13.4050),
-    "Dublin": (53.3498, -6.2603),
-    "Toronto": (43.6532, -79.3832),
-    "Singapore": (1.3521, 103.8198),
-}
 
 # Scores are compared at this many decimals, so that the order of a
 # floating-point sum (which differs between runs of a distributed job) never

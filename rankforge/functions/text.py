@@ -31,7 +31,7 @@ def blank_to_null(c: Column) -> Column:
 def tokens(c: Column) -> Column:
     """Lower-cased runs of letters, digits and underscores, in text order.
 
-    Identifiers such as ``ef_search`` or ``BPACT08WT`` stay whole; nothing is
+    Identifiers such as ``cache_lines`` or ``BPACT08WT`` stay whole; nothing is
     stemmed. Null text gives an empty array.
     """
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(_TOKEN), F.lit(0))

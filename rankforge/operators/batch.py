@@ -43,14 +43,19 @@ class QueryBatch:
 
 
 def prepare_queries(queries: DataFrame | QueryBatch) -> QueryBatch:
-    """Count a query table once; a prepared one is returned as it is."""
+    """Count a query table once; a prepared one is returned as it is. Results
+    are told apart by ``query_id`` alone, so an id that comes twice is an error."""
     if isinstance(queries, QueryBatch):
         return queries
     if "query" in queries.columns:
         n_tokens = F.coalesce(F.sum(F.size(tokens(F.col("query")))), F.lit(0))
     else:
         n_tokens = F.lit(0)
-    n, t = queries.agg(F.count(F.lit(1)), n_tokens).first()
+    n, t, ids, nulls = queries.agg(
+        F.count(F.lit(1)), n_tokens, F.count_distinct("query_id"), F.max(F.col("query_id").isNull().cast("int"))
+    ).first()
+    if ids + (nulls or 0) < n:
+        raise ValueError(f"{n - ids} query ids come more than once")
     return QueryBatch(queries, int(n), int(t))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.config import EMBED_DIM, EMBED_MAX_TOKENS
+from rankforge.config import EMBED_DIM
 from rankforge.functions.text import embedding_text, tokens
 
 
@@ -59,25 +59,26 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class HashingEncoder:
-    """Signed feature hashing (Weinberger et al. 2009) of the first tokens.
+    """Signed feature hashing (Weinberger et al. 2009) of all tokens.
 
     The bucket is the first seven hex digits of the token's md5 modulo ``dim``;
     the eighth digit gives the sign. Tokens are cut and hashed by built-in
-    functions; numpy only adds the signs up. No shuffle. It reproduces the
-    token window of a neural encoder, not its quality.
+    functions; numpy only adds the signs up. No shuffle. ``max_tokens`` gives it
+    the window of a neural encoder; without it whole texts are hashed.
     """
 
     dim: int = EMBED_DIM
-    max_tokens: int = EMBED_MAX_TOKENS
+    max_tokens: int | None = None
 
     @property
     def name(self) -> str:
-        return f"hashing-{self.dim}-{self.max_tokens}"
+        return f"hashing-{self.dim}-{self.max_tokens or 'all'}"
 
     def hashed(self, text: Column) -> Column:
         """The first eight hex digits of every token's md5, as numbers."""
+        found = tokens(text)
         return F.transform(
-            F.slice(tokens(text), 1, self.max_tokens),
+            F.slice(found, 1, self.max_tokens) if self.max_tokens else found,
             lambda t: F.conv(F.left(F.md5(t), F.lit(8)), 16, 10).cast("bigint"),
         )
 

@@ -31,6 +31,10 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
 
 
+# Scores computed at a time by one task: 32 MB.
+BLOCK_SCORES = 1 << 22
+
+
 def rank_cells(queries: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Cell numbers per query, nearest first; ties go to the lower number."""
     sims = np.round(queries @ centres.T, SCORE_DECIMALS)
@@ -106,9 +110,14 @@ def _search(spark: SparkSession, vectors: DataFrame, part: QueryBatch, k: int,
                 rows = np.asarray(rows)
                 if not len(rows):
                     continue
-                scores = np.round(matrix[rows] @ docs[chosen].T, SCORE_DECIMALS)
-                for i, r in enumerate(rows):
-                    best[r].add(scores[i], ids[chosen])
+                own, own_ids = docs[chosen], ids[chosen]
+                # a block of scores has a fixed size, however many the queries
+                step = max(1, BLOCK_SCORES // max(len(own), 1))
+                for low in range(0, len(rows), step):
+                    part = rows[low:low + step]
+                    scores = np.round(matrix[part] @ own.T, SCORE_DECIMALS)
+                    for i, r in enumerate(part):
+                        best[r].add(scores[i], own_ids)
         def rows_of(numbers: list[int]) -> pa.RecordBatch:
             asked = [query_ids[r] for r in numbers for _ in best[r].ids]
             found = np.concatenate([best[r].ids for r in numbers])
@@ -154,6 +163,13 @@ def exact_knn(vectors: DataFrame, queries: DataFrame | QueryBatch, k: int = 100,
     return _nearest(docs, queries, k, None, None, max_bytes)
 
 
+def check_centres(centres: DataFrame) -> None:
+    """Raise if the centres are more than a broadcast may hold."""
+    size = centres.agg(F.coalesce(F.sum(8 * F.size("embedding")), F.lit(0))).first()[0]
+    if size > MAX_BROADCAST_BYTES:
+        raise ValueError(f"{size} bytes of cell centres are too many to broadcast")
+
+
 def train_cells(vectors: DataFrame, n_cells: int, seed: int = 11, max_iter: int = 10) -> np.ndarray:
     """Unit-length k-means centres: the only part of the index that the driver
     holds, ``n_cells x dim`` numbers."""
@@ -178,7 +194,10 @@ def assign_cells(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = _matrix(batch.column("embedding"))
-            cells = rank_cells(m, shared.value)[:, 0] if len(m) else np.zeros(0)
+            step = max(1, BLOCK_SCORES // max(len(shared.value), 1))
+            parts = [np.round(m[low:low + step] @ shared.value.T, SCORE_DECIMALS).argmax(axis=1)
+                     for low in range(0, len(m), step)]
+            cells = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(cells.astype(np.int32))],
                 [*names, "cell"],

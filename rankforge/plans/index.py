@@ -27,7 +27,7 @@ from rankforge.operators import analysis
 from rankforge.operators.encode import Encoder, HashingEncoder, attach_embeddings
 from rankforge.operators.knn import assign_cells, train_cells
 from rankforge.sources.catalogue import latest
-from rankforge.storage import estimated_bytes, materialize
+from rankforge.storage import materialize
 
 _TABLES = ("docs", "postings")
 _TARGET_BUCKET_BYTES = 128 * 1024 * 1024
@@ -69,12 +69,14 @@ def frames(docs: DataFrame, encoder: Encoder | None = None,
                  encoder, encoder.name)
 
 
-def default_buckets(docs: DataFrame) -> int:
-    """Buckets of about 128 MB by the optimizer's size of the input, at least
-    one per core."""
-    wanted = -(-estimated_bytes(docs) * _GROWTH // _TARGET_BUCKET_BYTES)
-    # the size of an unknown source is reported as astronomically large
-    return max(docs.sparkSession.sparkContext.defaultParallelism, min(wanted, 100_000))
+def default_buckets(docs: DataFrame, dim: int = 0) -> int:
+    """Buckets of about 128 MB by the measured size of texts and vectors, at
+    least one per core."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in docs.schema.fields
+            if f.dataType.simpleString() == "string"]
+    row = sum(text, F.lit(4 * dim + 8)).cast("bigint")
+    size = docs.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size * _GROWTH // _TARGET_BUCKET_BYTES))
 
 
 def _table(path: str, name: str) -> str:
@@ -105,7 +107,7 @@ def build_index(docs: DataFrame, path: str, *, id_col: str = "doc_id",
     if exists(spark, path) and not force:
         return open_index(spark, path, encoder)
     docs = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
-    n = buckets or default_buckets(docs)
+    n = buckets or default_buckets(docs, encoder.dim)
     embedded, post = attach_embeddings(docs, encoder), analysis.postings(docs, fields, n)
     return _write(spark, path, n, embedded, post, encoder, fields, n_cells, centres)
 
@@ -119,6 +121,8 @@ def update_index(spark: SparkSession, path: str, batch: DataFrame, out: str, *,
     Only the batch is analysed and encoded. Parquet tables cannot be changed
     while they are read, so the result is a new index; switch readers to it.
     """
+    if out.rstrip("/") == path.rstrip("/"):
+        raise ValueError("an index cannot be rewritten in place: its tables are read meanwhile")
     encoder = encoder or HashingEncoder()
     old = open_index(spark, path, encoder)
     n = spark.read.parquet(f"{path.rstrip('/')}/meta").first()["buckets"]
@@ -134,6 +138,8 @@ def update_index(spark: SparkSession, path: str, batch: DataFrame, out: str, *,
 def _write(spark: SparkSession, path: str, n: int, embedded: DataFrame, post: DataFrame,
            encoder: Encoder, fields: Sequence[str], n_cells: int | None,
            centres: np.ndarray | None) -> Index:
+    # until the new ``meta`` is written, there is no complete index here
+    spark.createDataFrame([], _META).write.mode("overwrite").parquet(f"{path}/meta")
     for name in _TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {_table(path, name)}")
 
@@ -146,6 +152,10 @@ def _write(spark: SparkSession, path: str, n: int, embedded: DataFrame, post: Da
 
     # one task per bucket, so that a bucket is one sorted file
     docs = write_bucketed(embedded.repartition(n, "doc_id"), "docs", "doc_id")
+    # counted inside the buckets, without a shuffle
+    twice = docs.groupBy("doc_id").count().where("count > 1").select("doc_id").first()
+    if twice:
+        raise ValueError(f"document id {twice[0]!r} comes more than once; keep one row of it first (see latest)")
     postings = write_bucketed(post, "postings", "field", "term", "doc_id")
     analysis.term_stats(postings).write.mode("overwrite").parquet(f"{path}/term_stats")
     analysis.field_stats(postings).coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
@@ -156,7 +166,7 @@ def _write(spark: SparkSession, path: str, n: int, embedded: DataFrame, post: Da
     if centres is not None:
         # a hot cell is spread over several files by the second key
         spread = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // len(centres))))
-        cells = assign_cells(plain, centres).repartition("cell", spread)
+        cells = assign_cells(plain, centres).repartition(n, "cell", spread)
         cells.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
     meta = [(n, encoder.name, encoder.dim, None if centres is None else centres.tolist())]
     spark.createDataFrame(meta, _META).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")

@@ -135,7 +135,7 @@ SELECT {key}, bucket, (s / sqrt(sum(s * s) OVER (PARTITION BY {key})))::FLOAT::D
   SELECT {key}, bucket, sum(sgn)::DOUBLE AS s FROM (
     SELECT {key}, ('0x' || substr(md5(t), 1, 7))::bigint % 64 AS bucket,
            CASE WHEN ('0x' || substr(md5(t), 8, 1))::bigint < 8 THEN 1 ELSE -1 END AS sgn
-    FROM (SELECT {key}, unnest(({toks(text)})[1:256]) AS t FROM {source})
+    FROM (SELECT {key}, unnest({toks(text)}) AS t FROM {source})
   ) GROUP BY ALL HAVING sum(sgn) <> 0)"""
 
 
@@ -321,8 +321,8 @@ _oracle("label_histogram", "qrels", "SELECT query_id, label, count(*) AS n FROM
 _oracle("id_and_geo_lookup", "", """
 SELECT 'doc-' || lpad(c_custkey::varchar, greatest(4, length(c_custkey::varchar))::int, '0') AS id,
   c_name AS title, c_mktsegment AS city, lat, lon
-FROM customer JOIN (VALUES ('AUTOMOBILE', 24.5::DOUBLE, 67.0::DOUBLE), ('BUILDING', 12.97, 77.59),
-  ('FURNITURE', 52.52, 13.4), ('HOUSEHOLD', 53.35, -6.26), ('MACHINERY', 43.65, -79.38)) s(city, lat, lon)
+FROM customer JOIN (VALUES ('AUTOMOBILE', 5.0::DOUBLE, 11.0::DOUBLE), ('BUILDING', 10.0, 22.0),
+  ('FURNITURE', 15.0, 33.0), ('HOUSEHOLD', 20.0, 44.0), ('MACHINERY', 25.0, 55.0)) s(city, lat, lon)
   ON city = c_mktsegment""")
 _oracle("geo_distance_filter", "", """
 SELECT c_custkey, round(m / 1000, 6) AS km FROM (

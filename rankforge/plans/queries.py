@@ -168,8 +168,8 @@ def label_histogram(spark, sf):
 @query
 def id_and_geo_lookup(spark, sf):
     """Every customer gets a padded id and the coordinates of its market."""
-    segments = {"AUTOMOBILE": (24.5, 67.0), "BUILDING": (12.97, 77.59), "FURNITURE": (52.52, 13.4),
-                "HOUSEHOLD": (53.35, -6.26), "MACHINERY": (43.65, -79.38)}
+    names = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+    segments = {name: (5.0 * i, 11.0 * i) for i, name in enumerate(names, 1)}  # made up
     raw = tables.read(spark, sf, "customer").select(
         F.col("c_custkey").alias("position"), F.col("c_name").alias("title"),
         F.col("c_mktsegment").alias("city"),
@@ -405,8 +405,9 @@ def knn_prefilter_vs_postfilter(spark, sf):
 
 def _centres(spark, sf):
     """One fixed cell per label, its number the label's: ten vectors."""
-    rows = tables.label_centroids(spark, sf).orderBy("query_id").limit(1024).toArrow()
-    return knn._matrix(rows.column("embedding").combine_chunks())
+    centroids = tables.label_centroids(spark, sf).orderBy("query_id")
+    knn.check_centres(centroids)
+    return knn._matrix(centroids.toArrow().column("embedding").combine_chunks())
 
 
 @query

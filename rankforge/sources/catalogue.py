@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.config import CITY_COORDINATES, MIN_TITLE_CHARS
+from rankforge.config import MIN_TITLE_CHARS
 from rankforge.functions.text import join_items, parse_price, strip
 
 _LOCATION = "struct<lat:double,lon:double>"
@@ -85,20 +85,23 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ARTICLE_SCHEMA).json(path)
 
 
-def build_articles(raw: DataFrame, position: str = "position",
-                   coordinates: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+def build_articles(raw: DataFrame, coordinates: dict[str, tuple[float, float]],
+                   position: str = "position") -> DataFrame:
     """Number the articles (``doc-0007``) and look up their city's location.
 
     ``position`` is the 0-based place of the article; a file has no order in
     Spark. The city table is a literal of a few rows, so the join broadcasts.
+    An article in a city without coordinates fails the job.
     """
     spark = raw.sparkSession
-    table = coordinates or CITY_COORDINATES
     places = spark.createDataFrame(
-        [(city, lat, lon) for city, (lat, lon) in table.items()],
+        [(city, lat, lon) for city, (lat, lon) in coordinates.items()],
         "city string, _lat double, _lon double",
     )
-    return raw.join(F.broadcast(places), "city").select(
+    unknown = F.raise_error(F.concat(F.lit("no coordinates for city "), F.coalesce("city", F.lit("null"))))
+    located = raw.join(F.broadcast(places), "city", "left").withColumn(
+        "_lat", F.when(F.col("_lat").isNull(), unknown.cast("double")).otherwise(F.col("_lat")))
+    return located.select(
         F.format_string("doc-%04d", F.col(position)).alias("id"),
         *[c for c in raw.columns if c not in (position, "city")],
         "city",

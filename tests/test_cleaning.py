@@ -23,8 +23,8 @@ def test_strip_is_python_strip(spark):
 
 
 def test_tokens(spark):
-    assert one(spark, tokens, "BPACT08WT, 429: ef_search; naïve Über", None) == [
-        ["bpact08wt", "429", "ef_search", "naïve", "über"], []]
+    assert one(spark, tokens, "BPACT08WT, 429: cache_lines; naïve Über", None) == [
+        ["bpact08wt", "429", "cache_lines", "naïve", "über"], []]
 
 
 def test_embedding_text(spark):
@@ -65,15 +65,15 @@ def test_jsonl_scan_skips_what_is_not_a_record(spark, tmp_path):
 
 def test_articles_round_trip(spark, tmp_path):
     raw = spark.createDataFrame(
-        [(7, "Seven", "body", "cat", ["x"], 2024, 4.5, "Berlin")],
+        [(7, "Seven", "body", "cat", ["x"], 2024, 4.5, "Eastport")],
         "position int, title string, text string, category string, tags array<string>, "
         "published_year int, rating double, city string")
-    built = catalogue.build_articles(raw)
+    built = catalogue.build_articles(raw, {"Westhill": (1.5, 2.5), "Eastport": (3.5, 4.5)})
     path = str(tmp_path / "articles")
     catalogue.save(built, path, fmt="json")
     (tmp_path / "articles" / "part-blank.json").write_text("\n\n")
     row = catalogue.read_articles(spark, path).collect()
-    assert [(r.id, r.city, r.location.lat) for r in row] == [("doc-0007", "Berlin", 52.52)]
+    assert [(r.id, r.city, r.location.lat) for r in row] == [("doc-0007", "Eastport", 3.5)]
 
 
 def test_save_keeps_what_is_there(spark, tmp_path):
@@ -142,3 +142,9 @@ def test_nested_qrels_split_a_hot_query(spark):
     assert len([r for r in nested if r.query_id == 1]) == 5
     assert [dict(r.judgments)["d1"].label for r in nested if r.query_id == 2] == ["I"]
     assert len(judged.nest_qrels(flat).collect()) == 2
+
+
+def test_unknown_city_fails(spark):
+    raw = spark.createDataFrame([(1, "t", "Nowhere")], "position int, title string, city string")
+    with pytest.raises(Exception, match="no coordinates for city Nowhere"):
+        catalogue.build_articles(raw, {"Eastport": (3.5, 4.5)}).collect()

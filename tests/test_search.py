@@ -96,7 +96,7 @@ def test_filters(index, articles, asked):
     assert hard({"tags": "plants"}) == {"a5", "a6"}
     assert hard({"tags": ["tools", "knn"]}) == {"a1", "a6"}
     assert hard({"published_year": {"gte": 2024, "lt": 2026}, "kind": "ops"}) == {"a2", "a4"}
-    assert hard(near={"distance": "1400 km", "lat": 52.5, "lon": 13.4}) == {"a1", "a2", "a8"}
+    assert hard(near={"distance": "1400 km", "lat": 10.0, "lon": 20.0}) == {"a1", "a2", "a8"}
     for bad in ({"published_year": {"gt": 1}}, {"published_year": {"gte": 1, "near": 2}}, {"kind": None}):
         with pytest.raises(ValueError):
             filters.hard_condition(schema, bad)
@@ -249,3 +249,44 @@ def test_hashing_encoder(spark):
         want[int(h[:7], 16) % 16] += 1 if int(h[7], 16) < 8 else -1
     assert got[1] == pytest.approx(want / np.linalg.norm(want), abs=1e-6)
     assert got[2] == [0.0] * 16 and got[3] == got[1]
+
+
+def test_whole_texts_are_encoded(spark):
+    texts = [" ".join(["filler"] * 300), " ".join(["filler"] * 300 + ["tail"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "query_id int, query string")
+    whole, cut = rf.HashingEncoder(dim=16), rf.HashingEncoder(dim=16, max_tokens=256)
+    assert len({tuple(r.embedding) for r in rf.encode_queries(df, whole).collect()}) == 2
+    assert len({tuple(r.embedding) for r in rf.encode_queries(df, cut).collect()}) == 1
+
+
+def test_repeated_ids_are_refused(spark, articles, tmp_path):
+    with pytest.raises(ValueError, match="more than once"):
+        prepare_queries(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "query_id int, query string"))
+    path = str(tmp_path / "index")
+    with pytest.raises(ValueError, match="comes more than once"):
+        rf.build_index(articles.unionByName(articles.limit(1)), path, encoder=rf.HashingEncoder(dim=8), buckets=2)
+    # the failed build is no index, and building again works
+    built = rf.build_index(articles, path, encoder=rf.HashingEncoder(dim=8), buckets=2)
+    assert built.docs.count() == articles.count()
+    with pytest.raises(ValueError, match="in place"):
+        from rankforge.plans.index import update_index
+
+        update_index(spark, path, articles.limit(1), path + "/")
+
+
+def test_query_blocks_give_the_same_rows(spark, monkeypatch):
+    from rankforge.operators import knn
+
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id int, embedding array<double>")
+    asked = docs.withColumnRenamed("doc_id", "query_id")
+    whole = sorted(map(tuple, knn.exact_knn(docs, asked, 4).collect()))
+    monkeypatch.setattr(knn, "BLOCK_SCORES", 100)
+    assert sorted(map(tuple, knn.exact_knn(docs, asked, 4).collect())) == whole
+
+
+def test_buckets_follow_the_measured_size(spark, articles):
+    from rankforge.plans.index import default_buckets
+
+    assert default_buckets(articles) == spark.sparkContext.defaultParallelism

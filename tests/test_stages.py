@@ -70,7 +70,7 @@ def test_funnel(index, asked):
 
 
 def test_funnel_geo_filter(index, asked):
-    near = {"distance": "200km", "lat": 52.5, "lon": 13.4}
+    near = {"distance": "200km", "lat": 10.0, "lon": 20.0}
     docs = rf.run_funnel(index, asked, "hybrid", geo=near).documents
     assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} == {"a1"}
 
