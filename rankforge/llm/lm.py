@@ -69,22 +69,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, c)`` over all rows, the end of a document being a word too."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "c"])
-            held.clear()
-            return batch
-
-        for block in blocks(batches):
-            _, codes, words = lower_words(text_array(block.column(0)))
-            for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
-                held[word] = held.get(word, 0) + n
-            held[END_WORD] = held.get(END_WORD, 0) + block.num_rows
-            if len(held) > 400_000:
-                yield flush()
-        yield flush()
+        for block in blocks(batches, max_bytes=16 << 20):
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(text_array(block.column(0))))
+            encoded = lists.flatten().dictionary_encode()
+            words = encoded.dictionary
+            n = np.bincount(encoded.indices.to_numpy(zero_copy_only=False), minlength=len(words))
+            # empty words, which splitting leaves at the ends of a text, are none
+            n = np.where(pc.equal(words, END_WORD).to_numpy(zero_copy_only=False), 0, n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([words, pa.array([END_WORD])]), pa.array(np.append(n, block.num_rows))],
+                names=["word", "c"])
 
     found = docs.select(F.col("text").cast("string")).mapInArrow(apply, "word string, c bigint")
     return found.groupBy("word").agg(F.sum("c").alias("c"))
@@ -240,10 +234,10 @@ class Trainer:
                 self.p[name] -= (size * m / (np.sqrt(s) + 1e-8)).astype(np.float32)
 
 
-def subwords(texts: pa.Array, encoder: Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def subwords(words_of_texts, encoder: Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, each with its end, and where they
-    start, with the end."""
-    starts, codes, words = lower_words(texts)
+    start, with the end; from the words of the texts."""
+    starts, codes, words = words_of_texts
     ids, bounds = encoder.encode_words(words)
     n = len(words)
     length = np.append(np.diff(bounds), 1)
@@ -253,7 +247,7 @@ def subwords(texts: pa.Array, encoder: Encoder, end_id: int) -> tuple[np.ndarray
     out = np.cumsum(counts)
     places = np.arange(out[-1]) + np.repeat(begin[codes] - (out - counts), counts)
     every = np.append(ids.astype(np.int64), end_id)
-    return every[places], np.concatenate(([0], out[starts[1:] + np.arange(len(texts))]))
+    return every[places], np.concatenate(([0], out[starts[1:] + np.arange(len(starts) - 1)]))
 
 
 def chunks(ids: np.ndarray, starts: np.ndarray, code: dict, chunk: int):
@@ -276,15 +270,15 @@ def chunks(ids: np.ndarray, starts: np.ndarray, code: dict, chunk: int):
 
 
 def _windows(texts: pa.Array, encoder: Encoder, code: dict, params: LmParams):
-    inputs, target, scored, _ = chunks(*subwords(texts, encoder, params.end_id), code, params.chunk)
+    inputs, target, scored, _ = chunks(*subwords(lower_words(texts), encoder, params.end_id), code, params.chunk)
     classes = np.where(target >= 0, code["class"][np.maximum(target, 0)], -1)
     return np.concatenate([inputs[scored - 1], inputs[scored]], axis=1), classes[scored]
 
 
-def score_texts(texts: pa.Array, encoder: Encoder, code: dict, p: dict, params: LmParams) -> np.ndarray:
-    """Natural log-probability of every text."""
+def score_texts(words_of_texts, encoder: Encoder, code: dict, p: dict, params: LmParams) -> np.ndarray:
+    """Natural log-probability of every text, given the words of the texts."""
     chunk, d = params.chunk, params.dim
-    inputs, target, _, first = chunks(*subwords(texts, encoder, params.end_id), code, params.chunk)
+    inputs, target, _, first = chunks(*subwords(words_of_texts, encoder, params.end_id), code, params.chunk)
     # per input its vector, query, key, value, and a 1 that adds up the weights
     one = np.ones((len(p["E"]), 1), np.float32)
     rows = np.hstack([p["E"], p["E"] @ p["Q"], p["E"] @ p["K"] / np.float32(np.sqrt(d)), p["E"] @ p["V"], one])
@@ -410,8 +404,8 @@ def score_documents(docs: DataFrame, learnable: Column, params: LmParams = LmPar
             encoder = encoder or Encoder(params.vocabulary)
             texts = text_array(block.column(1))
             m = len(texts)
-            score = score_texts(texts, encoder, code, weights, params) / np.log(10)
             starts, codes, words = lower_words(texts)
+            score = score_texts((starts, codes, words), encoder, code, weights, params) / np.log(10)
             counted = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
             common = counted >= 0
             log = np.log10((np.maximum(counted, 0) + smooth) / below)

@@ -463,14 +463,14 @@ def test_batched_windows_match_one_by_one():
     params = lm.LmParams(dim=8, hidden=8, classes=16, inputs=100)
     encoder = packing.Encoder(params.vocabulary)
     texts = ["", "one", "some words to score in turn " * 9, "and others"]
-    ids, _ = lm.subwords(pa.array(texts), encoder, params.end_id)
+    ids, _ = lm.subwords(lm.lower_words(pa.array(texts)), encoder, params.end_id)
     counts = np.bincount(ids, minlength=params.end_id + 1)
     code = lm.coding(counts, params)
     assert np.bincount(code["class"], np.exp(code["within"])) == pytest.approx(1.0)
     p = lm.initial(params, np.bincount(code["class"], counts, minlength=params.classes))
     p["R"] = np.linspace(0, -1, 2 * params.chunk).astype(np.float32)
-    for text, value in zip(texts, lm.score_texts(pa.array(texts), encoder, code, p, params)):
-        ids, _ = lm.subwords(pa.array([text]), encoder, params.end_id)
+    for text, value in zip(texts, lm.score_texts(lm.lower_words(pa.array(texts)), encoder, code, p, params)):
+        ids, _ = lm.subwords(lm.lower_words(pa.array([text])), encoder, params.end_id)
         x = p["E"][[code["before"]] * (params.chunk + 1) + code["input"][ids[:-1]].tolist()].astype(float)
         plain = 0.0
         for t, subword in enumerate(ids):
