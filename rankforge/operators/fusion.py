@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rankforge.operators.batch import QueryBatch, prepare_queries
 from rankforge.operators.encode import encode_queries
+from rankforge.operators.filters import hard_condition
 from rankforge.operators.knn import cell_knn, exact_knn
 from rankforge.operators.lexical import lexical_search
 
@@ -76,13 +77,21 @@ def neural_search(index, queries: DataFrame | QueryBatch, k: int = 100, *, encod
                   must: Mapping[str, Any] | None = None, geo: Mapping[str, Any] | None = None,
                   should: Mapping[str, Any] | None = None, nprobe: int | None = None) -> DataFrame:
     """Nearest documents to the encoded queries: exact, or over the ``nprobe``
-    nearest cells. Soft preferences do not reach vector search."""
+    nearest cells. Soft preferences do not reach vector search. A filter on a
+    field that is not stored with the vectors, such as a searchable text, is
+    looked up in the documents."""
+    if nprobe is not None and index.centres is None:
+        raise ValueError("nprobe needs an index with cells")
     encoder = index.check_encoder(encoder)
     batch = prepare_queries(queries)
-    vectors = QueryBatch(encode_queries(batch.queries, encoder), batch.n_queries, batch.n_tokens)
+    asked = QueryBatch(encode_queries(batch.queries, encoder), batch.n_queries, batch.n_tokens)
+    vectors = index.vectors
+    if not {*(must or {}), *(["location"] if geo else [])} <= set(vectors.columns):
+        eligible = index.docs.where(hard_condition(index.docs.schema, must, geo)).select("doc_id")
+        vectors, must, geo = vectors.join(eligible, "doc_id", "left_semi"), None, None
     if nprobe is None:
-        return exact_knn(index.vectors, vectors, k, must=must, geo=geo)
-    return cell_knn(index.vectors, vectors, index.centres, k, nprobe, must=must, geo=geo)
+        return exact_knn(vectors, asked, k, must=must, geo=geo)
+    return cell_knn(vectors, asked, index.centres, k, nprobe, must=must, geo=geo)
 
 
 def hybrid_lists(index, queries: DataFrame | QueryBatch, k: int = 100, *, encoder=None,

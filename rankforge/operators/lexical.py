@@ -25,14 +25,19 @@ from rankforge.storage import materialize
 
 # Bounds are sums in another order than the scores: this much room for rounding.
 _MARGIN = 1e-6
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_k(scored: DataFrame, k: int, *, by: str = "score") -> DataFrame:
     """Rank per query, best first, ties by id. ``row_number() <= k`` lets Spark
-    cut every partition to k rows per query before the shuffle."""
+    cut every partition to k rows per query before the shuffle; it does so up to
+    a k that is a session setting, which is raised here where k is larger."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    w = Window.partitionBy("query_id").orderBy(F.desc(by), F.asc("doc_id"))
+    conf = scored.sparkSession.conf
+    if k > int(conf.get(_GROUP_LIMIT)):
+        conf.set(_GROUP_LIMIT, str(k))
+    w =Window.partitionBy("query_id").orderBy(F.desc(by), F.asc("doc_id"))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

@@ -18,14 +18,14 @@ from rankforge.storage import materialize
 
 
 def retrieve(index, queries: DataFrame | QueryBatch, mode: str, k: int, rrf_k: int = 60,
-             **filters) -> DataFrame:
+             nprobe: int | None = None, **filters) -> DataFrame:
     """Candidates of one mode as ``(query_id, rank, doc_id, score)``."""
     if mode == "lexical":
         return lexical_search(index, queries, k, **filters)
     if mode == "neural":
-        return neural_search(index, queries, k, **filters)
+        return neural_search(index, queries, k, nprobe=nprobe, **filters)
     if mode == "hybrid":
-        fused = hybrid_search(index, queries, k, rrf_k=rrf_k, **filters)
+        fused = hybrid_search(index, queries, k, rrf_k=rrf_k, nprobe=nprobe, **filters)
         return fused.select("query_id", "rank", "doc_id", F.col("rrf_score").alias("score"))
     raise ValueError(f"mode must be hybrid, lexical or neural, not {mode!r}")
 
@@ -42,12 +42,14 @@ class FunnelResult:
 def run(index, queries: DataFrame | QueryBatch, mode: str = "hybrid",
         params: FunnelParams = FunnelParams(), *, must: Mapping[str, Any] | None = None,
         should: Mapping[str, Any] | None = None, geo: Mapping[str, Any] | None = None,
-        do_rerank: bool = True, scorer: PairScorer | None = None) -> FunnelResult:
-    """All stages for all queries. The candidates, a few rows per query, are
-    written once: ranking, scoring and the trace all read them."""
+        do_rerank: bool = True, scorer: PairScorer | None = None,
+        nprobe: int | None = None) -> FunnelResult:
+    """All stages for all queries; vector search is exact, or over ``nprobe``
+    cells. The candidates, a few rows per query, are written once: ranking,
+    scoring and the trace all read them."""
     batch = prepare_queries(queries)
     candidates = materialize(
-        retrieve(index, batch, mode, params.candidates, params.rrf_k,
+        retrieve(index, batch, mode, params.candidates, params.rrf_k, nprobe,
                  must=must, should=should, geo=geo),
         "candidates",
     )

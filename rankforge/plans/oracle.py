@@ -401,6 +401,7 @@ _cte("text_scores", "field_scores", "SELECT query_id, doc_id, s FROM field_score
 _oracle("bm25_single_field", "text_scores", hits(ranked("text_scores", "s", 10)))
 _oracle("bm25_best_fields", "bm25", hits(ranked("bm25", "s", 10)))
 _oracle("bm25_pruned", "bm25", hits(ranked("bm25", "s", 10)))
+_oracle("bm25_deep", "bm25", hits(ranked("bm25", "s", 2000)))
 _cte("bm25_docs", "bm25 docs", "SELECT b.*, title, lang, source, n_chars FROM bm25 b JOIN docs USING (doc_id)")
 _oracle("lexical_search", "bm25_docs", hits(
     ranked("bm25_docs", "s", 20, _DOC_FILTER, ", title, lang, source"), ", title, lang, source"))
@@ -416,6 +417,7 @@ _cte("sims", "positions centroids", """
 SELECT query_id, doc_id, any_value(label) AS label, sum(p.x * c.x) AS s
 FROM positions p JOIN centroids c USING (pos) GROUP BY query_id, doc_id""")
 _oracle("knn_exact", "sims", hits(ranked("sims", "s", 10)))
+_oracle("knn_cells_all", "sims", hits(ranked("sims", "s", 10)))
 _oracle("knn_filtered", "sims", hits(ranked("sims", "s", 10, "label IN (1, 4, 7)")))
 _cte("knn10", "sims", ranked("sims", "s", 10, "true", ", label"))
 _oracle("knn_prefilter_vs_postfilter", "sims knn10", f"""
@@ -452,6 +454,29 @@ _cte("lex_src7", "bm25_docs", ranked("bm25_docs", "s + (source = 'src7')::int",
 _cte("vec_src7", "cosine_docs", ranked("cosine_docs", "s", 20, _DOC_FILTER))
 _oracle("hybrid_search", "lex_src7 vec_src7", _FUSED.format(fused([("lex_src7", 1), ("vec_src7", 2)])))
 
+
+
+def _largest(key: str, rows: str, vectors: str) -> str:
+    """The components of every vector, zeros too, by size, as cells."""
+    return f"""
+SELECT a.{key}, b.cell, row_number() OVER (PARTITION BY a.{key} ORDER BY round(coalesce(w, 0), 9) DESC, b.cell) AS place
+FROM {rows} a CROSS JOIN (SELECT unnest(range(64)) AS cell) b
+LEFT JOIN {vectors} v ON v.{key} = a.{key} AND v.bucket = b.cell"""
+
+
+_cte("doc_cells", "docs doc_vec", _largest("doc_id", "docs", "doc_vec"))
+_cte("query_cells", "asked query_vec", _largest("query_id", "asked", "query_vec"))
+_cte("near_docs", "cosines doc_cells query_cells", """
+SELECT c.query_id, c.doc_id, c.s FROM cosines c JOIN doc_cells d ON d.doc_id = c.doc_id AND d.place = 1
+JOIN query_cells q ON q.query_id = c.query_id AND q.cell = d.cell AND q.place <= 16""")
+_cte("near20", "near_docs", ranked("near_docs", "s", 20))
+_cte("fused_near", "lex20 near20", fused([("lex20", 1), ("near20", 1)]))
+_oracle("hybrid_cells", "fused_near", _FUSED.format("SELECT * FROM fused_near"))
+_cte("cosine_titles", "cosines docs", "SELECT c.*, title FROM cosines c JOIN docs USING (doc_id)")
+_cte("lex_title", "bm25_docs", ranked("bm25_docs", "s", 20, "title < 'n'"))
+_cte("vec_title", "cosine_titles", ranked("cosine_titles", "s", 20, "title < 'n'"))
+_oracle("hybrid_title_filter", "lex_title vec_title", _FUSED.format(fused([("lex_title", 1), ("vec_title", 1)])))
+
 # F. reranking -----------------------------------------------------------------
 _oracle("rerank", "resorted", """
 SELECT query_id, new_rank AS rank, doc_id, round(ce, 6) AS ce_score FROM resorted WHERE new_rank <= 10""")
@@ -475,6 +500,7 @@ SELECT query_id, rank, doc_id, round(score, 6) AS score, round(ce, 6) AS ce_scor
   retrieval_rank - rank AS rank_delta FROM ({}) WHERE rank <= 5"""
 _cte("third", "fused20 qpairs dtoks qweights", _funnel_rows("fused20", "rrf_score"))
 _oracle("funnel_hybrid", "third", _FINAL.format("SELECT * FROM third"))
+_oracle("funnel_cells", "fused_near qpairs dtoks qweights", _FINAL.format(_funnel_rows("fused_near", "rrf_score")))
 _cte("lex_en", "bm25_docs", ranked("bm25_docs", "s", 20, "lang = 'en'"))
 _oracle("funnel_lexical", "lex_en qpairs dtoks qweights", _FINAL.format(_funnel_rows("lex_en", "score")))
 _oracle("funnel_neural", "vec20", """

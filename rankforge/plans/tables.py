@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from rankforge.plans.index import Index, build_index
 from rankforge.storage import prepared, shared_dir, spread
 
 ENCODER = HashingEncoder(dim=64)
+# Fixed cells that SQL can follow: a vector's cell is its largest component.
+CENTRES = np.eye(ENCODER.dim)
 # Per query, besides the documents that contain its passage, this many others
 # are judged: the first two substitute, the next three complement, the rest not.
 POOL = 10
@@ -57,10 +60,12 @@ def _containing(spark: SparkSession, sf_dir: str) -> DataFrame:
         queries(spark, sf_dir).withColumn("toks", tokens(F.col("query")))
         .select("query_id", "query", longest["t"].alias("anchor"))
     )
-    words = spread(read(spark, sf_dir, "documents"), "doc_id").select(
-        "doc_id", "text", F.explode(F.array_distinct(tokens(F.col("text")))).alias("anchor")
-    )
-    return words.join(passages, "anchor").where(F.contains("text", "query")).select("query_id", "doc_id")
+    docs = spread(read(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text")
+    words = docs.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("anchor"))
+    # texts join the pairs to compare, so that none is copied once per word
+    pairs = words.join(passages.select("query_id", "anchor"), "anchor").select("query_id", "doc_id")
+    texts = pairs.join(docs, "doc_id").join(passages.select("query_id", "query"), "query_id")
+    return texts.where(F.contains("text", "query")).select("query_id", "doc_id")
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,4 +185,4 @@ def resident_index(spark: SparkSession, sf_dir: str) -> Index:
     """The searchable tables of the documents: built by the first job that asks
     for them in a session, opened by the others."""
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-index-{_slug(sf_dir)}"
-    return build_index(documents(spark, sf_dir), path, encoder=ENCODER)
+    return build_index(documents(spark, sf_dir), path, encoder=ENCODER, centres=CENTRES)

@@ -121,6 +121,8 @@ def nest_qrels(qrels: DataFrame, part_rows: int = 1000) -> DataFrame:
     return (
         qrels.join(counts, "query_id")
         .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("_parts")).cast("int"))
+        # the join deals by query; without this its parts would stay in one task
+        .repartition("query_id", "part")
         .groupBy("query_id", "query", "part")
         .agg(F.map_from_entries(F.collect_list(F.struct("doc_id", F.struct(*rest)))).alias("judgments"))
     )

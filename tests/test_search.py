@@ -1,4 +1,6 @@
+import dataclasses
 import math
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -81,6 +83,25 @@ def test_plan_shuffles_only_the_top_k(index, asked):
     assert "Exchange hashpartitioning(doc_id" not in final
 
 
+def test_cut_before_the_shuffle_at_any_k(index, asked):
+    found = lexical.lexical_search(index, prepare_queries(asked), 5000)
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("WindowGroupLimit") >= 2
+
+
+def test_cells_of_an_index(index, asked):
+    """Cells that no query looks into are not read; text fields can be filtered."""
+    one = asked.where("query_id = 1")
+    plan = fusion.neural_search(index, one, 3, nprobe=1)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cell", plan)
+    found = fusion.hybrid_search(index, asked, 5, must={"title": "Garden tools"}, nprobe=3)
+    assert {r.doc_id for r in found.collect()} == {"a6"}
+    assert rf.run_funnel(index, asked, "neural", nprobe=1, do_rerank=False).documents.count() > 0
+    with pytest.raises(ValueError, match="with cells"):
+        fusion.neural_search(dataclasses.replace(index, centres=None), asked, 3, nprobe=1)
+
+
 def test_probe_queries(index, asked):
     found = rows(lexical.lexical_search(index, asked, 5))
     assert found[1][0].doc_id == "a1" and found[2][0].doc_id == "a2"
