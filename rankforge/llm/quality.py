@@ -10,6 +10,7 @@ model of two small arrays sent to the executors.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -72,6 +73,13 @@ def word_features(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarra
     return every[order], np.concatenate(([0], np.cumsum(np.bincount(owners, minlength=len(words)))))
 
 
+def _features_in_steps(words: list[str], buckets: int, step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`word_features`, with working memory for ``step`` words."""
+    found = [word_features(words[low:low + step], buckets) for low in range(0, max(len(words), 1), step)]
+    sizes = np.concatenate([np.diff(bounds) for _, bounds in found])
+    return np.concatenate([f.astype(np.int32) for f, _ in found]), np.concatenate(([0], np.cumsum(sizes)))
+
+
 def pair_features(codes: np.ndarray, hashes: np.ndarray, buckets: int) -> np.ndarray:
     """A bucket for each word but the first with the word before it; all pairs
     of equal words share bucket 0."""
@@ -88,20 +96,23 @@ def train(texts: list[str], labels: np.ndarray, params: QualityParams) -> Qualit
         zero = np.zeros(size, np.float32)
         return QualityModel(zero, zero, float(np.log(share / (1 - share))))
     starts, codes, words = words_of(pa.array(texts, pa.large_string()))
-    features, bounds = word_features(words, size)
+    del texts
+    features, bounds = _features_in_steps(words, size)
     hashes = word_hashes(words)
-    # the features of all documents one after another, with their weights
-    flat, weights, ends = [], [], [0]
+    # the features of all documents one after another, with their weights; in
+    # buffers that grow in place, as the driver's memory is small
+    flat, weights, ends = array("i"), array("f"), [0]
     for i in range(n):
         own = codes[starts[i]:starts[i + 1]]
         parts = [features[bounds[c]:bounds[c + 1]] for c in own]
         if len(own) > 1:
             parts.append(pair_features(own, hashes, size) + size)
         ids, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0), np.zeros(0))
-        flat.append(ids.astype(np.int32))
-        weights.append((counts / max(counts.sum(), 1)).astype(np.float32))
+        flat.frombytes(ids.astype(np.int32).tobytes())
+        weights.frombytes((counts / max(counts.sum(), 1)).astype(np.float32).tobytes())
         ends.append(ends[-1] + len(ids))
-    flat, weights = np.concatenate(flat), np.concatenate(weights)
+    del features, bounds, hashes, codes, words
+    flat, weights = np.frombuffer(flat, np.int32), np.frombuffer(weights, np.float32)
     rng = np.random.default_rng(params.seed)
     vectors = rng.uniform(-1.0 / dim, 1.0 / dim, (2 * size, dim)).astype(np.float32)
     output, bias = np.zeros((dim, 2), np.float32), np.array([0.0, np.log(share / (1 - share))], np.float32)
@@ -149,7 +160,12 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
     sample = labelled_sample(
         docs, labels, "quality", ~remainder_is(F.col("doc_id"), 5, 0), params.per_class, params.max_doc_chars
     )
-    return train(sample["text"].tolist(), sample["label"].to_numpy(np.int64), params)
+    texts, marks = [sample["text"].tolist()], sample["label"].to_numpy(np.int64)
+    del sample
+    model = train(texts.pop(), marks, params)
+    # what the sample took goes back to the system: later stages share the driver
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score_documents(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
