@@ -182,7 +182,7 @@ def score_documents(docs: DataFrame, model: QualityModel, name: str = "score") -
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = QualityModel(**shared.value)
-        for batch in blocks(batches):
+        for batch in blocks(batches, max_bytes=2 << 20):
             text = text_array(batch.column(batch.schema.get_field_index("text")))
             values = pa.array(scores(text, model), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
