@@ -208,7 +208,7 @@ def pack_documents(docs: DataFrame, params: PackingParams = PackingParams()) ->
             out.clear()
             return batch
 
-        for block in blocks(batches):
+        for block in blocks(batches, max_bytes=4 << 20):
             ids, starts = encoder.encode_block(text_array(block.column(1)), end_id)
             for doc_id, low, high in zip(block.column(0).to_pylist(), starts[:-1].tolist(), starts[1:].tolist()):
                 total = high - low
