@@ -35,21 +35,40 @@ def parse_json_lines(lines: DataFrame, fields: dict[str, str], line: str = "valu
     """One row per line that holds a JSON object; other lines are skipped.
 
     Invalid UTF-8 bytes are dropped from the line before it is parsed. A field
-    whose value does not fit its type is null; the rest of the row is kept.
+    whose value does not fit its type is null; the rest of the row is kept. Of a
+    repeated key the last value counts, and ``NaN`` and ``Infinity`` are numbers.
     """
-    clean = F.regexp_replace(F.make_valid_utf8(F.col(line)), "�", "")
+    raw = F.col(line)
+    # a line that is valid keeps the replacement characters it came with
+    clean = F.when(F.is_valid_utf8(raw), raw).otherwise(
+        F.regexp_replace(F.make_valid_utf8(raw), "�", ""))
     is_object = F.regexp_like(clean, F.lit(r"^\s*\{[\s\S]*\}\s*$"))
     # the parser stops after the first value; inside brackets a second one on
     # the same line is an error, or shows up as a second element
-    listed = F.try_parse_json(F.concat(F.lit("["), clean, F.lit("]")))
+    bracketed = F.concat(F.lit("["), clean, F.lit("]"))
+    listed = F.try_parse_json(bracketed)
+    # the strict parser refuses repeated keys and numbers like NaN; such lines
+    # go to the lenient one
+    schema = ", ".join(f"`{name}`: {kind}" for name, kind in fields.items())
+    lenient = F.from_json(bracketed, f"array<struct<{schema}>>")
     # Exploding a one-element array keeps the filter from being pushed below the
-    # parser, where it would parse every line once more per condition.
-    parsed = lines.select(F.explode(F.array(F.when(is_object, listed))).alias("_v")).where(
-        F.col("_v").isNotNull() & F.try_variant_get("_v", "$[1]", "variant").isNull()
-    )
-    return parsed.select(
-        *(F.try_variant_get("_v", f"$[0].{name}", kind).alias(name) for name, kind in fields.items())
-    )
+    # parser, where it would parse every line once more per condition; the
+    # lambda keeps the parser's result from being computed twice.
+    parsed = lines.select(F.explode(F.transform(F.array(F.when(is_object, listed)), lambda v: F.struct(
+        v.alias("v"), F.when(v.isNull() & is_object, lenient).alias("l")))).alias("_p"))
+    one = F.col("_p.v").isNotNull() & F.try_variant_get("_p.v", "$[1]", "variant").isNull()
+    other = F.col("_p.v").isNull() & (F.size("_p.l") == 1) & F.get("_p.l", F.lit(0)).isNotNull()
+
+    def second(name: str, kind: str) -> Column:
+        value = F.get("_p.l", F.lit(0))[name]
+        # read as text, a number like NaN comes in quotes
+        return F.regexp_replace(value, r'^"(NaN|-?Infinity)"$', "$1") if kind == "string" else value
+
+    return parsed.where(one | other).select(*(
+        F.when(F.col("_p.v").isNotNull(), F.try_variant_get("_p.v", f"$[0].{name}", kind))
+        .otherwise(second(name, kind)).alias(name)
+        for name, kind in fields.items()
+    ))
 
 
 def read_raw_products(spark: SparkSession, path: str) -> DataFrame:

@@ -41,6 +41,29 @@ def test_items_and_keyword(spark):
     assert one(spark, keyword, "x" * 256, "x" * 257) == ["x" * 256, None]
 
 
+def test_jsonl_scan_keeps_nan_repeated_keys_and_replacement_characters(spark):
+    lines = [
+        '{"parent_asin":"a","price":NaN,"average_rating":4.5,"features":["x",null]}',
+        '{"parent_asin":"b","title":"one","title":"two"}',
+        '{"parent_asin":"c","title":"t\ufffdu"}',
+        '{"parent_asin":"d"} {"x":1}',
+        '{"parent_asin":"e","price":NaN} {"x":1}',
+        '{"parent_asin":"f","price":NaN,"ti',
+        '{"parent_asin":"g","price":-Infinity,"rating_number":"many"}',
+        '{"parent_asin":"h","average_rating":NaN, bad}',
+    ]
+    table = spark.createDataFrame([(x,) for x in lines], "value string")
+    rows = catalogue.parse_json_lines(table, catalogue.RAW_PRODUCT_FIELDS)
+    found = {r["parent_asin"]: (r["title"], r["price"], r["average_rating"], r["features"], r["rating_number"])
+             for r in rows.collect()}
+    assert found == {
+        "a": (None, "NaN", 4.5, ["x", None], None),
+        "b": ("two", None, None, None, None),
+        "c": ("t\ufffdu", None, None, None, None),
+        "g": (None, "-Infinity", None, None, None),
+    }
+
+
 def test_jsonl_scan_skips_what_is_not_a_record(spark, tmp_path):
     lines = [
         b'{"parent_asin": "A1", "title": " caf\xff\xc3\xa9 ", "price": 13.99, "features": [" a ", ""], "rating_number": 3}',
