@@ -7,8 +7,8 @@ same counts. One attention head with a bias for each distance, a residual
 connection and a small feed-forward layer give the class.
 
 Training starts on the driver with a bounded sample, then goes on in all tasks
-over a fixed share of all training documents, and the tasks' parameters are
-averaged by their numbers of tokens. Scoring cuts a text into chunks; a window is
+over all training documents, and the tasks' parameters are averaged by their
+numbers of tokens. Scoring cuts a text into chunks; a window is
 a chunk and the one before it, so each subword is scored once, with at least a
 chunk of context, in batches of masked attention.
 
@@ -17,6 +17,7 @@ Words are those of the text in lower case (A-Z), each with a space before it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,8 +51,6 @@ class LmParams:
     sample_docs: int = 400
     max_doc_chars: int = 10_000
     epochs: int = 4
-    # share of all training documents that the tasks go on with
-    share: float = 1 / 64
     batch: int = 64  # chunks of a training step
     rate: float = 4e-3
     seed: int = 3
@@ -177,8 +176,7 @@ def _gradients(p: dict, window: np.ndarray, target: np.ndarray, chunk: int) -> d
     x = p["E"][window]
     now = x[:, chunk:]
     q, k, v = now @ p["Q"], x @ p["K"], x @ p["V"]
-    s = q @ k.transpose(0, 2, 1) / np.sqrt(d) + p["R"][distance]
-    s[:, later] = -np.inf
+    s = q @ k.transpose(0, 2, 1) / math.sqrt(d) + np.where(later, p["R"].dtype.type(-np.inf), p["R"][distance])
     a = np.exp(s - s.max(axis=-1, keepdims=True))
     a /= a.sum(axis=-1, keepdims=True)
     h = now + a @ v
@@ -199,11 +197,13 @@ def _gradients(p: dict, window: np.ndarray, target: np.ndarray, chunk: int) -> d
     da = dh @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dh
     ds = a * (da - (da * a).sum(axis=-1, keepdims=True))
-    dq, dk = ds @ k / np.sqrt(d), ds.transpose(0, 2, 1) @ q / np.sqrt(d)
+    dq, dk = ds @ k / math.sqrt(d), ds.transpose(0, 2, 1) @ q / math.sqrt(d)
     dx = dk @ p["K"].T + dv @ p["V"].T
     dx[:, chunk:] += dq @ p["Q"].T + dh
     de = np.zeros_like(p["E"])
-    np.add.at(de, window.ravel(), flat(dx))
+    order = np.argsort(window.ravel(), kind="stable")
+    rows, first = np.unique(window.ravel()[order], return_index=True)
+    de[rows] = np.add.reduceat(flat(dx)[order], first)
     dr = np.bincount(distance.ravel(), np.where(later, 0, ds.sum(axis=0)).ravel(), minlength=2 * chunk)
     return {"E": de, "Q": flat(now).T @ flat(dq), "K": flat(x).T @ flat(dk), "V": flat(x).T @ flat(dv),
             "R": dr.astype(np.float32), "W1": flat(h).T @ flat(dz), "b1": flat(dz).sum(axis=0),
@@ -362,9 +362,8 @@ def fit(docs: DataFrame, counts: np.ndarray, params: LmParams = LmParams()) -> t
         mean = np.average(np.stack(group["values"].to_list()).astype(np.float64), axis=0, weights=group["tokens"])
         return pd.DataFrame({"piece": [int(group["piece"].iloc[0])], "values": [mean.astype(np.float32)]})
 
-    part = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1_000_003)) < params.share * 1_000_003)
     rows = (
-        part.select(F.coalesce("text", F.lit(""))).mapInArrow(go_on, "piece int, tokens bigint, values array<float>")
+        docs.select(F.coalesce("text", F.lit(""))).mapInArrow(go_on, "piece int, tokens bigint, values array<float>")
         .groupBy("piece").applyInPandas(average, "piece int, values array<float>").collect()
     )
     if rows:

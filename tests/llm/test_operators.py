@@ -485,6 +485,26 @@ def test_batched_windows_match_one_by_one():
         assert value == pytest.approx(plain, rel=1e-4)
 
 
+def test_training_takes_every_document(spark):
+    import pyarrow as pa
+
+    params = lm.LmParams(dim=4, hidden=5, classes=16, inputs=100, sample_docs=0)
+    texts = [f"text {i} of the words {'to learn from ' * (i % 5)}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    encoder = packing.Encoder(params.vocabulary)
+    ids, _ = lm.subwords(lm.lower_words(pa.array(texts)), encoder, params.end_id)
+    counts = np.bincount(ids, minlength=params.end_id + 1)
+    code, found = lm.fit(docs, counts, params)
+    mass = np.bincount(code["class"], counts, minlength=params.classes)
+    trainer = lm.Trainer(lm.initial(params, mass), params, params.rate / 4)
+    window, target = lm._windows(pa.array(texts), encoder, code, params)
+    order = np.random.default_rng(params.seed).permutation(len(window))
+    trainer.learn(window[order], target[order])
+    assert trainer.tokens == len(ids)
+    for name, value in trainer.p.items():
+        assert found[name] == pytest.approx(value, abs=1e-5), name
+
+
 def test_gradients_match_differences():
     params = lm.LmParams(dim=4, hidden=5, classes=6, inputs=10, chunk=3)
     rng = np.random.default_rng(9)
