@@ -51,7 +51,16 @@ MORE_RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("payment", r"[rs]k_(?:live|test)_[0-9A-Za-z]{16,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # a key goes to the END line of its own kind, if that is the next BEGIN or END
+    # line; else over the base64 that follows: long runs after any white space
+    # (or its escapes), whole lines, and the lines of an encrypted key's header.
+    # Repeated groups are possessive: Java would recurse for others.
+    Rule("private_key",
+         r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----"
+         r"(?:(?:(?!-----(?:BEGIN|END) )[\s\S])*+-----END \1PRIVATE KEY-----"
+         r"|(?:(?:\s|\\[nr])++[A-Za-z0-9+/]{20,}+={0,2}"
+         r"|[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+[A-Za-z0-9+/]++={0,2}(?=[\x20\t\r]*+(?:\n|\\[nr]|$))"
+         r"|(?:\s|\\[nr])++(?:Proc-Type|DEK-Info):[^\r\n]*+)*+)"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE_RULES + MORE_RULES

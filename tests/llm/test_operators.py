@@ -1,6 +1,7 @@
 """Every operator on messy rows, on none, and against a plain computation."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -370,6 +371,31 @@ def test_redaction(spark):
     assert {r["doc_id"]: r["text"] for r in found.collect()} == {1: "a [SECRET] b", 2: "clean", 3: None}
 
 
+def test_whole_private_keys(spark):
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("ABCDXYZabcxyz0123456789+/", k=64)) for _ in range(2500)] + ["Zm9vYmFy=="]
+    head, end, body = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "\n".join(lines)
+    few = "\n".join(lines[-3:])
+    enciphered = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n"
+    keys = [
+        f"{head}\n{few}\n{end}", f"{head}\n{body}\n{end}", f"{head}\r\n{enciphered}{few}\r\n{end}", f"{head}\n{few}",
+        f"{head}\n{enciphered}{few}", f"{head}\n{body}", head + "\\n" + "\\n".join(lines[-3:]) + "\\n" + end,
+        head + " " + " ".join(lines[-3:-1]), f"{head}\n  {few}".replace("\n", "\r\n"), head,
+    ]
+    texts = [f"é😀 before {key}{after}" for key in keys for after in ("", "\nand words after")]
+    # the next key's END is not that of a key cut off, and other kinds end elsewhere
+    texts += [f"{keys[3]}\n{keys[0]}\nx y", f"{keys[3]}\n\nkept words\n-----END EC PRIVATE KEY-----"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = secret_scan.scan(docs)
+    got = {r["doc_id"]: r for r in found.withColumn("left", secret_scan.redact(F.col("text"), F.col("spans"))).collect()}
+    expected = [f"é😀 before [SECRET]{after}" for _ in keys for after in ("", "\nand words after")]
+    expected += ["[SECRET]\n[SECRET]\nx y", "[SECRET]\n\nkept words\n-----END EC PRIVATE KEY-----"]
+    assert [got[i]["left"] for i in range(len(texts))] == expected
+    for i, key in enumerate(keys):
+        spans = [(s["start"], s["end"]) for s in got[2 * i + 1]["spans"] if s["kind"] == "private_key"]
+        assert spans == [(10, 10 + len(key))]
+
+
 # SimHash ----------------------------------------------------------------------------
 
 
