@@ -1,9 +1,10 @@
 """Language-model scores: a causal self-attention model over subword ids, in numpy.
 
-The model predicts the class of the next subword from the last ones, and the
-subword from its class. Classes are bins of equal frequency over the subword
-counts of all training documents; a subword's share of its class comes from the
-same counts. One attention head with a bias for each distance, a residual
+The model predicts the class of the next subword from the last ones, then its
+slot in the class, by two softmax levels that both see the context. Classes are
+bins of equal frequency over the subword counts of all training documents. A
+frequent subword has a slot of its own; the others of a class share slots of
+equal frequency, and only a subword's share of such a slot comes from the counts. One attention head with a bias for each distance, a residual
 connection and a small feed-forward layer give the class.
 
 Training starts on the driver with a bounded sample, then goes on in all tasks
@@ -44,6 +45,7 @@ class LmParams:
     smoothing: float = 0.1
     classes: int = 64
     inputs: int = 2048  # frequent subwords with a vector of their own; the others share their class's
+    shared: int = 64  # slots of a class for all its subwords without one of their own, at most
     dim: int = 16
     hidden: int = 32
     chunk: int = 16
@@ -143,7 +145,34 @@ def coding(counts: np.ndarray, params: LmParams) -> dict:
     rank = np.arange(len(counts))
     inputs[order] = np.where(rank < params.inputs, rank, params.inputs + classes[order])
     return {"class": classes.astype(np.int32), "within": np.log(smooth / total[classes]),
-            "input": inputs.astype(np.int32), "before": params.inputs + params.classes}
+            "input": inputs.astype(np.int32), "before": params.inputs + params.classes,
+            **_slots(smooth, order, classes, params)}
+
+
+def _slots(smooth: np.ndarray, order: np.ndarray, classes: np.ndarray, params: LmParams) -> dict:
+    """Per subword id its slot and log-probability in the slot, per slot its
+    log-probability in the class, and where the slots of each class start, with
+    the end. ``order`` has the ids by frequency, and so by class."""
+    slot, spans = np.empty(len(smooth), np.int64), [0]
+    own = np.zeros(len(smooth), bool)
+    own[order[:params.inputs]] = True
+    ends = np.searchsorted(classes[order], np.arange(params.classes + 1))
+    for low, high in zip(ends[:-1], ends[1:]):
+        ids = order[low:high]
+        n = int(own[ids].sum())  # the first ones
+        slot[ids[:n]] = spans[-1] + np.arange(n)
+        rest = smooth[ids[n:]]
+        if len(rest):
+            middle = (np.cumsum(rest) - rest / 2) / rest.sum()
+            used, at = np.unique(np.minimum((middle * params.shared).astype(np.int64), params.shared - 1), return_inverse=True)
+            slot[ids[n:]] = spans[-1] + n + at
+            n += len(used)
+        spans.append(spans[-1] + n)
+    spans = np.array(spans)
+    mass = np.bincount(slot, smooth, minlength=spans[-1])
+    of_class = np.bincount(classes, smooth, minlength=params.classes)
+    prior = np.log(mass / np.repeat(of_class, np.diff(spans))).astype(np.float32)
+    return {"slot": slot.astype(np.int32), "in_slot": np.log(smooth / mass[slot]), "prior": prior, "spans": spans}
 
 
 def initial(params: LmParams, class_mass: np.ndarray) -> dict[str, np.ndarray]:
@@ -158,7 +187,10 @@ def initial(params: LmParams, class_mass: np.ndarray) -> dict[str, np.ndarray]:
             "K": normal(d, d, scale=d ** -0.5), "V": normal(d, d, scale=0.5 * d ** -0.5),
             "R": np.zeros(2 * params.chunk, np.float32), "W1": normal(d, h, scale=d ** -0.5),
             "b1": np.zeros(h, np.float32), "W2": normal(h, d, scale=0.5 * h ** -0.5),
-            "C": normal(d, k, scale=0.3 * d ** -0.5), "c": bias}
+            "C": normal(d, k, scale=0.3 * d ** -0.5), "c": bias,
+            # what the context adds to the frequencies of the slots: nothing yet
+            "O": np.zeros((params.inputs + k * params.shared, d), np.float32),
+            "o": np.zeros(params.inputs + k * params.shared, np.float32)}
 
 
 def _distance(chunk: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,9 +200,22 @@ def _distance(chunk: int) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(distance, 0), distance < 0
 
 
-def _gradients(p: dict, window: np.ndarray, target: np.ndarray, chunk: int) -> dict[str, np.ndarray]:
+def _slot_logits(p: dict, g: np.ndarray, classes: np.ndarray, code: dict):
+    """Per class of more than one slot: the rows of ``g`` that want it, its
+    first slot and the end, and the rows' log-weights of its slots."""
+    order = np.argsort(classes, kind="stable")
+    spans = code["spans"]
+    ends = np.searchsorted(classes[order], np.arange(len(spans)))
+    for c in np.flatnonzero((np.diff(ends) > 0) & (np.diff(spans) > 1)):
+        rows, low, high = order[ends[c]:ends[c + 1]], spans[c], spans[c + 1]
+        yield rows, low, high, g[rows] @ p["O"][low:high].T + (p["o"][low:high] + code["prior"][low:high])
+
+
+def _gradients(p: dict, window: np.ndarray, target: np.ndarray, chunk: int,
+               slot: np.ndarray | None = None, code: dict | None = None) -> dict[str, np.ndarray]:
     """Of the mean loss; ``window`` (m, 2 * chunk) inputs, ``target`` (m, chunk)
-    classes, -1 after the end of a text."""
+    classes, -1 after the end of a text, ``slot`` their slots. Without slots
+    the loss is that of the classes."""
     d = p["Q"].shape[0]
     distance, later = _distance(chunk)
     x = p["E"][window]
@@ -192,6 +237,18 @@ def _gradients(p: dict, window: np.ndarray, target: np.ndarray, chunk: int) -> d
     dl = probability * (valid / max(valid.sum(), 1))[..., None].astype(np.float32)
     flat = lambda t: t.reshape(-1, t.shape[-1])
     dg = dl @ p["C"].T
+    do, dob = np.zeros_like(p["O"]), np.zeros_like(p["o"])
+    if slot is not None:
+        real = np.flatnonzero(valid.ravel())
+        wanted, inner, dinner = slot.ravel()[real], flat(g)[real], np.zeros((len(real), d), g.dtype)
+        for rows, low, high, weights in _slot_logits(p, inner, target.ravel()[real], code):
+            weights = np.exp(weights - weights.max(axis=-1, keepdims=True))
+            weights /= weights.sum(axis=-1, keepdims=True)
+            weights[np.arange(len(rows)), wanted[rows] - low] -= 1
+            weights /= len(real)
+            do[low:high], dob[low:high] = weights.T @ inner[rows], weights.sum(axis=0)
+            dinner[rows] = weights @ p["O"][low:high]
+        flat(dg)[real] += dinner
     dz = (dg @ p["W2"].T) * (z > 0)
     dh = dg + dz @ p["W1"].T
     da = dh @ v.transpose(0, 2, 1)
@@ -207,7 +264,8 @@ def _gradients(p: dict, window: np.ndarray, target: np.ndarray, chunk: int) -> d
     dr = np.bincount(distance.ravel(), np.where(later, 0, ds.sum(axis=0)).ravel(), minlength=2 * chunk)
     return {"E": de, "Q": flat(now).T @ flat(dq), "K": flat(x).T @ flat(dk), "V": flat(x).T @ flat(dv),
             "R": dr.astype(np.float32), "W1": flat(h).T @ flat(dz), "b1": flat(dz).sum(axis=0),
-            "W2": flat(r).T @ flat(dg), "C": flat(g).T @ flat(dl), "c": flat(dl).sum(axis=0)}
+            "W2": flat(r).T @ flat(dg), "C": flat(g).T @ flat(dl), "c": flat(dl).sum(axis=0),
+            "O": do, "o": dob}
 
 
 class Trainer:
@@ -219,10 +277,11 @@ class Trainer:
         self.s = {k: np.zeros_like(v) for k, v in weights.items()}
         self.params, self.rate, self.steps, self.tokens = params, rate, 0, 0
 
-    def learn(self, window: np.ndarray, target: np.ndarray) -> None:
+    def learn(self, window: np.ndarray, target: np.ndarray, slot: np.ndarray, code: dict) -> None:
         for low in range(0, len(window), self.params.batch):
-            part = target[low:low + self.params.batch]
-            gradients = _gradients(self.p, window[low:low + self.params.batch], part, self.params.chunk)
+            now = slice(low, low + self.params.batch)
+            part = target[now]
+            gradients = _gradients(self.p, window[now], part, self.params.chunk, slot[now], code)
             self.steps += 1
             self.tokens += int((part >= 0).sum())
             size = self.rate * min(1.0, self.steps / 20)
@@ -271,8 +330,9 @@ def chunks(ids: np.ndarray, starts: np.ndarray, code: dict, chunk: int):
 
 def _windows(texts: pa.Array, encoder: Encoder, code: dict, params: LmParams):
     inputs, target, scored, _ = chunks(*subwords(lower_words(texts), encoder, params.end_id), code, params.chunk)
-    classes = np.where(target >= 0, code["class"][np.maximum(target, 0)], -1)
-    return np.concatenate([inputs[scored - 1], inputs[scored]], axis=1), classes[scored]
+    target = target[scored]
+    classes, slots = (np.where(target >= 0, code[of][np.maximum(target, 0)], -1) for of in ("class", "slot"))
+    return np.concatenate([inputs[scored - 1], inputs[scored]], axis=1), classes, slots
 
 
 def score_texts(words_of_texts, encoder: Encoder, code: dict, p: dict, params: LmParams) -> np.ndarray:
@@ -314,7 +374,12 @@ def score_texts(words_of_texts, encoder: Encoder, code: dict, p: dict, params: L
         picked = logits[real, code["class"][ids]]
         np.exp(logits, out=logits)
         value = np.zeros(len(want))
-        value[real] = picked - np.log(logits.sum(axis=-1)[real]) + code["within"][ids]
+        inner = np.zeros(len(ids))
+        for at, first_slot, _, weights in _slot_logits(p, h[real], code["class"][ids], code):
+            top = weights.max(axis=-1)
+            own_weight = weights[np.arange(len(at)), code["slot"][ids[at]] - first_slot]
+            inner[at] = own_weight - top - np.log(np.exp(weights - top[:, None]).sum(axis=-1))
+        value[real] = picked - np.log(logits.sum(axis=-1)[real]) + inner + code["in_slot"][ids]
         own[low:high] = value.reshape(-1, chunk).sum(axis=1)
     return np.add.reduceat(own, first[:-1])
 
@@ -331,12 +396,12 @@ def fit(docs: DataFrame, counts: np.ndarray, params: LmParams = LmParams()) -> t
     texts = [r["text"] for r in sample.orderBy(share, "doc_id", "text").limit(params.sample_docs).select("text").collect()]
     if texts:
         encoder = Encoder(params.vocabulary)
-        window, target = _windows(pa.array(texts, pa.string()), encoder, code, params)
+        window, target, slot = _windows(pa.array(texts, pa.string()), encoder, code, params)
         trainer = Trainer(weights, params, params.rate)
         rng = np.random.default_rng(params.seed)
         for _ in range(params.epochs):
             order = rng.permutation(len(window))
-            trainer.learn(window[order], target[order])
+            trainer.learn(window[order], target[order], slot[order], code)
         weights = trainer.p
     names = list(weights)
     shapes = [weights[k].shape for k in names]
@@ -348,9 +413,9 @@ def fit(docs: DataFrame, counts: np.ndarray, params: LmParams = LmParams()) -> t
         encoder, trainer = None, Trainer(weights, params, params.rate / 4)
         for block in blocks(batches, max_bytes=1 << 20):
             encoder = encoder or Encoder(params.vocabulary)
-            window, target = _windows(text_array(block.column(0)), encoder, code, params)
+            window, target, slot = _windows(text_array(block.column(0)), encoder, code, params)
             order = np.random.default_rng(params.seed).permutation(len(window))
-            trainer.learn(window[order], target[order])
+            trainer.learn(window[order], target[order], slot[order], code)
         if trainer.tokens:
             flat = np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float32)
             parts = [flat[low:low + piece].tolist() for low in range(0, len(flat), piece)]

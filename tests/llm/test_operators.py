@@ -511,6 +511,43 @@ def test_batched_windows_match_one_by_one():
         assert value == pytest.approx(plain, rel=1e-4)
 
 
+def test_context_chooses_inside_classes():
+    import pyarrow as pa
+
+    params = lm.LmParams(dim=8, hidden=8, classes=2, inputs=20, shared=3)
+    encoder = packing.Encoder(params.vocabulary)
+    texts = pa.array(["red fox then blue owl then " * 60, "blue owl then red fox then " * 60])
+    ids, _ = lm.subwords(lm.lower_words(texts), encoder, params.end_id)
+    counts = np.bincount(ids, minlength=params.end_id + 1)
+    code = lm.coding(counts, params)
+    # slots lie in their classes, and shares multiply to those of the counts
+    assert (code["slot"] >= code["spans"][code["class"]]).all() and (code["slot"] < code["spans"][code["class"] + 1]).all()
+    assert code["prior"][code["slot"]] + code["in_slot"] == pytest.approx(code["within"], abs=1e-4)
+    window, target, slot = lm._windows(texts, encoder, code, params)
+    trainer = lm.Trainer(lm.initial(params, np.bincount(code["class"], counts, minlength=params.classes)), params, 0.02)
+    for _ in range(150):
+        trainer.learn(window, target, slot, code)
+    score = lm.score_texts(lm.lower_words(texts), encoder, code, trainer.p, params)
+    # the words follow from those before; plain shares of the classes cannot score this
+    assert (score > 0.5 * np.bincount(np.repeat([0, 1], len(ids) // 2), code["within"][ids])).all()
+    many = lm.score_texts(lm.lower_words(pa.concat_arrays([texts] * 20)), encoder, code, trainer.p, params)
+    assert many == pytest.approx(np.tile(score, 20), rel=1e-4)
+    # slot gradients against differences
+    p = {k: v.astype(np.float64) + 0.1 * np.random.default_rng(2).normal(size=v.shape) for k, v in trainer.p.items()}
+
+    def loss(p):
+        found = lm.score_texts(lm.lower_words(texts), encoder, code, p, params)
+        return -(found.sum() - code["in_slot"][ids].sum()) / len(ids)
+
+    gradients = lm._gradients(p, window, target, params.chunk, slot, code)
+    at = int(code["slot"][ids[0]])
+    for name, place in (("O", (at, 1)), ("o", (at,)), ("W2", (0, 0)), ("V", (1, 2))):
+        up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
+        up[name][place] += 1e-2
+        down[name][place] -= 1e-2
+        assert gradients[name][place] == pytest.approx((loss(up) - loss(down)) / 2e-2, rel=2e-2, abs=1e-3)
+
+
 def test_training_takes_every_document(spark):
     import pyarrow as pa
 
@@ -523,9 +560,9 @@ def test_training_takes_every_document(spark):
     code, found = lm.fit(docs, counts, params)
     mass = np.bincount(code["class"], counts, minlength=params.classes)
     trainer = lm.Trainer(lm.initial(params, mass), params, params.rate / 4)
-    window, target = lm._windows(pa.array(texts), encoder, code, params)
+    window, target, slot = lm._windows(pa.array(texts), encoder, code, params)
     order = np.random.default_rng(params.seed).permutation(len(window))
-    trainer.learn(window[order], target[order])
+    trainer.learn(window[order], target[order], slot[order], code)
     assert trainer.tokens == len(ids)
     for name, value in trainer.p.items():
         assert found[name] == pytest.approx(value, abs=1e-5), name
