@@ -12,7 +12,7 @@ from rankforge.functions import geo
 from rankforge.operators import filters, fusion, hits, knn, lexical
 from rankforge.operators.batch import prepare_queries
 
-from conftest import ARTICLES
+from articles import ARTICLES
 
 
 def brute_bm25(boosts, texts, query, k1=1.2, b=0.75):

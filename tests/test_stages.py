@@ -12,7 +12,7 @@ from rankforge.plans.index import build_index, exists, open_index, update_index
 from rankforge.sources.catalogue import upsert
 from rankforge.streaming.versions import append_versions, current
 
-from conftest import ARTICLE_TYPE
+from articles import ARTICLE_TYPE
 
 
 def constant_scorer(value=1.0):
