@@ -44,6 +44,7 @@ class DedupParams:
     filter_bits: int = 1 << 26  # of the table of repeated 19-mers: 8 MB
     hot_share: int = 4096  # a key with more than this part of all rows is joined by broadcast
     max_rounds: int = 64
+    block_bytes: int = 2 << 20  # of text whose k-mers a task holds at a time
 
 
 def rolling(hashes: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
@@ -127,7 +128,7 @@ def repeated_filter(docs: DataFrame, params: DedupParams) -> np.ndarray:
     size is fixed; once it fills up, more unique k-mers are compared, no fewer
     repeated ones."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, max_bytes=params.block_bytes):
             kmers = Kmers(text_array(batch.column(1)), params)
             new = np.ones(len(kmers.at), bool)
             new[1:] = (kmers.least[1:] != kmers.least[:-1]) | (kmers.row[1:] != kmers.row[:-1])
@@ -188,7 +189,7 @@ def examined(docs: DataFrame, shared, params: DedupParams) -> DataFrame:
     names = ["row", "doc_id", "n_words", "kept_sha256", "text", "anchors"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, max_bytes=params.block_bytes):
             texts = text_array(batch.column(2))
             kmers = Kmers(texts, params)
             has_id = ~batch.column(1).is_null().to_numpy(zero_copy_only=False)
@@ -332,7 +333,7 @@ def rest(texts: DataFrame, shared, params: DedupParams) -> DataFrame:
     names = ["row", "doc_id", "pos", *_KEY]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, max_bytes=params.block_bytes):
             kmers = Kmers(text_array(batch.column(2)), params)
             open_ = _may_repeat(kmers, shared.value) & ~_settled(kmers.pos, kmers.row, batch.column(3))
             key, check = kmers.keys()
@@ -392,7 +393,7 @@ def dedup(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
     names = ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, max_bytes=params.block_bytes):
             removed, kept, hashed = [], [], []
             for n, text, own in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
                 words = np.array(text.as_buffer().to_pybytes().split() + [b""], object)[:-1]
