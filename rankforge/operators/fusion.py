@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rankforge.operators.batch import QueryBatch, prepare_queries
 from rankforge.operators.encode import encode_queries
 from rankforge.operators.filters import hard_condition
-from rankforge.operators.knn import cell_knn, exact_knn
+from rankforge.operators.knn import bounded_knn, cell_knn, exact_knn
 from rankforge.operators.lexical import lexical_search
 
 _DECIMALS = 12
@@ -75,9 +75,10 @@ def rank_map(n_lists: int) -> Column:
 
 def neural_search(index, queries: DataFrame | QueryBatch, k: int = 100, *, encoder=None,
                   must: Mapping[str, Any] | None = None, geo: Mapping[str, Any] | None = None,
-                  should: Mapping[str, Any] | None = None, nprobe: int | None = None) -> DataFrame:
-    """Nearest documents to the encoded queries: exact, or over the ``nprobe``
-    nearest cells. Soft preferences do not reach vector search. A filter on a
+                  should: Mapping[str, Any] | None = None, nprobe: int | str | None = None) -> DataFrame:
+    """Nearest documents to the encoded queries: exact, over the ``nprobe``
+    nearest cells, or, with ``nprobe="bounded"``, exact from as few cells as
+    their bounds allow. Soft preferences do not reach vector search. A filter on a
     field that is not stored with the vectors, such as a searchable text, is
     looked up in the documents."""
     if nprobe is not None and index.centres is None:
@@ -91,11 +92,13 @@ def neural_search(index, queries: DataFrame | QueryBatch, k: int = 100, *, encod
         vectors, must, geo = vectors.join(eligible, "doc_id", "left_semi"), None, None
     if nprobe is None:
         return exact_knn(vectors, asked, k, must=must, geo=geo)
+    if nprobe == "bounded":
+        return bounded_knn(vectors, asked, index.cells, k, must=must, geo=geo).hits
     return cell_knn(vectors, asked, index.centres, k, nprobe, must=must, geo=geo)
 
 
 def hybrid_lists(index, queries: DataFrame | QueryBatch, k: int = 100, *, encoder=None,
-                 must=None, should=None, geo=None, nprobe: int | None = None) -> DataFrame:
+                 must=None, should=None, geo=None, nprobe: int | str | None = None) -> DataFrame:
     """The lexical (0) and the neural (1) list of every query, stacked."""
     batch = prepare_queries(queries)
     return as_lists(

@@ -3,11 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.config import MAX_BROADCAST_ROWS
+from rankforge.config import MAX_BROADCAST_ROWS, MAX_PUSHED_IDS
+from rankforge.storage import materialize
+
+# Ranges of ids that a scan is asked for at most.
+_RANGES = 128
+
+
+def _id_ranges(ids: list) -> Column | None:
+    """A condition that holds for ``ids`` (ascending) and that parquet statistics
+    can judge: their ranges, parted at the widest gaps. None for many texts."""
+    if not isinstance(ids[0], int):
+        return reduce(lambda a, b: a | b, [F.col("doc_id") == i for i in ids]) if len(ids) <= _RANGES else None
+    gaps = sorted(range(1, len(ids)), key=lambda i: ids[i - 1] - ids[i])[:_RANGES - 1]
+    cuts = [0, *sorted(gaps), len(ids)]
+    ranges = [F.col("doc_id").between(ids[low], ids[high - 1]) for low, high in zip(cuts, cuts[1:])]
+    return reduce(lambda a, b: a | b, ranges)
+
+
+def only_listed(docs: DataFrame, ranked: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``docs``, cut to the ids of a shortlist before they are read.
+
+    ``ranked`` is a written table of up to ``max_rows`` rows. Its ids, when they
+    are few, are named to the scan: buckets without any of them are left out,
+    and in the others, which are sorted by id, the pages between their ranges.
+    """
+    if max_rows is None or max_rows > MAX_BROADCAST_ROWS:
+        return docs
+    ids = [r["doc_id"] for r in ranked.select("doc_id").distinct().limit(MAX_PUSHED_IDS + 1).collect()]
+    ids = sorted(i for i in ids if i is not None)
+    if len(ids) > MAX_PUSHED_IDS:
+        return docs
+    if not ids:
+        return docs.where(F.lit(False))
+    listed, ranges = docs.where(F.col("doc_id").isin(ids)), _id_ranges(ids)
+    return listed if ranges is None else listed.where(ranges)
 
 
 def attach_documents(ranked: DataFrame, docs: DataFrame, *, fields: Sequence[str] | None = None,
@@ -16,10 +51,13 @@ def attach_documents(ranked: DataFrame, docs: DataFrame, *, fields: Sequence[str
 
     Documents are looked up once, after ranking. ``max_rows`` is an upper bound
     the caller knows for ``ranked`` (queries x k); under the broadcast bound the
-    documents stay where they are.
+    ranked rows are written, the documents stay where they are, and of these
+    only what :func:`only_listed` leaves is read.
     """
     shown = list(fields) if fields else [c for c in docs.columns if c not in ("doc_id", "embedding")]
-    payload = docs.select("doc_id", *shown)
     small = max_rows is not None and max_rows <= MAX_BROADCAST_ROWS
+    if small:
+        ranked = materialize(ranked, "shortlist")
+    payload = only_listed(docs, ranked, max_rows).select("doc_id", *shown)
     joined = payload.join(F.broadcast(ranked) if small else ranked, "doc_id")
     return joined.select(*ranked.columns, *shown)

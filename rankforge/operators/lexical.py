@@ -11,13 +11,15 @@ many pairs, exact bounds leave them out.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.config import (
-    FIELD_BOOSTS, MAX_BROADCAST_ROWS, MAX_SCORED_PAIRS, SCORE_DECIMALS, Bm25Params,
+    FIELD_BOOSTS, MAX_BROADCAST_ROWS, MAX_PUSHED_TERMS, MAX_SCORED_PAIRS, SCORE_DECIMALS,
+    TERM_SPLITS, Bm25Params,
 )
 from rankforge.operators.batch import QueryBatch, prepare_queries, query_terms
 from rankforge.operators.filters import hard_condition, soft_score
@@ -46,12 +48,13 @@ def idf(n_docs: Column, df: Column) -> Column:
 
 
 def weighted_terms(terms: DataFrame, term_stats: DataFrame, field_stats: DataFrame,
-                   boosts: Mapping[str, float]) -> DataFrame:
-    """``(query_id, field, term, weight, avgdl, df)`` for the terms that occur."""
+                   boosts: Mapping[str, float], broadcast: bool = True) -> DataFrame:
+    """``(query_id, field, term, weight, avgdl, df)`` for the terms that occur.
+    Terms that are not few enough to ``broadcast`` meet their counts by a shuffle."""
     boost = F.create_map(*(F.lit(x) for kv in boosts.items() for x in (kv[0], float(kv[1]))))
     return (
         term_stats.where(F.col("field").isin(list(boosts)))
-        .join(F.broadcast(terms), "term")
+        .join(F.broadcast(terms) if broadcast else terms, "term")
         .join(F.broadcast(field_stats), "field")  # one row per field
         .select(
             "query_id", "field", "term", "avgdl", "df",
@@ -61,11 +64,13 @@ def weighted_terms(terms: DataFrame, term_stats: DataFrame, field_stats: DataFra
 
 
 def bm25(postings: DataFrame, weighted: DataFrame, fields: Sequence[str],
-         params: Bm25Params = Bm25Params(), keys: Sequence[str] = ("field", "term")) -> DataFrame:
+         params: Bm25Params = Bm25Params(), keys: Sequence[str] = ("field", "term"),
+         broadcast: bool = True) -> DataFrame:
     """``(query_id, doc_id, score)``: the best field's sum over the query terms.
 
-    Terms are OR-ed. ``weighted`` must be small enough to broadcast. A
-    ``bonus`` column of the postings (one value per document) is added.
+    Terms are OR-ed. ``weighted`` is sent to the postings, or, if it is too
+    large to ``broadcast``, both are shuffled by ``keys``. A ``bonus`` column of
+    the postings (one value per document) is added.
     """
     length = (1 - params.b) + params.b * F.col("dl") / F.col("avgdl")
     part = F.col("weight") * F.col("tf") / (F.col("tf") + params.k1 * length)
@@ -73,8 +78,9 @@ def bm25(postings: DataFrame, weighted: DataFrame, fields: Sequence[str],
     # one sum per field, side by side, saves a second aggregation
     sums = [F.sum(F.when(F.col("field") == f, F.col("part"))) for f in fields]
     total = F.greatest(*sums, F.lit(0.0)) + (F.max("bonus") if keep else 0.0)
+    terms = weighted.select(*dict.fromkeys(["query_id", "field", "term", "weight", "avgdl", *keys]))
     return (
-        postings.join(F.broadcast(weighted.select("query_id", "field", "term", "weight", "avgdl")), list(keys))
+        postings.join(F.broadcast(terms) if broadcast else terms, list(keys))
         .select("query_id", "doc_id", "field", part.alias("part"), *keep)
         .groupBy("query_id", "doc_id")
         .agg(F.round(total, SCORE_DECIMALS).alias("score"))
@@ -155,6 +161,38 @@ def pruned_bm25(postings: DataFrame, weighted: DataFrame, k: int, fields: Sequen
     return _full_scores(postings, hopeful, weighted, fields, params)
 
 
+def shuffled_bm25(postings: DataFrame, weighted: DataFrame, fields: Sequence[str],
+                  params: Bm25Params = Bm25Params()) -> DataFrame:
+    """The rows of :func:`bm25` for any number of queries, from one scan of the
+    postings: query terms and postings meet in a shuffle by term.
+
+    A term's pairs are its documents times its queries. Terms with more than a
+    ``TERM_SPLITS``-th of all pairs, fewer than that many, are cut by document:
+    their postings go to several tasks, and their queries to each of these.
+    """
+    weighted = materialize(weighted, "terms")
+    pairs = weighted.groupBy("field", "term").agg((F.count(F.lit(1)) * F.max("df")).alias("pairs"))
+    total = pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
+    cuts = F.ceil(F.col("pairs") * TERM_SPLITS / F.lit(max(total, 1)))
+    hot = materialize(pairs.select("field", "term", cuts.alias("_cuts")).where("_cuts > 1"), "hot-terms")
+    parts = F.coalesce("_cuts", F.lit(1))
+    cut = postings.join(F.broadcast(hot), ["field", "term"], "left").withColumn(
+        "_part", F.pmod(F.xxhash64("doc_id"), parts)).drop("_cuts")
+    asked = weighted.join(F.broadcast(hot), ["field", "term"], "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_cuts")
+    return bm25(cut, asked, fields, params, keys=("field", "term", "_part"), broadcast=False)
+
+
+def _wanted_terms(batch: QueryBatch) -> Column | None:
+    """A condition on ``term`` that the scan can use, for few query terms: files
+    are sorted by term, so parquet skips the pages without any of them. One
+    equality for each term, since a longer ``IN`` becomes a range."""
+    if batch.n_tokens > MAX_PUSHED_TERMS:
+        return None
+    found = [r["term"] for r in query_terms(batch.queries).select("term").distinct().collect()]
+    return reduce(lambda a, b: a | b, [F.col("term") == t for t in sorted(found)], F.lit(False)) if found else None
+
+
 def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,
                    must: Mapping[str, Any] | None = None,
                    should: Mapping[str, Any] | None = None,
@@ -169,30 +207,36 @@ def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,
     Hard filters restrict the documents; soft ones add ``should_weight`` per
     matched clause to the score of documents that match a query term. Up to
     ``max_pairs`` (query term, document) pairs are all scored; beyond that
-    :func:`pruned_bm25` finds the same rows.
+    :func:`pruned_bm25` finds the same rows. Queries of more than
+    ``max_broadcast_rows`` terms go through :func:`shuffled_bm25`.
     """
     boosts = dict(boosts or FIELD_BOOSTS)
     batch = prepare_queries(queries)
-    post = index.postings.where(F.col("field").isin(list(boosts)))
     condition = hard_condition(index.docs.schema, must, geo)
     bonus = soft_score(index.docs.schema, should, should_weight)
-    if condition is not None or bonus is not None:
-        eligible = index.docs if condition is None else index.docs.where(condition)
+
+    def eligible(docs: DataFrame, post: DataFrame) -> DataFrame:
+        post = post.where(F.col("field").isin(list(boosts)))
+        if condition is None and bonus is None:
+            return post
+        docs = docs if condition is None else docs.where(condition)
         extra = [] if bonus is None else [bonus.alias("bonus")]
         # both tables are bucketed by document: no shuffle
-        post = post.join(eligible.select("doc_id", *extra), "doc_id", "inner" if extra else "left_semi")
-    n_docs = index.field_stats.agg(F.max("n_docs")).first()[0] or 0
+        return post.join(docs.select("doc_id", *extra), "doc_id", "inner" if extra else "left_semi")
 
-    def run(part: QueryBatch) -> DataFrame:
-        terms = weighted_terms(query_terms(part.queries), index.term_stats, index.field_stats, boosts)
-        # the count of pairs is only worked out when it can exceed the bound
-        many = part.n_tokens * len(boosts) * n_docs > max_pairs and (
-            (terms.agg(F.sum("df")).first()[0] or 0) > max_pairs
-        )
-        if many:
-            scored = pruned_bm25(post, terms, k, list(boosts), params, should_weight * len(should or ()))
-        else:
-            scored = bm25(post, terms, list(boosts), params)
-        return top_k(scored, k).select("query_id", "rank", "doc_id", "score")
-
-    return batch.chunks(lambda part: part.n_tokens * len(boosts), max_broadcast_rows, run)
+    # a document is live in one segment only
+    parts = [eligible(s.docs, s.postings) for s in index.segments] or [eligible(index.docs, index.postings)]
+    n_docs = index.field_stats.agg(F.max("n_docs")).first()[0] or 0
+    small = batch.n_tokens * len(boosts) <= max_broadcast_rows
+    terms = weighted_terms(query_terms(batch.queries), index.term_stats, index.field_stats, boosts, small)
+    if not small:
+        scored = shuffled_bm25(reduce(DataFrame.unionByName, parts), terms, list(boosts), params)
+    # the count of pairs is only worked out when it can exceed the bound
+    elif batch.n_tokens * len(boosts) * n_docs > max_pairs and (terms.agg(F.sum("df")).first()[0] or 0) > max_pairs:
+        post = reduce(DataFrame.unionByName, parts)
+        scored = pruned_bm25(post, terms, k, list(boosts), params, should_weight * len(should or ()))
+    else:
+        wanted = _wanted_terms(batch)
+        scored = reduce(DataFrame.unionByName, [
+            bm25(p if wanted is None else p.where(wanted), terms, list(boosts), params) for p in parts])
+    return top_k(scored, k).select("query_id", "rank", "doc_id", "score")

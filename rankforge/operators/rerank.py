@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from rankforge.config import MAX_BROADCAST_ROWS, SCORE_DECIMALS
 from rankforge.functions.text import bigrams, embedding_text, tokens
 from rankforge.operators.batch import QueryBatch, prepare_queries
+from rankforge.operators.hits import only_listed
+from rankforge.storage import materialize
 
 
 class PairScorer(Protocol):
@@ -119,15 +121,20 @@ def score_pairs(ranked: DataFrame, queries: DataFrame | QueryBatch, index,
     of each query.
 
     The shortlist has at most queries x depth rows. When that is under the
-    broadcast bound it travels to the documents, whose texts then do not move;
-    otherwise both sides are joined by document id.
+    broadcast bound it travels to the documents, whose texts then do not move,
+    and a scan of the documents leaves out what it does not list; otherwise both
+    sides are joined by document id.
     """
     batch = prepare_queries(queries)
     head = ranked if depth is None else ranked.where(F.col("rank") <= depth)
     keyed = head.select("query_id", "rank", "doc_id")
     bounded = depth is not None and batch.n_queries * depth <= MAX_BROADCAST_ROWS
+    docs = index.docs
+    if bounded:
+        keyed = materialize(keyed, "shortlist")
+        docs = only_listed(docs, keyed, batch.n_queries * depth)
     with_text = (
-        index.docs.select("doc_id", "title", "features", "text")
+        docs.select("doc_id", "title", "features", "text")
         .join(F.broadcast(keyed) if bounded else keyed, "doc_id")
         .select("query_id", "rank", "doc_id",
                 embedding_text(F.col("title"), F.col("features"), F.col("text")).alias("doc_text"))

@@ -18,7 +18,7 @@ from rankforge.storage import materialize
 
 
 def retrieve(index, queries: DataFrame | QueryBatch, mode: str, k: int, rrf_k: int = 60,
-             nprobe: int | None = None, **filters) -> DataFrame:
+             nprobe: int | str | None = None, **filters) -> DataFrame:
     """Candidates of one mode as ``(query_id, rank, doc_id, score)``."""
     if mode == "lexical":
         return lexical_search(index, queries, k, **filters)
@@ -43,9 +43,9 @@ def run(index, queries: DataFrame | QueryBatch, mode: str = "hybrid",
         params: FunnelParams = FunnelParams(), *, must: Mapping[str, Any] | None = None,
         should: Mapping[str, Any] | None = None, geo: Mapping[str, Any] | None = None,
         do_rerank: bool = True, scorer: PairScorer | None = None,
-        nprobe: int | None = None) -> FunnelResult:
-    """All stages for all queries; vector search is exact, or over ``nprobe``
-    cells. The candidates, a few rows per query, are written once: ranking,
+        nprobe: int | str | None = None) -> FunnelResult:
+    """All stages for all queries; vector search is exact, over ``nprobe``
+    cells, or exact through cells with ``nprobe="bounded"``. The candidates, a few rows per query, are written once: ranking,
     scoring and the trace all read them."""
     batch = prepare_queries(queries)
     candidates = materialize(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rankforge.functions.text import tokens
 from rankforge.functions.vectors import l2_normalise
 from rankforge.operators.encode import HashingEncoder
-from rankforge.plans.index import Index, build_index
+from rankforge.plans.index import Index, build_index, exists, open_index
 from rankforge.storage import prepared, shared_dir, spread
 
 ENCODER = HashingEncoder(dim=64)
@@ -185,4 +185,6 @@ def resident_index(spark: SparkSession, sf_dir: str) -> Index:
     """The searchable tables of the documents: built by the first job that asks
     for them in a session, opened by the others."""
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-index-{_slug(sf_dir)}"
+    if exists(spark, path):  # of this application: its input does not change
+        return open_index(spark, path, ENCODER)
     return build_index(documents(spark, sf_dir), path, encoder=ENCODER, centres=CENTRES)

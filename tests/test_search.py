@@ -201,6 +201,109 @@ def test_cells(spark):
         (i, r["rank"], r.doc_id) for i in some for r in some[i]}
 
 
+def clustered(spark, n_groups=12, per_group=60, dim=16):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(n_groups, dim))
+    m = np.repeat(centres, per_group, axis=0) + rng.normal(scale=0.05, size=(n_groups * per_group, dim))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    m[5] = 0  # a text without tokens
+    return m, spark.createDataFrame(
+        [(i, v.tolist(), i % 7) for i, v in enumerate(m)], "doc_id bigint, embedding array<double>, label int")
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 26, 2000])
+def test_bounded_cells_lose_nothing(spark, max_bytes):
+    m, vectors = clustered(spark)
+    centres = knn.train_cells(vectors, 12)
+    stored = knn.assign_cells(vectors, centres)
+    bounds = knn.cell_bounds(knn.cell_stats(stored, centres), centres)
+    asked = [m[i] for i in (0, 5, 100, 300, 719)] + [np.random.default_rng(1).normal(size=m.shape[1])]
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id int, embedding array<double>")
+    exact = rows(knn.exact_knn(vectors, queries, 9))
+    found = knn.bounded_knn(stored, queries, bounds, 9, max_bytes=max_bytes)
+    assert rows(found.hits) == exact
+    # a vector in a group far from the others needs few cells; one without direction all
+    seen = {r.query_id: r for r in found.visits.collect()}
+    assert all(seen[i].cells <= 4 and seen[i].vectors < len(m) / 2 for i in (0, 2, 3, 4)) and seen[1].cells == 12
+    filtered = knn.bounded_knn(stored, queries, bounds, 9, must={"label": 3})
+    assert rows(filtered.hits) == rows(knn.exact_knn(vectors, queries, 9, must={"label": 3}))
+    more = knn.bounded_knn(stored, queries, bounds, 700)  # more than most cells hold
+    assert rows(more.hits) == rows(knn.exact_knn(vectors, queries, 700))
+
+
+def test_no_score_exceeds_its_limit(spark):
+    m, vectors = make_vectors(spark)
+    centres = knn.train_cells(vectors, 6)
+    stored = knn.assign_cells(vectors, centres)
+    bounds = knn.cell_bounds(knn.cell_stats(stored, centres), centres)
+    cells = {r.doc_id: r.cell for r in stored.collect()}
+    limits = bounds.limits(m)
+    scores = m @ m.T
+    for i in range(len(m)):
+        assert (scores[:, i] <= limits[:, cells[i]]).all()
+
+
+def test_bounded_search_of_an_index(index, asked):
+    assert rows(fusion.neural_search(index, asked, 3, nprobe="bounded")) == rows(fusion.neural_search(index, asked, 3))
+    near = rf.run_funnel(index, asked, "hybrid", nprobe="bounded").documents
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, rf.run_funnel(index, asked, "hybrid").documents.collect()))
+
+
+def scan_rows(df, column):
+    """Rows that the scans of a table with ``column`` gave to a finished query."""
+    def descend(plan):
+        if "AdaptiveSparkPlan" in plan.nodeName():
+            return descend(plan.executedPlan())
+        leaves, found = plan.collectLeaves(), 0
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            if "QueryStage" in leaf.nodeName():
+                found += descend(leaf.plan())
+            elif re.search(rf"\[[^\]]*\b{column}#", leaf.simpleString(10_000)) and "Scan" in leaf.nodeName():
+                found += leaf.metrics().get("numOutputRows").get().value()
+        return found
+
+    return descend(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.fixture(scope="module")
+def paged(spark, tmp_path_factory):
+    """Many rare terms and small pages, so that statistics can leave pages out."""
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.format_string("t%05d", F.col("id") % 2000).alias("title"),
+        F.lit("").alias("features"), F.format_string("common w%05d", "id").alias("text"))
+    options = {"parquet.page.row.count.limit": "100", "parquet.block.row.count.limit": "500"}
+    return rf.build_index(docs, str(tmp_path_factory.mktemp("paged") / "ix"), encoder=rf.HashingEncoder(dim=8),
+                          buckets=4, options=options)
+
+
+def test_query_terms_reach_the_postings(spark, paged):
+    asked = spark.createDataFrame([(1, "w00017 t00033"), (2, "w03900 unknown")], "query_id int, query string")
+    found = lexical.lexical_search(paged, asked, 5)
+    assert {(r.query_id, r.doc_id) for r in found.collect()} == {(1, 17), (1, 33), (1, 2033), (2, 3900)}
+    assert 0 < scan_rows(found, "tf") < paged.postings.count() / 5
+
+
+def test_documents_that_are_not_listed_are_not_read(spark, paged):
+    listed = spark.createDataFrame([(1, 1, 40), (1, 2, 41), (2, 1, 3999)], "query_id int, rank int, doc_id bigint")
+    out = hits.attach_documents(listed, paged.docs, max_rows=3)
+    assert {(r.doc_id, r.title) for r in out.collect()} == {(40, "t00040"), (41, "t00041"), (3999, "t01999")}
+    assert 0 < scan_rows(out, "title") < 1000
+    one = hits.only_listed(paged.docs, listed.where("doc_id = 40"), 1)
+    assert one.count() == 1 and hits.only_listed(paged.docs, listed.limit(0), 1).count() == 0
+
+
+def test_queries_beyond_the_broadcast(index, asked, paged, spark):
+    plain = rows(lexical.lexical_search(index, asked, 4, should={"tags": ["tools"]}))
+    many = lexical.lexical_search(index, asked, 4, should={"tags": ["tools"]}, max_broadcast_rows=0)
+    assert rows(many) == plain
+    # a term that every document and every query holds is cut, the postings are read once
+    asked = spark.createDataFrame([(i, f"common w{i:05d}") for i in range(40)], "query_id int, query string")
+    many = lexical.lexical_search(paged, asked, 3, max_broadcast_rows=0)
+    assert rows(many) == rows(lexical.lexical_search(paged, asked, 3))
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_postings") == 1
+
+
 def test_shortfall(spark):
     m, vectors = make_vectors(spark)
     queries = spark.createDataFrame([(0, m[0].tolist())], "query_id int, embedding array<double>")
@@ -289,10 +392,6 @@ def test_repeated_ids_are_refused(spark, articles, tmp_path):
     # the failed build is no index, and building again works
     built = rf.build_index(articles, path, encoder=rf.HashingEncoder(dim=8), buckets=2)
     assert built.docs.count() == articles.count()
-    with pytest.raises(ValueError, match="in place"):
-        from rankforge.plans.index import update_index
-
-        update_index(spark, path, articles.limit(1), path + "/")
 
 
 def test_query_blocks_give_the_same_rows(spark, monkeypatch):

@@ -8,7 +8,7 @@ import rankforge as rf
 from rankforge.operators import analyze, lexical, metrics
 from rankforge.operators import rerank as R
 from rankforge.plans import evaluation, funnel
-from rankforge.plans.index import build_index, exists, open_index, update_index
+from rankforge.plans.index import build_index, compact_index, exists, open_index, update_index
 from rankforge.sources.catalogue import upsert
 from rankforge.streaming.versions import append_versions, current
 
@@ -150,8 +150,8 @@ def test_index_is_kept_reopened_and_rebuilt(spark, articles, tmp_path):
     path, enc = str(tmp_path / "ix"), rf.HashingEncoder(dim=8)
     assert not exists(spark, path)
     build_index(articles, path, encoder=enc, buckets=2)
-    again = build_index(articles.limit(2), path, encoder=enc)
-    assert again.docs.count() == 8
+    again = build_index(articles.repartition(3), path, encoder=enc, buckets=2)
+    assert again.docs.count() == 8 and again.version == 1  # the same input: nothing was written
     for t in spark.catalog.listTables():
         if t.name.startswith("rankforge_"):
             spark.sql(f"DROP TABLE {t.name}")  # as in a new session
@@ -160,27 +160,81 @@ def test_index_is_kept_reopened_and_rebuilt(spark, articles, tmp_path):
     assert lexical.lexical_search(reopened, spark.createDataFrame([(1, "garden")], "query_id int, query string"), 5).count() == 2
     with pytest.raises(ValueError):
         open_index(spark, path, rf.HashingEncoder(dim=4))
-    small = build_index(articles.limit(2), path, encoder=enc, force=True)
-    assert small.docs.count() == 2
+    small = build_index(articles.limit(2), path, encoder=enc, buckets=2)
+    assert small.docs.count() == 2 and small.version == 2
+    assert reopened.docs.count() == 8  # readers keep the version they opened
+    assert build_index(articles.limit(2), path, encoder=enc, buckets=2, force=True).version == 3
+    assert build_index(articles, path, encoder=enc, fingerprint="march").version == 4
+    assert build_index(articles.limit(1), path, encoder=enc, fingerprint="march").docs.count() == 8
 
 
-def test_index_update_equals_rebuild(spark, articles, tmp_path):
-    enc = rf.HashingEncoder(dim=8)
-    build_index(articles, str(tmp_path / "v1"), encoder=enc, buckets=3, n_cells=2)
-    batch = spark.createDataFrame(
-        [("a5", "Spring again", "", "garden peas", "garden", ["peas"], 2026, (1.0, 1.0), 0),
-         ("a5", "Spring at last", "", "garden beans", "garden", ["beans"], 2026, (1.0, 1.0), 1),
-         ("b1", "A new garden", "", "fresh soil", "garden", [], 2026, (2.0, 2.0), 2)],
-        ARTICLE_TYPE + ", pos int")
-    new = update_index(spark, str(tmp_path / "v1"), batch, str(tmp_path / "v2"), encoder=enc)
-    want = build_index(upsert(articles, batch, key="doc_id"), str(tmp_path / "v3"), encoder=enc, buckets=3,
-                       centres=new.centres)
+def test_a_build_that_dies_leaves_the_version_before(spark, articles, tmp_path, monkeypatch):
+    from rankforge.plans import index as module
+
+    path, enc = str(tmp_path / "ix"), rf.HashingEncoder(dim=8)
+    build_index(articles, path, encoder=enc, buckets=2, n_cells=2)
+    for step in ("_write_stats", "_write_vectors", "_publish"):
+        with monkeypatch.context() as broken:
+            broken.setattr(module, step, lambda *args: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                build_index(articles.limit(3), path, encoder=enc, buckets=2, n_cells=2)
+            with pytest.raises(ZeroDivisionError):
+                update_index(spark, path, articles.limit(3).withColumn("pos", F.lit(0)), encoder=enc)
+        found = open_index(spark, path, enc)
+        assert found.version == 1 and found.docs.count() == 8 and found.vectors.count() == 8
+    assert build_index(articles.limit(3), path, encoder=enc, buckets=2, n_cells=2).docs.count() == 3
+
+
+def same_index(new, want):
     for name in ("docs", "postings", "term_stats", "field_stats", "vectors"):
         left, right = getattr(new, name), getattr(want, name)
         right = right.select(*left.columns)
         assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0, name
 
 
+def test_index_updates_equal_a_rebuild(spark, articles, asked, tmp_path):
+    import os
+
+    enc, path = rf.HashingEncoder(dim=8), str(tmp_path / "v1")
+    first = build_index(articles, path, encoder=enc, buckets=3, n_cells=2)
+    batches = [
+        [("a5", "Spring again", "", "garden peas", "garden", ["peas"], 2026, (1.0, 1.0), 0),
+         ("a5", "Spring at last", "", "garden beans", "garden", ["beans"], 2026, (1.0, 1.0), 1),
+         ("b1", "A new garden", "", "fresh soil", "garden", [], 2026, (2.0, 2.0), 2)],
+        [("b1", "An old garden", "", "stale soil", "garden", [], 2026, (2.0, 2.0), 0),
+         ("a1", "Cut", "", "cache_lines", "search", [], 2020, (2.0, 2.0), 1)],
+        [("a5", "", "", "", "garden", None, 2026, None, 0)],
+    ]
+
+    def files(folder):
+        return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs
+                if "_SUCCESS" not in f}
+
+    before, corpus, n = files(path), articles, 1
+    for rows in batches:
+        batch = spark.createDataFrame(rows, ARTICLE_TYPE + ", pos int")
+        corpus = upsert(corpus, batch, key="doc_id")
+        new = update_index(spark, path, batch, encoder=enc, compact_share=10.0)
+        n += 1
+        want = build_index(corpus, str(tmp_path / f"v{n}"), encoder=enc, buckets=3, centres=new.centres)
+        assert new.version == n and len(new.segments) == n
+    same_index(new, want)
+    # every search goes through the segments
+    for found in (lambda ix: lexical.lexical_search(ix, asked, 4, must={"kind": "garden"}),
+                  lambda ix: rf.hybrid_search(ix, asked, 4, nprobe="bounded")):
+        assert sorted(map(tuple, found(new).collect())) == sorted(map(tuple, found(want).collect()))
+    # what was written before is untouched, and so is the version that was open
+    assert before.items() <= files(path).items()
+    assert first.docs.count() == 8
+    compact = compact_index(spark, path, encoder=enc)
+    assert len(compact.segments) == 1 and compact.version == n + 1
+    same_index(compact, want)
+    again = update_index(spark, path, batch, encoder=enc, max_segments=1)
+    assert len(again.segments) == 1 and again.version == n + 3
+    same_index(again, want)
+    assert update_index(spark, path, batch.limit(0), encoder=enc).version == n + 3
+
+
 def test_stream_of_versions(spark, tmp_path):
     source, log = str(tmp_path / "in"), str(tmp_path / "log")
     schema = "id string, v int, pos bigint"
