@@ -6,7 +6,7 @@ scored from the same ranked lists in one job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -124,6 +124,26 @@ def disagreement(left: DataFrame, right: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
+def expected_winner(modes: Mapping[str, DataFrame], probes: DataFrame) -> DataFrame:
+    """Which mode ranks a probe's target best.
+
+    ``probes`` has query_id, doc_id (the target) and expected, a mode. The result
+    has a row for each probe with ``rank_<mode>`` (null: not found), ``winner``,
+    the mode with the smallest rank, the first named one of several, null if none
+    found it, and ``as_expected``.
+    """
+    found = probes
+    for name, ranked in modes.items():
+        places = ranked.groupBy("query_id", "doc_id").agg(F.min("rank").alias(f"rank_{name}"))
+        found = found.join(places, ["query_id", "doc_id"], "left")
+    best = F.array_min(F.array(*(
+        F.when(F.col(f"rank_{name}").isNotNull(), F.struct(
+            F.col(f"rank_{name}").cast("bigint").alias("rank"), F.lit(i).alias("place"), F.lit(name).alias("mode")))
+        for i, name in enumerate(modes))))
+    return found.withColumn("winner", best["mode"]).withColumn(
+        "as_expected", F.col("winner").eqNullSafe(F.col("expected")))
+
+
 def coverage_change(before: DataFrame, after: DataFrame) -> DataFrame:
     """How many (query, document) pairs reranking lost or gained: both are 0,
     since it only reorders what retrieval found."""

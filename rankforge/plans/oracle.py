@@ -279,6 +279,22 @@ SELECT id, title, features, md5(text) AS text, brand, color, locale FROM (
     CASE WHEN doc_id % 5 <> 0 THEN {strip('features')} ELSE '' END AS features, {strip('text')} AS text,
     CASE WHEN doc_id % 3 <> 0 THEN source END AS brand, CASE WHEN doc_id % 4 <> 0 THEN lang END AS color, lang AS locale
   FROM docs) WHERE length(title) >= 3""")
+_oracle("products_read_back", "docs", f"""
+SELECT id, title, features, md5(text) AS text, brand, color, locale FROM (
+  SELECT doc_id AS id, CASE WHEN doc_id % 17 = 0 THEN 'a' ELSE {strip('title')} END AS title,
+    CASE WHEN doc_id % 5 <> 0 THEN {strip('features')} ELSE '' END AS features, {strip('text')} AS text,
+    CASE WHEN doc_id % 3 <> 0 THEN source END AS brand, CASE WHEN doc_id % 4 <> 0 THEN lang END AS color, lang AS locale
+  FROM docs WHERE lang = 'en') WHERE length(title) >= 3""")
+_oracle("articles_read_back", "docs", """
+SELECT 'doc-' || lpad(doc_id::varchar, greatest(4, length(doc_id::varchar))::int, '0') AS id, title,
+  md5(text) AS text_md5, lang AS category, concat_ws(',', lang, source) AS tags, 2024 AS published_year,
+  4.5::DOUBLE AS rating, lang AS city, lat, lon
+FROM docs JOIN (VALUES ('en', 51.5::DOUBLE, -0.1::DOUBLE), ('de', 52.5, 13.4), ('fr', 48.9, 2.4), ('es', 40.4, -3.7))
+  c(city, lat, lon) ON city = lang""")
+_oracle("rejected_products", "raw_products", """
+SELECT rejected, min(p_partkey) AS first_key, count(*) AS n_rows, count(*) AS n_observed FROM (
+  SELECT p_partkey, CASE WHEN id = '' THEN 'no id' WHEN length(title) < 3 THEN 'short title' ELSE 'kept' END AS rejected
+  FROM raw_products) GROUP BY rejected""")
 _oracle("keyword_ignore_above", "docs", """
 SELECT doc_id, CASE WHEN length(title) <= 256 THEN title END AS title_keyword FROM docs""")
 _oracle("slice_filter", "examples", """
@@ -401,6 +417,8 @@ _cte("text_scores", "field_scores", "SELECT query_id, doc_id, s FROM field_score
 _oracle("bm25_single_field", "text_scores", hits(ranked("text_scores", "s", 10)))
 _oracle("bm25_best_fields", "bm25", hits(ranked("bm25", "s", 10)))
 _oracle("bm25_pruned", "bm25", hits(ranked("bm25", "s", 10)))
+_oracle("bm25_shuffled", "bm25", hits(ranked("bm25", "s", 10)))
+_oracle("index_update", "bm25", hits(ranked("bm25", "s", 10)))
 _oracle("bm25_deep", "bm25", hits(ranked("bm25", "s", 2000)))
 _cte("bm25_docs", "bm25 docs", "SELECT b.*, title, lang, source, n_chars FROM bm25 b JOIN docs USING (doc_id)")
 _oracle("lexical_search", "bm25_docs", hits(
@@ -418,6 +436,20 @@ SELECT query_id, doc_id, any_value(label) AS label, sum(p.x * c.x) AS s
 FROM positions p JOIN centroids c USING (pos) GROUP BY query_id, doc_id""")
 _oracle("knn_exact", "sims", hits(ranked("sims", "s", 10)))
 _oracle("knn_cells_all", "sims", hits(ranked("sims", "s", 10)))
+_oracle("knn_cells_exact", "sims", hits(ranked("sims", "s", 10)))
+
+
+def _account(table: str, prefix: str, key: str) -> str:
+    return f"""
+SELECT {key} AS key, a / n AS x, b / n AS y, 1 / n AS z FROM (
+  SELECT *, sqrt(a * a + b * b + 1) AS n FROM (
+    SELECT {key}, {prefix}_acctbal / 10000 AS a, {prefix}_nationkey / 25.0::DOUBLE AS b FROM {table}))"""
+
+
+_cte("accounts", "", f"""
+SELECT s.key AS query_id, c.key AS doc_id, c.x * s.x + c.y * s.y + c.z * s.z AS s
+FROM ({_account("customer", "c", "c_custkey")}) c CROSS JOIN ({_account("supplier", "s", "s_suppkey")}) s""")
+_oracle("knn_cells_unread", "accounts", f"SELECT *, true AS cells_unread FROM ({hits(ranked('accounts', 's', 5))})")
 _oracle("knn_filtered", "sims", hits(ranked("sims", "s", 10, "label IN (1, 4, 7)")))
 _cte("knn10", "sims", ranked("sims", "s", 10, "true", ", label"))
 _oracle("knn_prefilter_vs_postfilter", "sims knn10", f"""
@@ -468,9 +500,19 @@ _cte("doc_cells", "docs doc_vec", _largest("doc_id", "docs", "doc_vec"))
 _cte("query_cells", "asked query_vec", _largest("query_id", "asked", "query_vec"))
 _cte("near_docs", "cosines doc_cells query_cells", """
 SELECT c.query_id, c.doc_id, c.s FROM cosines c JOIN doc_cells d ON d.doc_id = c.doc_id AND d.place = 1
-JOIN query_cells q ON q.query_id = c.query_id AND q.cell = d.cell AND q.place <= 16""")
+JOIN query_cells q ON q.query_id = c.query_id AND q.cell = d.cell AND q.place <= 40""")
 _cte("near20", "near_docs", ranked("near_docs", "s", 20))
 _cte("fused_near", "lex20 near20", fused([("lex20", 1), ("near20", 1)]))
+_cte("swept", "cosines doc_cells query_cells", """
+SELECT c.query_id, c.doc_id, c.s, q.place FROM cosines c JOIN doc_cells d ON d.doc_id = c.doc_id AND d.place = 1
+JOIN query_cells q ON q.query_id = c.query_id AND q.cell = d.cell""")
+_oracle("index_recall", "swept vec20", """
+SELECT nprobe, round(avg(r), 6) AS recall, round(min(r), 6) AS worst FROM (
+""" + " UNION ALL ".join(f"""
+SELECT {n} AS nprobe, t.query_id, count(a.doc_id) / count(*) AS r FROM vec20 t
+LEFT JOIN ({ranked('swept', 's', 20, f'place <= {n}')}) a ON a.query_id = t.query_id AND a.doc_id = t.doc_id
+GROUP BY t.query_id""" for n in (8, 16, 24, 40, 56)) + ") GROUP BY nprobe")
+_oracle("hybrid_bounded", "fused20", _FUSED.format("SELECT * FROM fused20"))
 _oracle("hybrid_cells", "fused_near", _FUSED.format("SELECT * FROM fused_near"))
 _cte("cosine_titles", "cosines docs", "SELECT c.*, title FROM cosines c JOIN docs USING (doc_id)")
 _cte("lex_title", "bm25_docs", ranked("bm25_docs", "s", 20, "title < 'n'"))
@@ -501,6 +543,17 @@ SELECT query_id, rank, doc_id, round(score, 6) AS score, round(ce, 6) AS ce_scor
 _cte("third", "fused20 qpairs dtoks qweights", _funnel_rows("fused20", "rrf_score"))
 _oracle("funnel_hybrid", "third", _FINAL.format("SELECT * FROM third"))
 _oracle("funnel_cells", "fused_near qpairs dtoks qweights", _FINAL.format(_funnel_rows("fused_near", "rrf_score")))
+_cte("near_ids", "", """
+SELECT doc_id FROM (
+  SELECT doc_id, 2 * 6371008.7714 * asin(sqrt(least(1.0, pow(sin(radians(lat - 10) / 2), 2)
+         + cos(radians(lat)) * cos(radians(10)) * pow(sin(radians(lon - 20) / 2), 2)))) AS m
+  FROM (SELECT doc_id, (doc_id * 37 % 181 - 90)::DOUBLE AS lat, (doc_id * 71 % 361 - 180)::DOUBLE AS lon FROM documents))
+WHERE m <= 6000000""")
+_cte("lex_geo", "bm25_docs near_ids", ranked(
+    "(SELECT * FROM bm25_docs SEMI JOIN near_ids USING (doc_id))", "s + (source = 'src3')::int", 20))
+_cte("vec_geo", "cosines near_ids", ranked("(SELECT * FROM cosines SEMI JOIN near_ids USING (doc_id))", "s", 20))
+_cte("fused_geo", "lex_geo vec_geo", fused([("lex_geo", 1), ("vec_geo", 1)]))
+_oracle("funnel_geo", "fused_geo qpairs dtoks qweights", _FINAL.format(_funnel_rows("fused_geo", "rrf_score")))
 _cte("lex_en", "bm25_docs", ranked("bm25_docs", "s", 20, "lang = 'en'"))
 _oracle("funnel_lexical", "lex_en qpairs dtoks qweights", _FINAL.format(_funnel_rows("lex_en", "score")))
 _oracle("funnel_neural", "vec20", """
@@ -600,3 +653,13 @@ FROM (SELECT coalesce(a.query_id, b.query_id) AS query_id, a.doc_id AS l, b.doc_
       FROM (SELECT * FROM lex100 WHERE rank <= 10) a
       FULL JOIN (SELECT * FROM vec100 WHERE rank <= 10) b ON a.query_id = b.query_id AND a.doc_id = b.doc_id)
 GROUP BY query_id""")
+_oracle("expected_winner", "lex100 vec100 fused100 qrels", """
+SELECT query_id, doc_id, 'lexical' AS expected, l AS rank_lexical, v AS rank_neural, h AS rank_hybrid, winner,
+  coalesce(winner = 'lexical', false) AS as_expected
+FROM (SELECT *, CASE WHEN least(l, v, h) IS NULL THEN NULL WHEN l = least(l, v, h) THEN 'lexical'
+        WHEN v = least(l, v, h) THEN 'neural' ELSE 'hybrid' END AS winner
+  FROM (SELECT p.*, a.rank AS l, b.rank AS v, c.rank AS h
+    FROM (SELECT query_id, min(doc_id) AS doc_id FROM qrels WHERE label = 'E' GROUP BY query_id) p
+    LEFT JOIN lex100 a ON a.query_id = p.query_id AND a.doc_id = p.doc_id
+    LEFT JOIN vec100 b ON b.query_id = p.query_id AND b.doc_id = p.doc_id
+    LEFT JOIN fused100 c ON c.query_id = p.query_id AND c.doc_id = p.doc_id))""")

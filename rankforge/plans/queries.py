@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,9 +16,10 @@ from rankforge.functions.vectors import l2_normalise
 from rankforge.operators import analysis, analyze, encode, filters, fusion, hits, knn, lexical, metrics
 from rankforge.operators import rerank as R
 from rankforge.operators.batch import prepare_queries
-from rankforge.plans import evaluation, funnel, tables
+from rankforge.plans import evaluation, funnel, index, tables
 from rankforge.plans.index import Index
 from rankforge.sources import catalogue, judged
+from rankforge.storage import materialize, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -94,6 +96,50 @@ def keyword_ignore_above(spark, sf):
     return tables.documents(spark, sf).select("doc_id", keyword(F.col("title")).alias("title_keyword"))
 
 
+@query
+def products_read_back(spark, sf):
+    """Judged products, written by locale and read again with the locale pushed down."""
+    path = f"{shared_dir(spark)}/products-{uuid.uuid4().hex}"
+    catalogue.save(tables.judged_products(spark, sf), path, partition_by="product_locale", sort_by="product_id")
+    catalogue.save(tables.judged_products(spark, sf).limit(0), path)  # present: skipped
+    docs = judged.clean_judged_products(judged.read_products(spark, path, "en"))
+    return docs.withColumn("text", F.md5("text"))
+
+
+@query
+def articles_read_back(spark, sf):
+    """Documents as an article file: written as JSON lines, scanned, numbered, located."""
+    path = f"{shared_dir(spark)}/articles-{uuid.uuid4().hex}"
+    raw = tables.documents(spark, sf).select(
+        F.col("doc_id").cast("string").alias("id"), "title", "text", F.col("lang").alias("category"),
+        F.col("categories").alias("tags"), F.lit(2024).alias("published_year"), F.lit(4.5).alias("rating"),
+        F.col("lang").alias("city"))
+    catalogue.save(raw, path, fmt="json")
+    cities = {"en": (51.5, -0.1), "de": (52.5, 13.4), "fr": (48.9, 2.4), "es": (40.4, -3.7)}
+    scanned = catalogue.read_articles(spark, path).drop("location")
+    known = scanned.where(F.col("city").isin(list(cities))).withColumn("position", F.col("id").cast("bigint")).drop("id")
+    built = catalogue.build_articles(known, cities)
+    return built.select("id", "title", F.md5("text").alias("text_md5"), "category", F.array_join("tags", ",").alias("tags"),
+                        "published_year", "rating", "city", "location.lat", "location.lon")
+
+
+@query
+def rejected_products(spark, sf):
+    """How many products a write keeps and rejects, counted while it writes."""
+    path = f"{shared_dir(spark)}/checked-{uuid.uuid4().hex}"
+    raw = tables.raw_products(spark, sf)
+    counts = catalogue.save_checked(raw, path, {
+        "no id": F.coalesce("parent_asin", F.lit("")) == "",
+        "short title": F.length(F.trim("title")) < 3,
+    })
+    rows = catalogue.rejected(spark, path)
+    found = rows.groupBy("rejected").agg(F.min("p_partkey").alias("first_key"), F.count(F.lit(1)).alias("n_rows"))
+    kept = catalogue.kept(spark, path).agg(
+        F.lit("kept").alias("rejected"), F.min("p_partkey").alias("first_key"), F.count(F.lit(1)).alias("n_rows"))
+    observed = spark.createDataFrame(list(counts.items()), "rejected string, n_observed bigint")
+    return found.unionByName(kept).join(observed, "rejected")
+
+
 @query
 def slice_filter(spark, sf):
     ex = judged.slice_examples(tables.examples(spark, sf), locale="en", small=True, splits=["train"])
@@ -358,6 +404,27 @@ def bm25_pruned(spark, sf):
     return _rounded(lexical.lexical_search(ix, batch, 10, max_pairs=0), "score")
 
 
+@query
+def bm25_shuffled(spark, sf):
+    """As bm25_best_fields, by the way that is taken for queries of very many terms."""
+    ix, batch = _setup(spark, sf)
+    return _rounded(lexical.lexical_search(ix, batch, 10, max_broadcast_rows=0), "score")
+
+
+@query
+def index_update(spark, sf):
+    """An index of older documents after two updates ranks as one of the newest."""
+    docs = tables.documents(spark, sf)
+    turn, path = F.col("doc_id") % 3, f"{shared_dir(spark)}/updated-{uuid.uuid4().hex}"
+    stale = F.when(turn == 2, F.concat(F.lit("an older text "), "lang")).otherwise(F.col("text"))
+    index.build_index(docs.where(turn != 1).withColumn("text", stale), path, encoder=tables.ENCODER)
+    for now in (2, 1):  # replaced, then added
+        index.update_index(spark, path, docs.where(turn == now).withColumn("pos", F.lit(0)), encoder=tables.ENCODER,
+                           compact_share=10.0)
+    ix = index.open_index(spark, path, tables.ENCODER)
+    return _rounded(lexical.lexical_search(ix, tables.queries(spark, sf), 10), "score")
+
+
 @query
 def bm25_best_fields(spark, sf):
     ix, batch = _setup(spark, sf)
@@ -430,10 +497,39 @@ def knn_cells_trained(spark, sf):
     vectors = tables.vectors(spark, sf)
     centres = knn.train_cells(vectors, 16)
     found = knn.cell_knn(knn.assign_cells(vectors, centres), tables.label_centroids(spark, sf),
-                         centres, 10, nprobe=8)
+                         centres, 10, nprobe=12)
     return _rounded(found, "score")
 
 
+@query
+def knn_cells_exact(spark, sf):
+    """Trained cells, visited as far as their bounds demand: the exact result."""
+    vectors = tables.vectors(spark, sf)
+    centres = knn.train_cells(vectors, 16)
+    stored = knn.assign_cells(vectors, centres)
+    bounds = knn.cell_bounds(knn.cell_stats(stored, centres), centres)
+    return _rounded(knn.bounded_knn(stored, tables.label_centroids(spark, sf), bounds, 10).hits, "score")
+
+
+@query
+def knn_cells_unread(spark, sf):
+    """The exact nearest customers of every supplier, and whether cells were left unread."""
+    vectors = tables.nation_accounts(spark, sf, "customer", "c").withColumnRenamed("key", "doc_id")
+    asked = tables.nation_accounts(spark, sf, "supplier", "s").withColumnRenamed("key", "query_id")
+    centres = knn.train_cells(vectors, 32)
+    stored = materialize(knn.assign_cells(vectors, centres), "cells")
+    found = knn.bounded_knn(stored, asked, knn.cell_bounds(knn.cell_stats(stored, centres), centres), 5)
+    unread = found.visits.select("query_id", (F.col("cells") < F.col("of_cells")).alias("cells_unread"))
+    return _rounded(found.hits.join(unread, "query_id"), "score")
+
+
+@query
+def index_recall(spark, sf):
+    """Recall of the index's stored cells at several settings."""
+    ix, batch = _setup(spark, sf)
+    return _rounded(evaluation.index_recall(ix, batch, 20, [8, 16, 24, tables.PROBES, 56]), "recall", "worst")
+
+
 @query
 def knn_cells_all(spark, sf):
     """Trained cells, all of them probed: the exact result."""
@@ -496,9 +592,16 @@ def hybrid_search(spark, sf):
 
 @query
 def hybrid_cells(spark, sf):
-    """Vector search over the 16 nearest of the index's 64 stored cells."""
+    """Vector search over the nearest of the index's 64 stored cells."""
+    ix, batch = _setup(spark, sf)
+    return _fused(fusion.hybrid_search(ix, batch, 20, nprobe=tables.PROBES))
+
+
+@query
+def hybrid_bounded(spark, sf):
+    """Vector search through the stored cells by their bounds: the exact result."""
     ix, batch = _setup(spark, sf)
-    return _fused(fusion.hybrid_search(ix, batch, 20, nprobe=16))
+    return _fused(fusion.hybrid_search(ix, batch, 20, nprobe="bounded"))
 
 
 @query
@@ -564,7 +667,13 @@ def funnel_hybrid(spark, sf):
 
 @query
 def funnel_cells(spark, sf):
-    return _final(_funnel(spark, sf, nprobe=16))
+    return _final(_funnel(spark, sf, nprobe=tables.PROBES))
+
+
+@query
+def funnel_geo(spark, sf):
+    """Only documents near a place, those of one source preferred."""
+    return _final(_funnel(spark, sf, geo={"distance": "6000km", "lat": 10.0, "lon": 20.0}, should={"source": "src3"}))
 
 
 @query
@@ -718,3 +827,13 @@ def rank_shift(spark, sf):
 def mode_disagreement(spark, sf):
     runs = _runs(spark, sf)
     return _rounded(analyze.disagreement(runs.list(0), runs.list(1)), "jaccard")
+
+
+@query
+def expected_winner(spark, sf):
+    """Where each mode ranks the first document that holds a query's passage."""
+    runs = _runs(spark, sf)
+    probes = tables.qrels(spark, sf).where("label = 'E'").groupBy("query_id").agg(
+        F.min("doc_id").alias("doc_id"), F.lit("lexical").alias("expected"))
+    return analyze.expected_winner(
+        {"lexical": runs.list(0), "neural": runs.list(1), "hybrid": runs.fused}, probes)

@@ -18,6 +18,8 @@ CENTRES = np.eye(ENCODER.dim)
 # Per query, besides the documents that contain its passage, this many others
 # are judged: the first two substitute, the next three complement, the rest not.
 POOL = 10
+# Cells of the fixed ones that a query looks into: recall over 0.9, see index_recall.
+PROBES = 40
 
 
 def _slug(sf_dir: str) -> str:
@@ -38,6 +40,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.slice(lines, F.lit(3), F.greatest(F.size(lines) - 2, F.lit(0))), "\n").alias("text"),
         "lang", "source", "n_chars",
         F.array("lang", "source").alias("categories"),
+        # made up: documents spread over the globe by their id
+        F.struct((F.col("doc_id") * 37 % 181 - 90).cast("double").alias("lat"),
+                 (F.col("doc_id") * 71 % 361 - 180).cast("double").alias("lon")).alias("location"),
     )
 
 
@@ -181,6 +186,13 @@ def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_accounts(spark: SparkSession, sf_dir: str, table: str, prefix: str) -> DataFrame:
+    """Customers or suppliers as unit vectors of few dimensions, which cells part well."""
+    parts = F.array(F.col(f"{prefix}_acctbal") / 10000, F.col(f"{prefix}_nationkey") / 25.0, F.lit(1.0))
+    key = {"c": "c_custkey", "s": "s_suppkey"}[prefix]
+    return read(spark, sf_dir, table).select(F.col(key).alias("key"), l2_normalise(parts).alias("embedding"))
+
+
 def resident_index(spark: SparkSession, sf_dir: str) -> Index:
     """The searchable tables of the documents: built by the first job that asks
     for them in a session, opened by the others."""

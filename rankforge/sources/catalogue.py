@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.config import MIN_TITLE_CHARS
@@ -137,9 +137,47 @@ def first_n(df: DataFrame, n: int | None, by: str = "id") -> DataFrame:
     return df.orderBy(by).limit(n)
 
 
-def save(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet") -> None:
-    """Write a prepared corpus; an existing one is kept unless ``force``."""
-    df.write.mode("overwrite" if force else "ignore").format(fmt).save(path)
+def save(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet",
+         partition_by: str | None = None, sort_by: str | None = None) -> None:
+    """Write a prepared corpus; an existing one is kept unless ``force``.
+
+    With ``partition_by`` a scan for one of its values opens that folder alone;
+    with ``sort_by`` as well, files hold ranges, so that a scan for some of its
+    values skips files and pages. A large partition is spread over several files.
+    """
+    keys = [c for c in (partition_by, sort_by) if c]
+    if sort_by:
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    writer = df.write.mode("overwrite" if force else "ignore").format(fmt)
+    (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+
+
+def save_checked(df: DataFrame, path: str, reasons: Mapping[str, Column]) -> dict[str, int]:
+    """Write ``df`` and count, in the same pass, what is kept and what each of
+    ``reasons`` rejects; the first that holds counts.
+
+    Rejected rows are kept apart with their reason, in the column ``rejected``;
+    see :func:`kept` and :func:`rejected`. The result has a count under ``kept``
+    and under each reason.
+    """
+    reason = F.lit(None).cast("string")
+    for name, holds in reversed(list(reasons.items())):
+        reason = F.when(F.coalesce(holds, F.lit(False)), F.lit(name)).otherwise(reason)
+    counts = Observation()
+    named = {f"n{i}": name for i, name in enumerate(reasons)}
+    marked = df.withColumn("rejected", reason).observe(
+        counts, F.count_if(F.col("rejected").isNull()).alias("kept"),
+        *(F.count_if(F.col("rejected") == name).alias(key) for key, name in named.items()))
+    marked.write.partitionBy("rejected").parquet(path)
+    return {named.get(key, key): n for key, n in counts.get.items()}
+
+
+def kept(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("rejected").isNull()).drop("rejected")
+
+
+def rejected(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("rejected").isNotNull())
 
 
 def doc_count(df: DataFrame) -> DataFrame:
@@ -217,5 +255,5 @@ def upsert_outcome(base: DataFrame, batch: DataFrame, key: str = "id") -> DataFr
 __all__ = [
     "ARTICLE_SCHEMA", "RAW_PRODUCT_FIELDS", "build_articles", "clean_products",
     "corpus_profile", "doc_count", "first_n", "latest", "parse_json_lines", "read_articles",
-    "read_raw_products", "save", "upsert", "upsert_outcome",
+    "kept", "read_raw_products", "rejected", "save", "save_checked", "upsert", "upsert_outcome",
 ]
