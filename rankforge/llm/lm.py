@@ -1,41 +1,36 @@
-"""Language-model scores: a causal self-attention model over subword ids, in numpy.
+"""Language-model scores: a causal self-attention model over subword ids.
 
-The model predicts the class of the next subword from the last ones, then its
-slot in the class, by two softmax levels that both see the context. Classes are
-bins of equal frequency over the subword counts of all training documents. A
-frequent subword has a slot of its own; the others of a class share slots of
-equal frequency, and only a subword's share of such a slot comes from the counts. One attention head with a bias for each distance, a residual
-connection and a small feed-forward layer give the class.
-
-Training starts on the driver with a bounded sample, then goes on in all tasks
-over all training documents, and the tasks' parameters are averaged by their
-numbers of tokens. Scoring cuts a text into chunks; a window is
-a chunk and the one before it, so each subword is scored once, with at least a
-chunk of context, in batches of masked attention.
+The model of :mod:`rankforge.llm.attention` learns from all training documents:
+every task goes once over the texts it holds, and the tasks' parameters, weighted
+by their numbers of tokens, are averaged; the next round goes on from there with
+other documents. Scoring cuts a text into chunks; a window is a chunk and the one
+before it, so each subword is scored once, with at least a chunk of context, in
+batches of masked attention.
 
 Words are those of the text in lower case (A-Z), each with a space before it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import blocks, remainder_is, share_of, table, text_array, words_of
+from rankforge.llm import attention
+from rankforge.llm.attention import ModelParams, Trainer
+from rankforge.llm.common import blocks, remainder_is, table, text_array, words_of
 from rankforge.llm.packing import Encoder
 from rankforge.storage import materialize
 
 END_WORD = ""  # words are never empty
 MAX_WORD = 64  # characters of a word that may be sent to all executors
+_PIECE = 2048  # parameters of a row
 
 
 @dataclass(frozen=True)
@@ -43,20 +38,9 @@ class LmParams:
     vocabulary: str = "byte_bpe_50k"
     end_id: int = 50256
     smoothing: float = 0.1
-    classes: int = 64
-    inputs: int = 2048  # frequent subwords with a vector of their own; the others share their class's
-    shared: int = 64  # slots of a class for all its subwords without one of their own, at most
-    dim: int = 16
-    hidden: int = 32
-    chunk: int = 16
-    # the driver's sample: at most so many texts, none longer than this
-    sample_docs: int = 400
-    max_doc_chars: int = 10_000
-    epochs: int = 4
-    batch: int = 64  # chunks of a training step
-    rate: float = 4e-3
-    seed: int = 3
+    rounds: int = 2  # of training; a document belongs to one
     frequent_words: int = 200_000  # words whose counts every executor gets, at most
+    model: ModelParams = field(default_factory=ModelParams)
 
 
 def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -129,170 +113,6 @@ def frequent_words(counts: DataFrame, params: LmParams) -> dict[str, int]:
 # Model ------------------------------------------------------------------------
 
 
-def coding(counts: np.ndarray, params: LmParams) -> dict:
-    """Per subword id its class, its log-probability in the class and its input.
-    One input more stands for what lies before a text."""
-    smooth = counts + params.smoothing
-    order = np.argsort(-smooth, kind="stable")
-    mass = np.cumsum(smooth[order]) / smooth.sum()
-    classes = np.empty(len(counts), np.int64)
-    # bins of equal mass: the most frequent subwords have a class alone
-    middle = mass - smooth[order] / smooth.sum() / 2
-    _, classes[order] = np.unique(np.minimum((middle * params.classes).astype(np.int64), params.classes - 1),
-                                  return_inverse=True)
-    total = np.bincount(classes, smooth, minlength=params.classes)
-    inputs = np.empty(len(counts), np.int64)
-    rank = np.arange(len(counts))
-    inputs[order] = np.where(rank < params.inputs, rank, params.inputs + classes[order])
-    return {"class": classes.astype(np.int32), "within": np.log(smooth / total[classes]),
-            "input": inputs.astype(np.int32), "before": params.inputs + params.classes,
-            **_slots(smooth, order, classes, params)}
-
-
-def _slots(smooth: np.ndarray, order: np.ndarray, classes: np.ndarray, params: LmParams) -> dict:
-    """Per subword id its slot and log-probability in the slot, per slot its
-    log-probability in the class, and where the slots of each class start, with
-    the end. ``order`` has the ids by frequency, and so by class."""
-    slot, spans = np.empty(len(smooth), np.int64), [0]
-    own = np.zeros(len(smooth), bool)
-    own[order[:params.inputs]] = True
-    ends = np.searchsorted(classes[order], np.arange(params.classes + 1))
-    for low, high in zip(ends[:-1], ends[1:]):
-        ids = order[low:high]
-        n = int(own[ids].sum())  # the first ones
-        slot[ids[:n]] = spans[-1] + np.arange(n)
-        rest = smooth[ids[n:]]
-        if len(rest):
-            middle = (np.cumsum(rest) - rest / 2) / rest.sum()
-            used, at = np.unique(np.minimum((middle * params.shared).astype(np.int64), params.shared - 1), return_inverse=True)
-            slot[ids[n:]] = spans[-1] + n + at
-            n += len(used)
-        spans.append(spans[-1] + n)
-    spans = np.array(spans)
-    mass = np.bincount(slot, smooth, minlength=spans[-1])
-    of_class = np.bincount(classes, smooth, minlength=params.classes)
-    prior = np.log(mass / np.repeat(of_class, np.diff(spans))).astype(np.float32)
-    return {"slot": slot.astype(np.int32), "in_slot": np.log(smooth / mass[slot]), "prior": prior, "spans": spans}
-
-
-def initial(params: LmParams, class_mass: np.ndarray) -> dict[str, np.ndarray]:
-    rng = np.random.default_rng(params.seed)
-    d, h, k = params.dim, params.hidden, params.classes
-
-    def normal(*shape, scale):
-        return rng.normal(0, scale, shape).astype(np.float32)
-
-    bias = np.log((class_mass + 1.0) / (class_mass.sum() + k)).astype(np.float32)
-    return {"E": normal(params.inputs + k + 1, d, scale=0.5), "Q": normal(d, d, scale=d ** -0.5),
-            "K": normal(d, d, scale=d ** -0.5), "V": normal(d, d, scale=0.5 * d ** -0.5),
-            "R": np.zeros(2 * params.chunk, np.float32), "W1": normal(d, h, scale=d ** -0.5),
-            "b1": np.zeros(h, np.float32), "W2": normal(h, d, scale=0.5 * h ** -0.5),
-            "C": normal(d, k, scale=0.3 * d ** -0.5), "c": bias,
-            # what the context adds to the frequencies of the slots: nothing yet
-            "O": np.zeros((params.inputs + k * params.shared, d), np.float32),
-            "o": np.zeros(params.inputs + k * params.shared, np.float32)}
-
-
-def _distance(chunk: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distance of every query of a chunk to the keys of its window, and which
-    keys lie after it."""
-    distance = np.arange(chunk)[:, None] + chunk - np.arange(2 * chunk)[None, :]
-    return np.maximum(distance, 0), distance < 0
-
-
-def _slot_logits(p: dict, g: np.ndarray, classes: np.ndarray, code: dict):
-    """Per class of more than one slot: the rows of ``g`` that want it, its
-    first slot and the end, and the rows' log-weights of its slots."""
-    order = np.argsort(classes, kind="stable")
-    spans = code["spans"]
-    ends = np.searchsorted(classes[order], np.arange(len(spans)))
-    for c in np.flatnonzero((np.diff(ends) > 0) & (np.diff(spans) > 1)):
-        rows, low, high = order[ends[c]:ends[c + 1]], spans[c], spans[c + 1]
-        yield rows, low, high, g[rows] @ p["O"][low:high].T + (p["o"][low:high] + code["prior"][low:high])
-
-
-def _gradients(p: dict, window: np.ndarray, target: np.ndarray, chunk: int,
-               slot: np.ndarray | None = None, code: dict | None = None) -> dict[str, np.ndarray]:
-    """Of the mean loss; ``window`` (m, 2 * chunk) inputs, ``target`` (m, chunk)
-    classes, -1 after the end of a text, ``slot`` their slots. Without slots
-    the loss is that of the classes."""
-    d = p["Q"].shape[0]
-    distance, later = _distance(chunk)
-    x = p["E"][window]
-    now = x[:, chunk:]
-    q, k, v = now @ p["Q"], x @ p["K"], x @ p["V"]
-    s = q @ k.transpose(0, 2, 1) / math.sqrt(d) + np.where(later, p["R"].dtype.type(-np.inf), p["R"][distance])
-    a = np.exp(s - s.max(axis=-1, keepdims=True))
-    a /= a.sum(axis=-1, keepdims=True)
-    h = now + a @ v
-    z = h @ p["W1"] + p["b1"]
-    r = np.maximum(z, 0)
-    g = h + r @ p["W2"]
-    logits = g @ p["C"] + p["c"]
-    probability = np.exp(logits - logits.max(axis=-1, keepdims=True))
-    probability /= probability.sum(axis=-1, keepdims=True)
-    valid = target >= 0
-    np.put_along_axis(probability, np.maximum(target, 0)[..., None], np.take_along_axis(
-        probability, np.maximum(target, 0)[..., None], -1) - 1, -1)
-    dl = probability * (valid / max(valid.sum(), 1))[..., None].astype(np.float32)
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    dg = dl @ p["C"].T
-    do, dob = np.zeros_like(p["O"]), np.zeros_like(p["o"])
-    if slot is not None:
-        real = np.flatnonzero(valid.ravel())
-        wanted, inner, dinner = slot.ravel()[real], flat(g)[real], np.zeros((len(real), d), g.dtype)
-        for rows, low, high, weights in _slot_logits(p, inner, target.ravel()[real], code):
-            weights = np.exp(weights - weights.max(axis=-1, keepdims=True))
-            weights /= weights.sum(axis=-1, keepdims=True)
-            weights[np.arange(len(rows)), wanted[rows] - low] -= 1
-            weights /= len(real)
-            do[low:high], dob[low:high] = weights.T @ inner[rows], weights.sum(axis=0)
-            dinner[rows] = weights @ p["O"][low:high]
-        flat(dg)[real] += dinner
-    dz = (dg @ p["W2"].T) * (z > 0)
-    dh = dg + dz @ p["W1"].T
-    da = dh @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dh
-    ds = a * (da - (da * a).sum(axis=-1, keepdims=True))
-    dq, dk = ds @ k / math.sqrt(d), ds.transpose(0, 2, 1) @ q / math.sqrt(d)
-    dx = dk @ p["K"].T + dv @ p["V"].T
-    dx[:, chunk:] += dq @ p["Q"].T + dh
-    de = np.zeros_like(p["E"])
-    order = np.argsort(window.ravel(), kind="stable")
-    rows, first = np.unique(window.ravel()[order], return_index=True)
-    de[rows] = np.add.reduceat(flat(dx)[order], first)
-    dr = np.bincount(distance.ravel(), np.where(later, 0, ds.sum(axis=0)).ravel(), minlength=2 * chunk)
-    return {"E": de, "Q": flat(now).T @ flat(dq), "K": flat(x).T @ flat(dk), "V": flat(x).T @ flat(dv),
-            "R": dr.astype(np.float32), "W1": flat(h).T @ flat(dz), "b1": flat(dz).sum(axis=0),
-            "W2": flat(r).T @ flat(dg), "C": flat(g).T @ flat(dl), "c": flat(dl).sum(axis=0),
-            "O": do, "o": dob}
-
-
-class Trainer:
-    """Adam over chunks that arrive in any number."""
-
-    def __init__(self, weights: dict, params: LmParams, rate: float):
-        self.p = {k: v.copy() for k, v in weights.items()}
-        self.m = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.s = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.params, self.rate, self.steps, self.tokens = params, rate, 0, 0
-
-    def learn(self, window: np.ndarray, target: np.ndarray, slot: np.ndarray, code: dict) -> None:
-        for low in range(0, len(window), self.params.batch):
-            now = slice(low, low + self.params.batch)
-            part = target[now]
-            gradients = _gradients(self.p, window[now], part, self.params.chunk, slot[now], code)
-            self.steps += 1
-            self.tokens += int((part >= 0).sum())
-            size = self.rate * min(1.0, self.steps / 20)
-            for name, g in gradients.items():
-                self.m[name] += 0.1 * (g - self.m[name])
-                self.s[name] += 0.01 * (g * g - self.s[name])
-                m = self.m[name] / (1 - 0.9 ** self.steps)
-                s = self.s[name] / (1 - 0.99 ** self.steps)
-                self.p[name] -= (size * m / (np.sqrt(s) + 1e-8)).astype(np.float32)
-
-
 def subwords(words_of_texts, encoder: Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, each with its end, and where they
     start, with the end; from the words of the texts."""
@@ -309,133 +129,71 @@ def subwords(words_of_texts, encoder: Encoder, end_id: int) -> tuple[np.ndarray,
     return every[places], np.concatenate(([0], out[starts[1:] + np.arange(len(starts) - 1)]))
 
 
-def chunks(ids: np.ndarray, starts: np.ndarray, code: dict, chunk: int):
-    """Inputs by chunk, a chunk of what lies before each text first; subword ids
-    to predict (-1: none) of the chunks that have any; and which chunks those are."""
-    lengths = np.diff(starts)
-    per = -(-lengths // chunk) + 1
-    first = np.concatenate(([0], np.cumsum(per)))
-    inputs = np.full(first[-1] * chunk, code["before"], np.int64)
-    target = np.full(first[-1] * chunk, -1, np.int64)
-    at = np.arange(len(ids)) + np.repeat((first[:-1] + 1) * chunk - starts[:-1], lengths)
-    target[at] = ids
-    # a subword is the input of the next place; the last one of a text is the end
-    inner = np.ones(len(ids), bool)
-    inner[starts[1:] - 1] = False
-    inputs[at[inner] + 1] = code["input"][ids[inner]]
-    scored = np.ones(first[-1], bool)
-    scored[first[:-1]] = False
-    return inputs.reshape(-1, chunk), target.reshape(-1, chunk), np.flatnonzero(scored), first
-
-
-def _windows(texts: pa.Array, encoder: Encoder, code: dict, params: LmParams):
-    inputs, target, scored, _ = chunks(*subwords(lower_words(texts), encoder, params.end_id), code, params.chunk)
-    target = target[scored]
-    classes, slots = (np.where(target >= 0, code[of][np.maximum(target, 0)], -1) for of in ("class", "slot"))
-    return np.concatenate([inputs[scored - 1], inputs[scored]], axis=1), classes, slots
-
-
-def score_texts(words_of_texts, encoder: Encoder, code: dict, p: dict, params: LmParams) -> np.ndarray:
-    """Natural log-probability of every text, given the words of the texts."""
-    chunk, d = params.chunk, params.dim
-    inputs, target, _, first = chunks(*subwords(words_of_texts, encoder, params.end_id), code, params.chunk)
-    # per input its vector, query, key, value, and a 1 that adds up the weights
-    one = np.ones((len(p["E"]), 1), np.float32)
-    rows = np.hstack([p["E"], p["E"] @ p["Q"], p["E"] @ p["K"] / np.float32(np.sqrt(d)), p["E"] @ p["V"], one])
-    distance, later = _distance(chunk)
-    mask = np.where(later, np.float32(-1e30), p["R"][distance]).astype(np.float32)
-    own = np.zeros(len(inputs))
-    # every chunk but the first has one before it; the chunk that stands for
-    # what lies before a text has no targets
-    for low in range(1, len(inputs), 256):
-        high = min(low + 256, len(inputs))
-        g = rows[inputs[low - 1:high]]
-        query = g[1:, :, d:2 * d]
-        h = np.zeros((high - low, chunk, d + 1), np.float32)
-        for part, bias in ((g[:-1], mask[:, :chunk]), (g[1:], mask[:, chunk:])):
-            s = query @ part[:, :, 2 * d:3 * d].transpose(0, 2, 1)
-            s += bias
-            np.minimum(s, np.float32(60), out=s)  # no overflow; never reached by a trained model
-            np.exp(s, out=s)
-            h += s @ part[:, :, 3 * d:]
-        h = h[:, :, :d] / h[:, :, d:]
-        h += g[1:, :, :d]
-        h = h.reshape(-1, d)
-        r = h @ p["W1"]
-        r += p["b1"]
-        np.maximum(r, 0, out=r)
-        h += r @ p["W2"]
-        logits = h @ p["C"]
-        logits += p["c"]
-        np.clip(logits, np.float32(-60), np.float32(60), out=logits)
-        want = target[low:high].ravel()
-        real = np.flatnonzero(want >= 0)
-        ids = want[real]
-        picked = logits[real, code["class"][ids]]
-        np.exp(logits, out=logits)
-        value = np.zeros(len(want))
-        inner = np.zeros(len(ids))
-        for at, first_slot, _, weights in _slot_logits(p, h[real], code["class"][ids], code):
-            top = weights.max(axis=-1)
-            own_weight = weights[np.arange(len(at)), code["slot"][ids[at]] - first_slot]
-            inner[at] = own_weight - top - np.log(np.exp(weights - top[:, None]).sum(axis=-1))
-        value[real] = picked - np.log(logits.sum(axis=-1)[real]) + inner + code["in_slot"][ids]
-        own[low:high] = value.reshape(-1, chunk).sum(axis=1)
-    return np.add.reduceat(own, first[:-1])
+def _summed(rows: DataFrame) -> DataFrame:
+    """Weighted sums of the ``values`` of every ``piece``, in the order of the
+    tasks, so that reruns agree. A task adds row after row; it holds one sum."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, tokens, total = None, 0, None
+
+        def done():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([piece], pa.int32()), pa.array([tokens], pa.int64()), pa.array([total], pa.list_(pa.float64()))],
+                names=["piece", "tokens", "values"])
+
+        for batch in batches:
+            starts = batch.column(3).offsets.to_numpy()
+            flat = batch.column(3).flatten().to_numpy()
+            own = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), starts - starts[0], starts[1:] - starts[0])
+            for number, weight, low, high in own:
+                if number != piece:
+                    if total is not None:
+                        yield done()
+                    piece, tokens, total = number, 0, np.zeros(high - low)
+                tokens += weight
+                total += weight * flat[low:high].astype(np.float64)
+        if total is not None:
+            yield done()
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, "piece").sortWithinPartitions("piece", "task")
+    return dealt.mapInArrow(apply, "piece int, tokens bigint, values array<double>")
 
 
 def fit(docs: DataFrame, counts: np.ndarray, params: LmParams = LmParams()) -> tuple[dict, dict]:
-    """(coding, parameters) from the training rows ``docs`` and their subword counts."""
+    """(coding, parameters) from all training rows ``docs`` and their subword
+    counts. Without rows the parameters are the untrained ones."""
     spark = docs.sparkSession
-    code = coding(counts, params)
-    mass = np.bincount(code["class"], counts, minlength=params.classes)
-    weights = initial(params, mass)
-    share = share_of(F.col("doc_id"))
-    n = docs.count()
-    sample = docs.where((share < min(1.0, 1.3 * params.sample_docs / max(n, 1))) & (F.length("text") <= params.max_doc_chars))
-    texts = [r["text"] for r in sample.orderBy(share, "doc_id", "text").limit(params.sample_docs).select("text").collect()]
-    if texts:
-        encoder = Encoder(params.vocabulary)
-        window, target, slot = _windows(pa.array(texts, pa.string()), encoder, code, params)
-        trainer = Trainer(weights, params, params.rate)
-        rng = np.random.default_rng(params.seed)
-        for _ in range(params.epochs):
-            order = rng.permutation(len(window))
-            trainer.learn(window[order], target[order], slot[order], code)
-        weights = trainer.p
-    names = list(weights)
-    shapes = [weights[k].shape for k in names]
-    shared = spark.sparkContext.broadcast((code, weights))
-    piece = 128  # parameters of a row
-
-    def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, weights = shared.value
-        encoder, trainer = None, Trainer(weights, params, params.rate / 4)
-        for block in blocks(batches, max_bytes=1 << 20):
-            encoder = encoder or Encoder(params.vocabulary)
-            window, target, slot = _windows(text_array(block.column(0)), encoder, code, params)
-            order = np.random.default_rng(params.seed).permutation(len(window))
-            trainer.learn(window[order], target[order], slot[order], code)
-        if trainer.tokens:
-            flat = np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float32)
-            parts = [flat[low:low + piece].tolist() for low in range(0, len(flat), piece)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array([trainer.tokens] * len(parts), pa.int64()),
-                 pa.array(parts, pa.list_(pa.float32()))], names=["piece", "tokens", "values"])
-
-    def average(group: pd.DataFrame) -> pd.DataFrame:
-        mean = np.average(np.stack(group["values"].to_list()).astype(np.float64), axis=0, weights=group["tokens"])
-        return pd.DataFrame({"piece": [int(group["piece"].iloc[0])], "values": [mean.astype(np.float32)]})
+    code = attention.coding(counts, params.model)
+    state = Trainer.start(params.model)
+    names, shapes = list(state), [v.shape for v in state.values()]
+    cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    for number in range(params.rounds):
+        shared = spark.sparkContext.broadcast((code, state))
+
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            code, state = shared.value
+            encoder, trainer = None, Trainer(state, params.model)
+            for block in blocks(batches, max_bytes=1 << 20):
+                encoder = encoder or Encoder(params.vocabulary)
+                ids, starts = subwords(lower_words(text_array(block.column(0))), encoder, params.end_id)
+                trainer.learn(*attention.chunks(ids, starts, code, params.model.chunk)[:2], code)
+            if trainer.tokens:
+                flat = np.concatenate([trainer.state[k].ravel() for k in names]).astype(np.float32)
+                starts = np.append(np.arange(0, len(flat), _PIECE), len(flat))
+                n = len(starts) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(n), pa.int32()), pa.array(np.full(n, TaskContext.get().partitionId()), pa.int32()),
+                     pa.array(np.full(n, trainer.tokens)), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat))],
+                    names=["piece", "task", "tokens", "values"])
 
-    rows = (
-        docs.select(F.coalesce("text", F.lit(""))).mapInArrow(go_on, "piece int, tokens bigint, values array<float>")
-        .groupBy("piece").applyInPandas(average, "piece int, values array<float>").collect()
-    )
-    if rows:
-        flat = np.concatenate([np.array(r["values"], np.float32) for r in sorted(rows, key=lambda r: r["piece"])])
-        cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-        weights = {k: a.reshape(s) for k, a, s in zip(names, np.split(flat, cuts), shapes)}
-    return code, weights
+        own = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(params.rounds)) == number).select("text")
+        rows = _summed(own.mapInArrow(learn, "piece int, task int, tokens bigint, values array<float>")).collect()
+        if rows:  # as many parameters as one task has
+            flat = np.concatenate([np.array(r["values"]) / r["tokens"] for r in sorted(rows, key=lambda r: r["piece"])])
+            state = {k: a.reshape(s).astype(np.float32) for k, a, s in zip(names, np.split(flat, cuts), shapes)}
+    return code, attention.weights_of(state)
 
 
 # Scores -----------------------------------------------------------------------
@@ -463,13 +221,14 @@ def score_documents(docs: DataFrame, learnable: Column, params: LmParams = LmPar
         encoder = None
         number = TaskContext.get().partitionId() << 40
         names = ["row", "doc_id", "word", "n", "n_tokens", "n_known", "base", "score"]
-        for block in blocks(batches):
+        for block in blocks(batches, max_bytes=4 << 20):
             code, weights, known = shared.value
             encoder = encoder or Encoder(params.vocabulary)
             texts = text_array(block.column(1))
             m = len(texts)
             starts, codes, words = lower_words(texts)
-            score = score_texts((starts, codes, words), encoder, code, weights, params) / np.log(10)
+            ids, bounds = subwords((starts, codes, words), encoder, params.end_id)
+            score = attention.score(weights, ids, bounds, code, params.model) / np.log(10)
             counted = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
             common = counted >= 0
             log = np.log10((np.maximum(counted, 0) + smooth) / below)

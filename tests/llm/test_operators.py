@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankforge.llm import (
-    langid, lm, mixing, packing, quality, rules, secret_scan, simhash, topk, toxicity,
+    attention, langid, lm, mixing, packing, quality, rules, secret_scan, simhash, topk, toxicity,
 )
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -483,116 +483,114 @@ def test_scores(messy, no_docs):
     assert lm.score_documents(messy, F.lit(False), params).where("n_known <> 0").count() == 0
 
 
-def test_batched_windows_match_one_by_one():
+def coded(texts, params):
     import pyarrow as pa
 
-    params = lm.LmParams(dim=8, hidden=8, classes=16, inputs=100)
     encoder = packing.Encoder(params.vocabulary)
-    texts = ["", "one", "some words to score in turn " * 9, "and others"]
-    ids, _ = lm.subwords(lm.lower_words(pa.array(texts)), encoder, params.end_id)
+    ids, starts = lm.subwords(lm.lower_words(pa.array(texts, pa.string())), encoder, params.end_id)
     counts = np.bincount(ids, minlength=params.end_id + 1)
-    code = lm.coding(counts, params)
-    assert np.bincount(code["class"], np.exp(code["within"])) == pytest.approx(1.0)
-    p = lm.initial(params, np.bincount(code["class"], counts, minlength=params.classes))
-    p["R"] = np.linspace(0, -1, 2 * params.chunk).astype(np.float32)
-    for text, value in zip(texts, lm.score_texts(lm.lower_words(pa.array(texts)), encoder, code, p, params)):
-        ids, _ = lm.subwords(lm.lower_words(pa.array([text])), encoder, params.end_id)
-        x = p["E"][[code["before"]] * (params.chunk + 1) + code["input"][ids[:-1]].tolist()].astype(float)
-        plain = 0.0
-        for t, subword in enumerate(ids):
-            at = t + params.chunk
-            low = (at // params.chunk - 1) * params.chunk
-            s = x[low:at + 1] @ p["K"] @ (x[at] @ p["Q"]) / np.sqrt(params.dim) + p["R"][at - np.arange(low, at + 1)]
-            a = np.exp(s - s.max())
-            h = x[at] + (a / a.sum()) @ (x[low:at + 1] @ p["V"])
-            h = h + np.maximum(h @ p["W1"] + p["b1"], 0) @ p["W2"]
-            logits = h @ p["C"] + p["c"]
-            plain += logits[code["class"][subword]] - np.log(np.exp(logits).sum()) + code["within"][subword]
-        assert value == pytest.approx(plain, rel=1e-4)
-
-
-def test_context_chooses_inside_classes():
-    import pyarrow as pa
-
-    params = lm.LmParams(dim=8, hidden=8, classes=2, inputs=20, shared=3)
-    encoder = packing.Encoder(params.vocabulary)
-    texts = pa.array(["red fox then blue owl then " * 60, "blue owl then red fox then " * 60])
-    ids, _ = lm.subwords(lm.lower_words(texts), encoder, params.end_id)
-    counts = np.bincount(ids, minlength=params.end_id + 1)
-    code = lm.coding(counts, params)
-    # slots lie in their classes, and shares multiply to those of the counts
-    assert (code["slot"] >= code["spans"][code["class"]]).all() and (code["slot"] < code["spans"][code["class"] + 1]).all()
-    assert code["prior"][code["slot"]] + code["in_slot"] == pytest.approx(code["within"], abs=1e-4)
-    window, target, slot = lm._windows(texts, encoder, code, params)
-    trainer = lm.Trainer(lm.initial(params, np.bincount(code["class"], counts, minlength=params.classes)), params, 0.02)
-    for _ in range(150):
-        trainer.learn(window, target, slot, code)
-    score = lm.score_texts(lm.lower_words(texts), encoder, code, trainer.p, params)
-    # the words follow from those before; plain shares of the classes cannot score this
-    assert (score > 0.5 * np.bincount(np.repeat([0, 1], len(ids) // 2), code["within"][ids])).all()
-    many = lm.score_texts(lm.lower_words(pa.concat_arrays([texts] * 20)), encoder, code, trainer.p, params)
-    assert many == pytest.approx(np.tile(score, 20), rel=1e-4)
-    # slot gradients against differences
-    p = {k: v.astype(np.float64) + 0.1 * np.random.default_rng(2).normal(size=v.shape) for k, v in trainer.p.items()}
-
-    def loss(p):
-        found = lm.score_texts(lm.lower_words(texts), encoder, code, p, params)
-        return -(found.sum() - code["in_slot"][ids].sum()) / len(ids)
+    return ids, starts, counts, attention.coding(counts, params.model)
+
+
+def plain_log(p, ids, code, params):
+    """Log-probability of one text, position by position."""
+    x = p["E"][[code["before"]] * (params.chunk + 1) + code["input"][ids[:-1]].tolist()].astype(float)
+    q, k, v = np.split(p["P"].astype(float), 3, axis=1)
+    total = 0.0
+    for t, subword in enumerate(ids):
+        at = t + params.chunk
+        low = (at // params.chunk - 1) * params.chunk
+        s = x[low:at + 1] @ k @ (x[at] @ q) / np.sqrt(params.dim) + p["R"][at - np.arange(low, at + 1)]
+        a = np.exp(s - s.max())
+        h = x[at] + (a / a.sum()) @ (x[low:at + 1] @ v)
+        h = h + np.maximum(h @ p["W1"] + p["b1"], 0) @ p["W2"]
+        leaf, node = int(code["leaf"][subword]), 0
+        for level in range(3):
+            branch = leaf // 16 ** (2 - level) % 16
+            logits = h @ p["O"][node] + p["o"][node] + code["prior"][node]
+            total += logits[branch] - np.log(np.exp(logits).sum())
+            node = node * 16 + branch + 1
+        total += code["in_leaf"][subword]
+    return total
 
-    gradients = lm._gradients(p, window, target, params.chunk, slot, code)
-    at = int(code["slot"][ids[0]])
-    for name, place in (("O", (at, 1)), ("o", (at,)), ("W2", (0, 0)), ("V", (1, 2))):
-        up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
-        up[name][place] += 1e-2
-        down[name][place] -= 1e-2
-        assert gradients[name][place] == pytest.approx((loss(up) - loss(down)) / 2e-2, rel=2e-2, abs=1e-3)
 
+def random_weights(params, seed=4):
+    rng = np.random.default_rng(seed)
+    return {k: v + 0.1 * rng.normal(size=v.shape) for k, v in attention.initial(params).items()}
 
-def test_training_takes_every_document(spark):
-    import pyarrow as pa
 
-    params = lm.LmParams(dim=4, hidden=5, classes=16, inputs=100, sample_docs=0)
-    texts = [f"text {i} of the words {'to learn from ' * (i % 5)}" for i in range(40)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
-    encoder = packing.Encoder(params.vocabulary)
-    ids, _ = lm.subwords(lm.lower_words(pa.array(texts)), encoder, params.end_id)
-    counts = np.bincount(ids, minlength=params.end_id + 1)
-    code, found = lm.fit(docs, counts, params)
-    mass = np.bincount(code["class"], counts, minlength=params.classes)
-    trainer = lm.Trainer(lm.initial(params, mass), params, params.rate / 4)
-    window, target, slot = lm._windows(pa.array(texts), encoder, code, params)
-    order = np.random.default_rng(params.seed).permutation(len(window))
-    trainer.learn(window[order], target[order], slot[order], code)
-    assert trainer.tokens == len(ids)
-    for name, value in trainer.p.items():
-        assert found[name] == pytest.approx(value, abs=1e-5), name
+def test_batched_windows_match_one_by_one():
+    params = lm.LmParams(model=attention.ModelParams(dim=8, hidden=8, inputs=100, chunk=5))
+    texts = ["", "one", "some words to score in turn " * 9, "and others", "one"]
+    ids, starts, counts, code = coded(texts, params)
+    # shares of leaves and in leaves multiply to those of the counts
+    share = np.exp(code["in_leaf"])
+    for level in range(3):
+        node = [0, 1, 17][level] + (code["leaf"] // 16 ** (3 - level) if level else 0)
+        share = share * np.exp(code["prior"].astype(float))[node, code["leaf"] // 16 ** (2 - level) % 16]
+    assert share == pytest.approx((counts + 0.1) / (counts + 0.1).sum(), rel=1e-4)
+    p = random_weights(params.model)
+    for step in (256, 3):
+        found = attention.score(p, ids, starts, code, params.model, step)
+        for i, value in enumerate(found):
+            assert value == pytest.approx(plain_log(p, ids[starts[i]:starts[i + 1]], code, params.model), rel=1e-4)
 
 
 def test_gradients_match_differences():
-    params = lm.LmParams(dim=4, hidden=5, classes=6, inputs=10, chunk=3)
-    rng = np.random.default_rng(9)
-    p = {k: v.astype(np.float64) + 0.1 * rng.normal(size=v.shape) for k, v in lm.initial(params, np.ones(6)).items()}
-    window, target = rng.integers(0, 17, (4, 6)), rng.integers(-1, 6, (4, 3))
+    params = lm.LmParams(model=attention.ModelParams(dim=6, hidden=5, inputs=40, chunk=4))
+    ids, starts, _, code = coded(["a few words to learn from, and then a few more", "again a few words"], params)
+    inputs, target, _ = attention.chunks(ids, starts, code, 4)
+    p = random_weights(params.model)
+    gradients, n = attention.gradients(p, inputs, target, code)
+    assert n == len(ids)
 
     def loss(p):
-        distance, later = lm._distance(3)
-        x = p["E"][window]
-        now = x[:, 3:]
-        s = (now @ p["Q"]) @ (x @ p["K"]).transpose(0, 2, 1) / 2 + p["R"][distance]
-        s[:, later] = -np.inf
-        a = np.exp(s - s.max(-1, keepdims=True))
-        h = now + (a / a.sum(-1, keepdims=True)) @ (x @ p["V"])
-        h = h + np.maximum(h @ p["W1"] + p["b1"], 0) @ p["W2"]
-        logits = h @ p["C"] + p["c"]
-        log = logits - np.log(np.exp(logits).sum(-1, keepdims=True))
-        own = np.take_along_axis(log, np.maximum(target, 0)[..., None], -1)[..., 0]
-        return -(own * (target >= 0)).sum() / (target >= 0).sum()
+        return -(attention.score(p, ids, starts, code, params.model).sum() - code["in_leaf"][ids].sum()) / len(ids)
 
-    gradients = lm._gradients(p, window, target, 3)
+    rng = np.random.default_rng(5)
     for name, value in p.items():
-        for at in rng.choice(value.size, min(4, value.size), replace=False):
+        places = np.flatnonzero(gradients[name].ravel()) if gradients[name].any() else np.arange(value.size)
+        for at in rng.choice(places, min(5, len(places)), replace=False):
             place = np.unravel_index(at, value.shape)
             up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
             up[name][place] += 1e-5
             down[name][place] -= 1e-5
-            assert gradients[name][place] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-5)
+            assert gradients[name][place] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-5), name
+
+
+def test_training_learns_from_the_context():
+    params = lm.LmParams(model=attention.ModelParams(dim=8, hidden=8, inputs=50, batch=8))
+    ids, starts, counts, code = coded(["red fox then blue owl then " * 60, "blue owl then red fox then " * 60], params)
+    trainer = attention.Trainer(attention.Trainer.start(params.model), params.model)
+    inputs, target, _ = attention.chunks(ids, starts, code, params.model.chunk)
+    for _ in range(30):
+        trainer.learn(inputs, target, code)
+    found = attention.score(attention.weights_of(trainer.state), ids, starts, code, params.model).sum()
+    # the words follow from those before; their shares alone cannot tell
+    assert found > 0.4 * np.log((counts / counts.sum())[ids]).sum()
+
+
+def test_training_takes_every_document(spark):
+    params = lm.LmParams(rounds=1, model=attention.ModelParams(dim=4, hidden=5, inputs=100))
+    texts = [f"text {i} of the words {'to learn from ' * (i % 5)}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    ids, starts, counts, code = coded(texts, params)
+    _, found = lm.fit(docs.coalesce(1), counts, params)
+    trainer = attention.Trainer(attention.Trainer.start(params.model), params.model)
+    trainer.learn(*attention.chunks(ids, starts, code, params.model.chunk)[:2], code)
+    assert trainer.tokens == len(ids)
+    for name, value in attention.weights_of(trainer.state).items():
+        assert found[name] == pytest.approx(value, abs=1e-5), name
+    # several tasks: the mean of theirs, weighted by tokens
+    two = docs.repartitionByRange(2, "doc_id")
+    parts = [[r["text"] for r in rows] for rows in two.rdd.glom().collect()]
+    mean, weight = 0.0, 0
+    for part in parts:
+        own, bounds, _, _ = coded(part, params)
+        trainer = attention.Trainer(attention.Trainer.start(params.model), params.model)
+        trainer.learn(*attention.chunks(own, bounds, code, params.model.chunk)[:2], code)
+        mean, weight = mean + trainer.tokens * trainer.state["E"].astype(float), weight + trainer.tokens
+    assert lm.fit(two, counts, params)[1]["E"] == pytest.approx(mean / weight, abs=1e-5)
+    # rounds share the documents out, none twice
+    rounds = lm.fit(docs.coalesce(1), counts, lm.LmParams(rounds=3, model=params.model))[1]
+    assert not np.allclose(rounds["E"], found["E"]) and np.isfinite(rounds["O"]).all()
