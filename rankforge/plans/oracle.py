@@ -295,6 +295,12 @@ _oracle("rejected_products", "raw_products", """
 SELECT rejected, min(p_partkey) AS first_key, count(*) AS n_rows, count(*) AS n_observed FROM (
   SELECT p_partkey, CASE WHEN id = '' THEN 'no id' WHEN length(title) < 3 THEN 'short title' ELSE 'kept' END AS rejected
   FROM raw_products) GROUP BY rejected""")
+_oracle("sketch_profile", "docs", f"""
+SELECT lang, count(*) AS n_docs, sum(len(t))::bigint AS n_tokens, any_value(n) AS exact_terms,
+  true AS terms_within_error, true AS median_within_error
+FROM (SELECT lang, {toks('text')} AS t FROM docs) JOIN (
+  SELECT lang, count(DISTINCT w) AS n FROM (SELECT lang, unnest({toks('text')}) AS w FROM docs) GROUP BY lang) USING (lang)
+GROUP BY lang""")
 _oracle("keyword_ignore_above", "docs", """
 SELECT doc_id, CASE WHEN length(title) <= 256 THEN title END AS title_keyword FROM docs""")
 _oracle("slice_filter", "examples", """

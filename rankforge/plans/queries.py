@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from rankforge.config import FunnelParams
 from rankforge.functions.geo import haversine_m
-from rankforge.functions.text import embedding_text, keyword, parse_price
+from rankforge.functions.text import embedding_text, keyword, parse_price, tokens
 from rankforge.functions.vectors import l2_normalise
-from rankforge.operators import analysis, analyze, encode, filters, fusion, hits, knn, lexical, metrics
+from rankforge.operators import analysis, analyze, encode, filters, fusion, hits, knn, lexical, metrics, sketches
 from rankforge.operators import rerank as R
 from rankforge.operators.batch import prepare_queries
 from rankforge.plans import evaluation, funnel, index, tables
@@ -168,6 +168,26 @@ def corpus_profile(spark, sf):
     )
 
 
+@query
+def sketch_profile(spark, sf):
+    """Stored sketches of every source, merged by language, beside exact figures."""
+    docs, words = tables.documents(spark, sf), tokens(F.col("text"))
+    stored = materialize(sketches.corpus_sketches(docs, words, ["lang", "source"]), "sketches")
+    found = sketches.merged(stored, ["lang"])
+    cut = docs.select("lang", words.alias("words"))
+    exact = cut.select("lang", F.explode("words").alias("word")).groupBy("lang").agg(
+        F.count_distinct("word").alias("exact_terms"))
+    off = F.abs(F.col("n_terms") / F.col("exact_terms") - 1)
+    around = cut.join(F.broadcast(found.select("lang", "length")), "lang").groupBy("lang").agg(
+        F.avg((F.size("words") < F.col("length")).cast("int")).alias("below"),
+        F.avg((F.size("words") <= F.col("length")).cast("int")).alias("upto"))
+    return found.join(exact, "lang").join(around, "lang").select(
+        "lang", "n_docs", "n_tokens", "exact_terms",
+        (off <= 4 * sketches.DISTINCT_ERROR).alias("terms_within_error"),
+        (F.col("below").between(0, 0.5 + 2 * sketches.RANK_ERROR) & (F.col("upto") >= 0.5 - 2 * sketches.RANK_ERROR))
+        .alias("median_within_error"))
+
+
 @query
 def qrels_build(spark, sf):
     return judged.build_qrels(tables.examples(spark, sf)).withColumn("query", F.md5("query"))

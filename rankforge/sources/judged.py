@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankforge.config import LABEL_GAINS, LABEL_GRADES, MIN_TITLE_CHARS
 from rankforge.functions.text import blank_to_null, embedding_text, strip
+from rankforge.operators.skew import attach_by_key
 
 PRODUCT_COLUMNS = [
     "product_id", "product_title", "product_description", "product_bullet_point",
@@ -100,8 +101,9 @@ def dedupe_qrels(qrels: DataFrame, order: str) -> DataFrame:
         F.min_by(F.struct("query"), order).alias("_q"),
         F.min(order).alias("_first"),
     )
-    text = last.groupBy("query_id").agg(F.min_by("_q.query", "_first").alias("query"))
-    return last.join(text, "query_id").select(
+    text = last.groupBy("query_id").agg(
+        F.min_by("_q.query", "_first").alias("query"), F.count(F.lit(1)).alias("_n"))
+    return attach_by_key(last, text, "query_id", "_n", ["query"]).select(
         "query_id", "query", "doc_id", *(F.col(f"_row.{c}").alias(c) for c in rest)
     )
 
@@ -115,13 +117,13 @@ def nest_qrels(qrels: DataFrame, part_rows: int = 1000) -> DataFrame:
     ever holds an unbounded map.
     """
     counts = qrels.groupBy("query_id").agg(
-        F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("_parts")
+        F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("_parts"), F.count(F.lit(1)).alias("_n")
     )
     rest = [c for c in qrels.columns if c not in ("query_id", "query", "doc_id")]
     return (
-        qrels.join(counts, "query_id")
+        attach_by_key(qrels, counts, "query_id", "_n", ["_parts"])
         .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("_parts")).cast("int"))
-        # the join deals by query; without this its parts would stay in one task
+        # a join may have dealt by query; its parts are not to stay in one task
         .repartition("query_id", "part")
         .groupBy("query_id", "query", "part")
         .agg(F.map_from_entries(F.collect_list(F.struct("doc_id", F.struct(*rest)))).alias("judgments"))

@@ -10,7 +10,7 @@ from rankforge.operators import rerank as R
 from rankforge.plans import evaluation, funnel
 from rankforge.plans.index import build_index, compact_index, exists, open_index, update_index
 from rankforge.sources.catalogue import upsert
-from rankforge.streaming.versions import append_versions, current
+from rankforge.streaming.versions import append_versions, compact, current
 
 from articles import ARTICLE_TYPE
 
@@ -245,6 +245,16 @@ def test_stream_of_versions(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(source)
         append_versions(stream, log, str(tmp_path / "checkpoint")).awaitTermination(60)
     assert {r.id: r.v for r in current(spark, log).collect()} == {"a": 3, "b": 1}
+    # what is compacted is not read again, and later batches still win
+    assert compact(spark, log) == 1 and compact(spark, log) == 1
+    assert {r.id: r.v for r in current(spark, log).collect()} == {"a": 3, "b": 1}
+    plan = current(spark, log)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_batch" in plan
+    spark.createDataFrame([("b", 4, 5), ("c", 7, 6)], schema).write.mode("append").parquet(source)
+    append_versions(spark.readStream.schema(schema).parquet(source), log, str(tmp_path / "checkpoint")).awaitTermination(60)
+    assert {r.id: r.v for r in current(spark, log).collect()} == {"a": 3, "b": 4, "c": 7}
+    assert compact(spark, log) == 2
+    assert {r.id: r.v for r in current(spark, log).collect()} == {"a": 3, "b": 4, "c": 7}
 
 
 def test_side_by_side_and_friends(spark):
@@ -260,3 +270,78 @@ def test_side_by_side_and_friends(spark):
     queries = spark.range(100).withColumnRenamed("id", "query_id")
     first, second = (sorted(r.query_id for r in analyze.query_sample(queries.repartition(p), 10).collect()) for p in (1, 7))
     assert first == second and len(first) == 10
+
+
+def test_hot_keys_of_a_join(spark, monkeypatch):
+    from rankforge.operators import skew
+
+    rows = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(300)] + [(None, -1)], "key string, x int")
+    table = rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("least"))
+    want = sorted(map(tuple, rows.join(table.drop("n"), "key").select("key", "x", "least").collect()))
+    for share in (2, 1024):
+        monkeypatch.setattr(skew, "HOT_SHARE", share)
+        assert sorted(map(tuple, skew.attach_by_key(rows, table, "key", "n", ["least"]).collect())) == want
+
+
+def test_sketches_of_parts_merge(spark):
+    from rankforge.operators import sketches
+
+    docs = spark.range(3000).select(
+        (F.col("id") % 7).alias("part"), F.when(F.col("id") % 2 == 0, "a").alias("kind"),
+        F.split(F.concat_ws(" ", F.sequence(F.lit(0), F.col("id") % 50)), " ").alias("words"))
+    stored = sketches.corpus_sketches(docs, F.col("words"), ["kind", "part"])
+    assert stored.count() == 14
+    whole = sketches.merged(stored).first()
+    assert (whole.n_docs, whole.n_tokens) == (3000, 3000 * 51 // 2)
+    assert whole.n_terms == pytest.approx(50, rel=0.1) and 24 <= whole.length <= 27
+    by_kind = {r.kind: r.n_docs for r in sketches.merged(stored, ["kind"]).collect()}
+    assert by_kind == {"a": 1500, None: 1500}
+    nothing = sketches.corpus_sketches(docs.limit(0), F.col("words"), ["kind"])
+    assert sketches.merged(nothing, ["kind"]).count() == 0
+
+
+def test_rejected_rows_are_counted_while_written(spark, tmp_path):
+    from rankforge.sources import catalogue
+
+    rows = spark.createDataFrame([(1, None), (2, ""), (3, "x"), (4, "long"), (None, "long"), (None, None)], "id int, title string")
+    path = str(tmp_path / "out")
+    counts = catalogue.save_checked(rows, path, {"no id": F.col("id").isNull(), "no title": F.length("title") == 0})
+    assert counts == {"kept": 3, "no id": 2, "no title": 1}
+    assert sorted(r.id for r in catalogue.kept(spark, path).collect()) == [1, 3, 4]
+    assert {(r.id, r.rejected) for r in catalogue.rejected(spark, path).collect()} == {(2, "no title"), (None, "no id")}
+
+
+def test_written_products_prune_the_scan(spark, tmp_path):
+    from rankforge.sources import catalogue, judged
+
+    columns = [c for c in judged.PRODUCT_COLUMNS if c not in ("product_id", "product_locale")]
+    rows = spark.range(100).select(
+        F.col("id").cast("string").alias("product_id"), *(F.lit("abc").alias(c) for c in columns),
+        F.when(F.col("id") % 2 == 0, "us").otherwise("es").alias("product_locale"))
+    path = str(tmp_path / "products")
+    catalogue.save(rows, path, partition_by="product_locale", sort_by="product_id")
+    found = judged.read_products(spark, path, "us")
+    assert found.count() == 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(product_locale" in plan
+    catalogue.save(rows.limit(1), path)
+    assert spark.read.parquet(path).count() == 100
+    catalogue.save(rows.limit(1), path, force=True)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_expected_winner(spark):
+    rank = "query_id int, rank int, doc_id string"
+    lexical_ = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], rank)
+    neural = spark.createDataFrame([(1, 1, "b"), (2, 1, "c")], rank)
+    probes = spark.createDataFrame(
+        [(1, "b", "neural"), (2, "c", "neural"), (3, "d", "neural")], "query_id int, doc_id string, expected string")
+    found = {r.query_id: (r.rank_lexical, r.rank_neural, r.winner, r.as_expected)
+             for r in analyze.expected_winner({"lexical": lexical_, "neural": neural}, probes).collect()}
+    assert found == {1: (2, 1, "neural", True), 2: (1, 1, "lexical", False), 3: (None, None, None, False)}
+
+
+def test_recall_of_an_index(index, asked):
+    found = {r.nprobe: (r.recall, r.worst) for r in evaluation.index_recall(index, asked, 4, [1, 3]).collect()}
+    assert found[3] == (1.0, 1.0) and found[1][0] < 1
+    assert evaluation.smallest_nprobe(index, asked, 4, target=1.0) <= 3
