@@ -32,7 +32,7 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # in one pass; beyond it makes three passes that skip the frequent terms.
 MAX_SCORED_PAIRS = 2_000_000_000
 # A query batch of up to this many tokens names its terms to the scan of the
-# postings; a shortlist of up to so many ids names them to the scan of documents.
+# postings; a shortlist of up to so many rows may name its ids to that of documents.
 MAX_PUSHED_TERMS = 256
 MAX_PUSHED_IDS = 10_000
 # A shuffled term with more than one in so many (query, document) pairs is cut.

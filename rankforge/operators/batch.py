@@ -14,12 +14,14 @@ from rankforge.functions.text import tokens
 
 @dataclass(frozen=True)
 class QueryBatch:
-    """``(query_id, query)`` rows, how many there are, and how many tokens they
-    hold together. The two counts bound every broadcast made from the table."""
+    """``(query_id, query)`` rows, how many there are, and how many tokens and
+    bytes of text they hold together. These bound every broadcast made from the
+    table."""
 
     queries: DataFrame
     n_queries: int
     n_tokens: int
+    n_bytes: int = 0
 
     def chunks(self, size: Callable[[QueryBatch], int], limit: int,
                run: Callable[[QueryBatch], DataFrame], level: int = 0) -> DataFrame:
@@ -49,14 +51,16 @@ def prepare_queries(queries: DataFrame | QueryBatch) -> QueryBatch:
         return queries
     if "query" in queries.columns:
         n_tokens = F.coalesce(F.sum(F.size(tokens(F.col("query")))), F.lit(0))
+        n_bytes = F.coalesce(F.sum(F.octet_length("query")), F.lit(0))
     else:
-        n_tokens = F.lit(0)
-    n, t, ids, nulls = queries.agg(
-        F.count(F.lit(1)), n_tokens, F.count_distinct("query_id"), F.max(F.col("query_id").isNull().cast("int"))
+        n_tokens = n_bytes = F.lit(0)
+    n, t, size, ids, nulls = queries.agg(
+        F.count(F.lit(1)), n_tokens, n_bytes, F.count_distinct("query_id"),
+        F.max(F.col("query_id").isNull().cast("int")),
     ).first()
     if ids + (nulls or 0) < n:
         raise ValueError(f"{n - ids} query ids come more than once")
-    return QueryBatch(queries, int(n), int(t))
+    return QueryBatch(queries, int(n), int(t), int(size))
 
 
 def query_terms(queries: DataFrame) -> DataFrame:

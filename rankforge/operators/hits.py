@@ -8,11 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.config import MAX_BROADCAST_ROWS, MAX_PUSHED_IDS
-from rankforge.storage import materialize
+from rankforge.config import MAX_BROADCAST_BYTES, MAX_PUSHED_IDS
+from rankforge.storage import estimated_bytes, materialize
 
 # Ranges of ids that a scan is asked for at most.
 _RANGES = 128
+# What a scan reads for one listed id, about: pages of the columns it needs.
+PAGE_BYTES = 1 << 20
+
+
+def worth_listing(docs: DataFrame, max_rows: int | None) -> bool:
+    """Whether naming up to ``max_rows`` ids to a scan of ``docs`` can save any
+    reading: only if the table is larger than what they make it read."""
+    return max_rows is not None and max_rows <= MAX_PUSHED_IDS and estimated_bytes(docs) > max_rows * PAGE_BYTES
 
 
 def _id_ranges(ids: list) -> Column | None:
@@ -29,16 +37,14 @@ def _id_ranges(ids: list) -> Column | None:
 def only_listed(docs: DataFrame, ranked: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``docs``, cut to the ids of a shortlist before they are read.
 
-    ``ranked`` is a written table of up to ``max_rows`` rows. Its ids, when they
-    are few, are named to the scan: buckets without any of them are left out,
-    and in the others, which are sorted by id, the pages between their ranges.
+    ``ranked`` is a written table of up to ``max_rows`` rows. Its ids, when that
+    is :func:`worth_listing`, are named to the scan: buckets without any of them
+    are left out, and in the others, which are sorted by id, the pages between
+    their ranges.
     """
-    if max_rows is None or max_rows > MAX_BROADCAST_ROWS:
-        return docs
-    ids = [r["doc_id"] for r in ranked.select("doc_id").distinct().limit(MAX_PUSHED_IDS + 1).collect()]
-    ids = sorted(i for i in ids if i is not None)
-    if len(ids) > MAX_PUSHED_IDS:
+    if not worth_listing(docs, max_rows):
         return docs
+    ids = sorted(r["doc_id"] for r in ranked.select("doc_id").distinct().collect() if r["doc_id"] is not None)
     if not ids:
         return docs.where(F.lit(False))
     listed, ranges = docs.where(F.col("doc_id").isin(ids)), _id_ranges(ids)
@@ -51,13 +57,15 @@ def attach_documents(ranked: DataFrame, docs: DataFrame, *, fields: Sequence[str
 
     Documents are looked up once, after ranking. ``max_rows`` is an upper bound
     the caller knows for ``ranked`` (queries x k); under the broadcast bound the
-    ranked rows are written, the documents stay where they are, and of these
-    only what :func:`only_listed` leaves is read.
+    documents stay where they are. If few enough are ranked, these are written
+    and only what :func:`only_listed` leaves of the documents is read.
     """
     shown = list(fields) if fields else [c for c in docs.columns if c not in ("doc_id", "embedding")]
-    small = max_rows is not None and max_rows <= MAX_BROADCAST_ROWS
-    if small:
+    # some 64 bytes for each value of a ranked row
+    small = max_rows is not None and max_rows * 64 * len(ranked.columns) <= MAX_BROADCAST_BYTES
+    payload = docs.select("doc_id", *shown)
+    if worth_listing(payload, max_rows):
         ranked = materialize(ranked, "shortlist")
-    payload = only_listed(docs, ranked, max_rows).select("doc_id", *shown)
+        payload = only_listed(payload, ranked, max_rows)
     joined = payload.join(F.broadcast(ranked) if small else ranked, "doc_id")
     return joined.select(*ranked.columns, *shown)

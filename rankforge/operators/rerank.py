@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.config import MAX_BROADCAST_ROWS, SCORE_DECIMALS
+from rankforge.config import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, SCORE_DECIMALS
 from rankforge.functions.text import bigrams, embedding_text, tokens
 from rankforge.operators.batch import QueryBatch, prepare_queries
-from rankforge.operators.hits import only_listed
+from rankforge.operators.hits import only_listed, worth_listing
 from rankforge.storage import materialize
 
 
@@ -103,10 +103,11 @@ class ArrowScorer:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = load()
             for batch in batches:
-                q, d = (batch.column(c).to_pylist() for c in ("query", "doc_text"))
-                scores = [
-                    float(s) for i in range(0, len(q), size) for s in model(q[i:i + size], d[i:i + size])
-                ]
+                scores = []
+                for low in range(0, batch.num_rows, size):
+                    # only these pairs' texts become Python strings
+                    q, d = (batch.column(c).slice(low, size).to_pylist() for c in ("query", "doc_text"))
+                    scores += map(float, model(q, d))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in names), pa.array(scores, pa.float64())],
                     [*names, "ce_score"],
@@ -122,25 +123,24 @@ def score_pairs(ranked: DataFrame, queries: DataFrame | QueryBatch, index,
 
     The shortlist has at most queries x depth rows. When that is under the
     broadcast bound it travels to the documents, whose texts then do not move,
-    and a scan of the documents leaves out what it does not list; otherwise both
+    and a scan of many documents leaves out what it does not list; otherwise both
     sides are joined by document id.
     """
     batch = prepare_queries(queries)
     head = ranked if depth is None else ranked.where(F.col("rank") <= depth)
     keyed = head.select("query_id", "rank", "doc_id")
     bounded = depth is not None and batch.n_queries * depth <= MAX_BROADCAST_ROWS
-    docs = index.docs
-    if bounded:
+    docs = index.docs.select("doc_id", "title", "features", "text")
+    if bounded and worth_listing(docs, batch.n_queries * depth):
         keyed = materialize(keyed, "shortlist")
         docs = only_listed(docs, keyed, batch.n_queries * depth)
     with_text = (
-        docs.select("doc_id", "title", "features", "text")
-        .join(F.broadcast(keyed) if bounded else keyed, "doc_id")
+        docs.join(F.broadcast(keyed) if bounded else keyed, "doc_id")
         .select("query_id", "rank", "doc_id",
                 embedding_text(F.col("title"), F.col("features"), F.col("text")).alias("doc_text"))
     )
     asked = batch.queries.select("query_id", F.coalesce("query", F.lit("")).alias("query"))
-    if batch.n_queries <= MAX_BROADCAST_ROWS:
+    if batch.n_queries <= MAX_BROADCAST_ROWS and batch.n_bytes <= MAX_BROADCAST_BYTES:
         asked = F.broadcast(asked)
     pairs = with_text.join(asked, "query_id")
     scored = (scorer or OverlapScorer()).score(pairs, index, batch)

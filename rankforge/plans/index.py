@@ -202,7 +202,6 @@ def _totals(post: DataFrame) -> DataFrame:
 
 def _write_stats(path: str, totals: DataFrame) -> str:
     name = f"v-{uuid.uuid4().hex}"
-    totals = materialize(totals, "totals")
     totals.where("term is not null").select("field", "term", "df").write.parquet(f"{path}/{name}/term_stats")
     totals.where("term is null").select(
         "field", F.col("df").alias("n_docs"), (F.col("n_tokens") / F.col("df")).alias("avgdl"), "n_tokens",

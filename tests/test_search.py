@@ -283,7 +283,9 @@ def test_query_terms_reach_the_postings(spark, paged):
     assert 0 < scan_rows(found, "tf") < paged.postings.count() / 5
 
 
-def test_documents_that_are_not_listed_are_not_read(spark, paged):
+def test_documents_that_are_not_listed_are_not_read(spark, paged, monkeypatch):
+    assert not hits.worth_listing(paged.docs, 3)  # a small table is read as it is
+    monkeypatch.setattr(hits, "PAGE_BYTES", 100)
     listed = spark.createDataFrame([(1, 1, 40), (1, 2, 41), (2, 1, 3999)], "query_id int, rank int, doc_id bigint")
     out = hits.attach_documents(listed, paged.docs, max_rows=3)
     assert {(r.doc_id, r.title) for r in out.collect()} == {(40, "t00040"), (41, "t00041"), (3999, "t01999")}
