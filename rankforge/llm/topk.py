@@ -1,11 +1,11 @@
 """Exact top-k by inner product with KD-trees.
 
-Vectors are dealt to shards of bounded size by a hash, queries to blocks of
-bounded size; a task builds the tree of one shard and searches it for one block.
-The tree splits at medians and keeps the tight bounding box of every node. A
-query visits nodes best first, by the largest inner product its box allows, and
-stops when that is below its k-th score. Each block searches one shard first;
-the k-th scores found there are the starting bounds in all other shards.
+Vectors are dealt to shards of bounded size by a hash. A task builds the tree of a
+shard once, and the queries stream past it in blocks of bounded size. The tree
+splits at medians and keeps the tight bounding box of every node. A query visits
+nodes best first, by the largest inner product its box allows, and stops when
+that is below its k-th score. Each query searches one shard first; the k-th score
+found there is its starting bound in all other shards.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ from rankforge.storage import materialize
 class TopKParams:
     k: int = 20
     shard_rows: int = 16_384
-    query_rows: int = 16_384
+    query_rows: int = 4096  # of a block that is searched at a time
     leaf_rows: int = 256
 
 
@@ -59,6 +59,12 @@ class KdTree:
         self.vectors, self.ids = vectors[order], ids[order]
         self.low, self.high = np.array(low), np.array(high)
 
+    def as_kind(self, kind) -> KdTree:
+        """The same tree over numbers of another type."""
+        if self.vectors.dtype != kind:
+            self.vectors, self.low, self.high = (a.astype(kind) for a in (self.vectors, self.low, self.high))
+        return self
+
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """Per query and node the largest inner product that its box allows."""
         zero = queries.dtype.type(0)
@@ -92,33 +98,32 @@ class KdTree:
         return scores, ids
 
 
-def search_shard(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, leaf_rows: int) -> Iterator[pd.DataFrame]:
-    """Results of all queries against one shard; all vectors of one length."""
-    if not len(vectors) or not len(queries):
-        return
-    rows, asked = np.stack(vectors["vector"].to_list()), np.stack(queries["vector"].to_list())
-    largest = max(int(np.abs(rows).max(initial=0)), int(np.abs(asked).max(initial=0)))
-    # products of integers are exact in doubles up to 2 ** 53, and much faster
-    kind = np.float64 if largest * largest * max(rows.shape[1], 1) < 1 << 53 else np.int64
-    tree = KdTree(rows.astype(kind), vectors["vec_id"].to_numpy(np.int64), leaf_rows)
-    asked = asked.astype(kind)
-    floors = queries["floor"].to_numpy(np.float64, na_value=-np.inf)
-    lowest = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
-    for begin in range(0, len(asked), 1024):
-        part = asked[begin:begin + 1024]
-        bounds = tree.bounds(part)
-        out = []
-        for i in range(len(part)):
-            at = begin + i
-            floor = kind(floors[at]) if np.isfinite(floors[at]) else lowest
-            out.append(tree.search(part[i], bounds[i], int(queries["vec_id"].iloc[at]), k, floor))
-        counts = [len(s) for s, _ in out]
-        which = np.repeat(np.arange(begin, begin + len(part)), counts)
-        yield pd.DataFrame({
-            "query": queries["query"].to_numpy()[which], "query_id": queries["vec_id"].to_numpy()[which],
-            "vec_id": np.concatenate([i for _, i in out]),
-            "score": np.concatenate([s for s, _ in out]).astype(np.int64),
-        })
+@dataclass(frozen=True)
+class Shard:
+    """A tree over the vectors of one shard, all of one length."""
+
+    tree: KdTree
+    largest: int
+
+    @classmethod
+    def of(cls, vectors: list[np.ndarray], ids: list[np.ndarray], leaf_rows: int) -> Shard:
+        rows = np.concatenate(vectors)
+        return cls(KdTree(rows, np.concatenate(ids), leaf_rows), int(np.abs(rows).max(initial=0)))
+
+    def search(self, asked: np.ndarray, own_ids: np.ndarray, floors: np.ndarray, k: int):
+        """(number of the query, vec_id, score) of the rows that can be among a query's best k."""
+        largest = max(self.largest, int(np.abs(asked).max(initial=0)))
+        # products of integers are exact in doubles up to 2 ** 53, and much faster
+        kind = np.float64 if largest * largest * max(asked.shape[1], 1) < 1 << 53 else np.int64
+        tree = self.tree.as_kind(kind)
+        asked = asked.astype(kind)
+        lowest = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
+        bounds = tree.bounds(asked)
+        found = [
+            tree.search(asked[i], bounds[i], int(own_ids[i]), k, kind(floors[i]) if np.isfinite(floors[i]) else lowest)
+            for i in range(len(asked))]
+        return (np.repeat(np.arange(len(asked)), [len(s) for s, _ in found]), np.concatenate([i for _, i in found]),
+                np.concatenate([s for s, _ in found]).astype(np.int64))
 
 
 def whole_numbers(embedding: Column) -> Column:
@@ -149,38 +154,57 @@ def top_k(vectors: DataFrame, is_query: Column, params: TopKParams = TopKParams(
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     if not n or not m:
         return empty
-    shards, parts = -(-n // params.shard_rows), -(-m // params.query_rows)
-    rows = base.select("vec_id", "vector", "dim", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(shards)).alias("shard"))
-    blocks = asked.withColumn("block", F.pmod("query", F.lit(parts)))
-
-    def numbers(n: int) -> Column:
-        return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
-
-    def search(left: DataFrame, right: DataFrame) -> DataFrame:
-        def apply(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-            found = list(search_shard(vectors, queries, k, leaf_rows))
-            return pd.concat(found) if found else pd.DataFrame(
-                {c: np.zeros(0, np.int64) for c in ("query", "query_id", "vec_id", "score")})
-
-        key = ["shard", "block", "dim"]
-        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
-            apply, "query bigint, query_id bigint, vec_id bigint, score bigint")
-
-    # a vector goes to every block of queries, a query to every shard
-    everywhere = rows.withColumn("block", F.explode(numbers(parts)))
-    home = F.pmod("block", F.lit(shards))
+    shards, query_rows = -(-n // params.shard_rows), params.query_rows
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = ["shard", "dim", "query", "vec_id", "vector", "floor"]
+    rows = base.select(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(shards)).alias("shard"), "dim",
+                       F.lit(None).cast("bigint").alias("query"), "vec_id", "vector",
+                       F.lit(None).cast("double").alias("floor"))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, vectors, ids, shard = None, [], [], None
+        for batch in batches:
+            of = np.stack([batch.column(i).to_numpy() for i in (0, 1)], axis=1)
+            asks = ~batch.column(2).is_null().to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((of[1:] != of[:-1]).any(axis=1) | (asks[1:] != asks[:-1])) + 1
+            for low, high in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+                if tuple(of[low]) != key:
+                    key, vectors, ids, shard = tuple(of[low]), [], [], None
+                for begin in range(low, high, query_rows):
+                    part = batch.slice(begin, min(query_rows, high - begin))
+                    matrix = part.column(4).flatten().to_numpy().reshape(part.num_rows, -1)
+                    own = part.column(3).to_numpy()
+                    if not asks[low]:
+                        vectors.append(matrix)
+                        ids.append(own)
+                        continue
+                    if not vectors and shard is None:
+                        continue  # queries of a length that the shard does not hold
+                    if shard is None:
+                        shard, vectors, ids = Shard.of(vectors, ids, leaf_rows), [], []
+                    floors = part.column(5).to_numpy(zero_copy_only=False).astype(float)
+                    which, found, scores = shard.search(matrix, own, floors, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(2).take(pa.array(which)), part.column(3).take(pa.array(which)), pa.array(found),
+                         pa.array(scores)], names=["query", "query_id", "vec_id", "score"])
+
+    def search(vectors: DataFrame, queries: DataFrame) -> DataFrame:
+        # a shard's vectors come before its queries
+        dealt = vectors.unionByName(queries.select(*names)).repartition(tasks, "shard", "dim").sortWithinPartitions(
+            "shard", "dim", F.col("query").asc_nulls_first())
+        return dealt.mapInArrow(apply, "query bigint, query_id bigint, vec_id bigint, score bigint")
+
+    home = F.pmod("query", F.lit(shards))
     first = materialize(search(
-        everywhere.where(F.col("shard") == home),
-        blocks.withColumn("shard", home).withColumn("floor", F.lit(None).cast("double"))), "first")
+        rows, asked.withColumn("shard", home).withColumn("floor", F.lit(None).cast("double"))), "first")
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     found = first
     if shards > 1:
         floors = first.groupBy("query").agg(
             F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("floor"))
-        bounded = blocks.join(floors, "query", "left")
-        others = bounded.withColumn("shard", F.explode(numbers(shards)))
-        found = first.unionByName(search(
-            everywhere.where(F.col("shard") != home), others.where(F.col("shard") != home)))
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))
+        others = asked.join(floors, "query", "left").withColumn("shard", F.explode(every)).where(F.col("shard") != home)
+        found = first.unionByName(search(rows, others))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
