@@ -127,23 +127,24 @@ def _find(tiles: np.ndarray, digits: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return place, ((digits >= 0) & (digits < _BASE)).all(axis=1) & (tiles[place] == number)
 
 
-def _deal(fps: np.ndarray, plan, radius: int) -> tuple[np.ndarray, ...]:
+def _deal(fps: np.ndarray, plan, radius: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Rows (tile, block, chunk, guest, fingerprint): a node is at home in its
-    own block, once for every chunk, and a guest in the blocks before it."""
+    own block, once for every chunk, and a guest in the blocks before it. They
+    come block by block, no more at a time than there are nodes, however many
+    blocks a tile has."""
     tiles, n_blocks, n_chunks = plan
     own = _counts(fps)
     home, _ = _find(tiles, own)
     spread = ((fps * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
     block = spread % n_blocks[home]
     index = np.arange(len(fps))
-    rows = []
 
-    def emit(which, tile_place, in_block, in_chunk, guest):
-        rows.append((tiles[tile_place], in_block, in_chunk, np.full(len(which), guest), fps[which]))
+    def rows(which, tile_place, in_block, in_chunk, guest):
+        return tiles[tile_place], in_block, in_chunk, np.full(len(which), guest), fps[which]
 
     for chunk in range(int(n_chunks[home].max(initial=0))):
         which = index[n_chunks[home] > chunk]
-        emit(which, home[which], block[which], np.full(len(which), chunk), 0)
+        yield rows(which, home[which], block[which], np.full(len(which), chunk), 0)
     for vector in _near_vectors(radius):
         place, there = _find(tiles, own + np.array(vector))
         same = not any(vector)
@@ -151,8 +152,7 @@ def _deal(fps: np.ndarray, plan, radius: int) -> tuple[np.ndarray, ...]:
         for at in range(int(n_blocks[place[near]].max(initial=0))):
             which = near[(n_blocks[place[near]] > at) & ((block[near] > at) if same else True)]
             target = place[which]
-            emit(which, target, np.full(len(which), at), spread[which] // 7919 % n_chunks[target], 1)
-    return tuple(np.concatenate(c) for c in zip(*rows)) if rows else tuple(np.zeros(0, np.int64) for _ in range(5))
+            yield rows(which, target, np.full(len(which), at), spread[which] // 7919 % n_chunks[target], 1)
 
 
 class _Links:
@@ -215,10 +215,18 @@ def links(nodes: DataFrame, params: SimHashParams = SimHashParams()) -> DataFram
         for batch in batches:
             for low in range(0, batch.num_rows, 4096):
                 fps = batch.column(0).slice(low, 4096).to_numpy(zero_copy_only=False).view(np.uint64)
-                columns = _deal(fps, plan.value, radius)
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c.astype(np.int32)) for c in columns[:4]),
-                     pa.array(columns[4].astype(np.uint64).view(np.int64))], names=names)
+                waiting, n = [], 0
+                for part in itertools.chain(_deal(fps, plan.value, radius), [None]):
+                    if part is not None:
+                        waiting.append(part)
+                        n += len(part[0])
+                    # small parts travel together
+                    if waiting and (part is None or n >= 16_384):
+                        columns = [np.concatenate(c) for c in zip(*waiting)]
+                        waiting, n = [], 0
+                        yield pa.RecordBatch.from_arrays(
+                            [*(pa.array(c.astype(np.int32)) for c in columns[:4]),
+                             pa.array(columns[4].astype(np.uint64).view(np.int64))], names=names)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def edges(group):

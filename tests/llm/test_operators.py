@@ -457,6 +457,22 @@ def test_links_of_crowded_tiles(spark):
     assert {f: roots.get(f, f) for f in signed} == dict(zip(signed, plain))
 
 
+def test_dealing_is_bounded():
+    """However many blocks a tile has, nodes are dealt a few at a time."""
+    rng = np.random.default_rng(3)
+    fps = rng.integers(0, 1 << 63, 50).astype(np.uint64)
+    fps[:] = fps[0] ^ (np.uint64(1) << rng.integers(0, 60, 50).astype(np.uint64))
+    tiles = {}
+    for fp in fps:
+        digits = [bin(int(fp) >> 16 * q & 0xFFFF).count("1") for q in range(4)]
+        tile = sum(d * 17 ** q for q, d in enumerate(digits))
+        tiles[tile] = 100_000
+    params = simhash.SimHashParams(block=100, chunk=10_000_000)
+    parts = list(simhash._deal(fps, simhash._plan(tiles, params), 2))
+    assert max(len(p[0]) for p in parts) <= len(fps)
+    assert sum(len(p[0]) for p in parts) > 1000 * len(tiles)
+
+
 # Language model -----------------------------------------------------------------------
 
 
