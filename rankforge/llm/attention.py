@@ -31,7 +31,7 @@ class ModelParams:
     hidden: int = 32
     chunk: int = 16
     batch: int = 256  # chunks of a training step
-    rate: float = 0.08
+    rate: float = 0.15
     seed: int = 3
 
 
