@@ -32,7 +32,7 @@ class LangParams:
     # the labelled sample: so many documents of a language, a passage of each
     passages: int = 80
     passage_chars: int = 300
-    # texts are parsed in stretches of so many bytes; a phrase ends with its stretch
+    # texts are parsed in stretches of so many bytes, phrases go on across their ends
     stretch: int = 4096
     lanes: int = 2048  # stretches that step together
 
@@ -97,9 +97,14 @@ def parse_table(passages: list[bytes]) -> dict:
     return {"code": code, "table": rows.ravel().astype(np.int32), "size": len(symbols)}
 
 
-def phrases(stretches: list[bytes], language: dict, lanes: int) -> np.ndarray:
-    """Number of phrases of every stretch."""
-    found = np.zeros(len(stretches), np.int64)
+def phrases(stretches: list[bytes], language: dict, lanes: int, owners: np.ndarray | None = None) -> np.ndarray:
+    """Number of phrases that start in every (not empty) stretch. One with the
+    owner of the stretch before it goes on from there; without ``owners`` each
+    is a text of its own.
+
+    All stretches are parsed as if they began a text. Where the one before
+    leaves an open phrase, :func:`_carry` puts the count right."""
+    found, leaving = np.zeros(len(stretches), np.int64), np.zeros(len(stretches), np.int64)
     lengths = np.array([len(s) for s in stretches], np.int64)
     order = np.argsort(-lengths, kind="stable")
     flat, code = language["table"], language["code"]
@@ -118,10 +123,37 @@ def phrases(stretches: list[bytes], language: dict, lanes: int) -> np.ndarray:
             entry = flat.take(state[:k] + symbols[t, :k])
             count[:k] += entry & 1
             state[:k] = entry >> 1
-        found[own] = count
+        found[own], leaving[own] = count, state
+    if owners is not None and len(owners) > len(np.unique(owners)):
+        follows = np.diff(owners, prepend=-1) == 0
+        _carry(code[np.frombuffer(b"".join(stretches), np.uint8)], np.cumsum(lengths), follows, flat, found, leaving)
     return found
 
 
+def _carry(symbols: np.ndarray, ends: np.ndarray, follows: np.ndarray, flat: np.ndarray, found: np.ndarray,
+           leaving: np.ndarray) -> None:
+    """Parse the stretches that follow another from the state it leaves, beside
+    the parse so far, until both are in one state: the rest is the same. A
+    stretch where they never meet changes what the next one begins with."""
+    begin = np.append(0, ends[:-1])
+    entering = np.zeros(len(ends), np.int64)
+    while True:
+        lane = np.flatnonzero(follows & (np.append(0, leaving[:-1]) != entering))
+        if not len(lane):
+            return
+        before, now, at = entering[lane], leaving[lane - 1], begin[lane]
+        entering[lane] = now
+        while len(lane):
+            symbol = symbols.take(at)
+            old, new = flat.take(before + symbol), flat.take(now + symbol)
+            found[lane] += (new & 1) - (old & 1)
+            before, now, at = old >> 1, new >> 1, at + 1
+            over = at == ends[lane]
+            leaving[lane[over]] = now[over]
+            apart = (before != now) & ~over
+            lane, before, now, at = lane[apart], before[apart], now[apart], at[apart]
+
+
 def identify(texts: list[str], languages: dict[str, dict], params: LangParams) -> tuple[list[str], np.ndarray]:
     """Language of every text, and how far it leads: 1 - its entropy estimate
     over the next best one's (1 if there is one language only)."""
@@ -136,7 +168,7 @@ def identify(texts: list[str], languages: dict[str, dict], params: LangParams) -
     names = sorted(languages)
     entropy = np.zeros((len(names), len(texts)))
     for row, name in enumerate(names):
-        count = np.bincount(owners, phrases(stretches, languages[name], params.lanes), minlength=len(texts))
+        count = np.bincount(owners, phrases(stretches, languages[name], params.lanes, owners), minlength=len(texts))
         entropy[row] = count * np.log2(languages[name]["size"] + 1)
     pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     if names:
