@@ -44,17 +44,32 @@ def size_of(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")).cast("bigint")
 
 
+def _placed(totals: DataFrame) -> DataFrame:
+    """``totals`` with the ``place`` of each source, from 0, by code point, null
+    last: its place in a range of sources and the sources in the ranges before."""
+    order = F.col("source").asc_nulls_last()
+    ranges = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # ids that increase in a partition hold its number above bit 33
+    sorted_ = materialize(totals.repartitionByRange(ranges, order).sortWithinPartitions(order).withColumn(
+        "id", F.monotonically_increasing_id()), "ranges")
+    sorted_ = sorted_.withColumn("range", F.shiftright("id", 33))
+    # one row per range, whatever the number of sources
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    first = sorted_.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return sorted_.join(F.broadcast(first), "range").withColumn(
+        "place", F.col("first") + F.col("id").bitwiseAND((1 << 33) - 1)).drop("range", "first", "id")
+
+
 def source_targets(sizes: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """``(source, source_size, target)`` from rows of (source, size, n): weights
     go round by code point, null last; targets stop at ``max_rate`` times the
     source's size and the excess is shared by weight, until none is above.
-
-    One row per source passes through one task, to number them in order.
     """
     totals = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, params.weights)), (place % len(params.weights)) + 1)
-    weighed = materialize(totals.select("source", "source_size", weight.alias("weight")), "sources")
+    place = F.col("place") % len(params.weights)
+    weight = F.element_at(F.array(*map(F.lit, params.weights)), (place + 1).cast("int"))
+    weighed = materialize(_placed(totals).select("source", "source_size", weight.alias("weight")), "sources")
     limit = params.max_rate * F.col("source_size")
     wanted = params.share * (weighed.agg(F.sum("source_size")).first()[0] or 0)
     level, before = None, -1
@@ -71,6 +86,11 @@ def source_targets(sizes: DataFrame, params: MixParams = MixParams()) -> DataFra
     return weighed.select("source", "source_size", reached.alias("target"))
 
 
+def _exact_sum(value: Column) -> Column:
+    """The sum at six decimals, the same in whatever order the rows come."""
+    return F.sum(value.cast("decimal(38,6)")).cast("double")
+
+
 def _tilted(cells: DataFrame, params: MixParams) -> DataFrame:
     """``cells`` with ``rate``. A source's tilt is kept in a bracket; a Newton
     step that leaves it becomes a bisection."""
@@ -91,8 +111,8 @@ def _tilted(cells: DataFrame, params: MixParams) -> DataFrame:
     for _ in range(params.max_steps):
         words = F.col("n") * F.col("size") * rate
         sums = slim.join(state, "number").groupBy("number").agg(
-            F.sum(words).alias("words"),
-            F.sum(F.when(rate < top, words * F.col("size") / F.col("scale")).otherwise(0.0)).alias("slope"),
+            _exact_sum(words).alias("words"),
+            _exact_sum(F.when(rate < top, words * F.col("size") / F.col("scale")).otherwise(0.0)).alias("slope"),
         )
         off = F.col("words") - F.col("target")
         newton = F.col("tilt") - off / F.col("slope")
