@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankforge.storage import materialize
+
 WORD_GAP = r"[\x20\x09-\x0D]+"  # everything between two words
+MAX_BROADCAST_MARKS = 1_000_000  # ids and labels sent to all executors
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = np.uint64(1099511628211)
 
@@ -35,30 +41,38 @@ def labelled_sample(
     """At most ``per_class`` whole labelled texts of each class, as pandas.
 
     The rows with the smallest hash of their id are taken, out of the labelled
-    rows where ``learnable`` holds; a document marked twice has the larger
-    label. Texts over ``max_doc_chars`` stay out of the sample, which bounds
-    the bytes that reach the driver by 2 * per_class * max_doc_chars characters.
+    rows where ``learnable`` holds and whose text has at most ``max_doc_chars``
+    characters; a document marked twice has the larger label, an id that comes
+    twice its smallest text. At most 2 * per_class * max_doc_chars characters
+    reach the driver.
     """
     marks = (
         labels.where(learnable & F.col(label).isin(0, 1)).groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
     )
     found = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wanted = None
-    for value, n in sorted(found.items()):
-        # the share keeps the sort small, the limit makes the bound strict
-        part = (
-            marks.where((F.col("label") == value) & (share_of(F.col("doc_id")) < min(1.0, 1.2 * per_class / n)))
-            .orderBy(share_of(F.col("doc_id")), "doc_id").limit(per_class)
-        )
-        wanted = part if wanted is None else wanted.unionByName(part)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     texts = texts.where(F.length("text") <= max_doc_chars)
-    if wanted is None:
+    if not found:
         return texts.limit(0).withColumn("label", F.lit(0)).toPandas()
-    sample = texts.join(F.broadcast(wanted), "doc_id").toPandas()
-    # one row for an id, in an order that does not depend on the partitions
-    return sample.sort_values(["doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
+    share = share_of(F.col("doc_id"))
+    # a share of each class that should do; where many texts are too long, a larger one
+    limits = {value: min(1.0, 1.2 * per_class / n) for value, n in found.items()}
+    while True:
+        drawn = marks.where(reduce(or_, ((F.col("label") == v) & (share < limit) for v, limit in limits.items())))
+        if sum(found[v] * limit for v, limit in limits.items()) <= MAX_BROADCAST_MARKS:
+            drawn = F.broadcast(drawn)
+        rows = materialize(texts.join(drawn, "doc_id").groupBy("doc_id", "label").agg(
+            F.min(F.struct("text", "lang")).alias("row")).select("doc_id", "row.text", "row.lang", "label"), "sample")
+        got = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+        short = [v for v, limit in limits.items() if limit < 1 and got.get(v, 0) < per_class]
+        if not short:
+            break
+        limits.update({v: min(1.0, 8 * limits[v]) for v in short})
+    sample = reduce(DataFrame.unionByName, (
+        rows.where(F.col("label") == v).orderBy(share, "doc_id").limit(per_class) for v in sorted(found)))
+    # in an order that does not depend on the partitions
+    return sample.toPandas().sort_values("doc_id").reset_index(drop=True)
 
 
 def text_array(column) -> pa.Array:
