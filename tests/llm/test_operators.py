@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rankforge.llm import (
     attention, langid, lm, mixing, packing, quality, rules, secret_scan, simhash, topk, toxicity,
 )
+from rankforge.llm.common import labelled_sample
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -101,6 +102,22 @@ def test_quality_scores_match_the_plain_average():
     assert ((quality.scores(pa.array(texts), model) >= 0.5) == labels).mean() > 0.9
 
 
+def test_long_texts_leave_room_in_the_sample(spark):
+    rows = [(i, "long text " * 20 if i % 8 else "short", "en") for i in range(400)] + [(8, "a", "en"), (None, "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 16 == 0)) for i in range(420)], "doc_id bigint, quality int")
+
+    def drawn(per_class):
+        found = labelled_sample(docs, labels, "quality", F.lit(True), per_class, 10)
+        return {v: found["doc_id"][found["label"] == v].tolist() for v in (0, 1)}, found
+
+    ids, found = drawn(100)
+    assert ids[0] == [i for i in range(400) if i % 16 == 8] and ids[1] == [i for i in range(400) if i % 16 == 0]
+    assert found["text"].tolist() == ["a" if i == 8 else "short" for i in found["doc_id"]]
+    few, again = drawn(5)[0], drawn(5)[0]
+    assert few == again and [len(few[v]) for v in (0, 1)] == [5, 5] and set(few[0]) <= set(ids[0])
+
+
 # Mixing ---------------------------------------------------------------------------
 
 
@@ -149,6 +166,13 @@ def test_mix_comes_near_its_targets(spark):
         assert taken[source] == pytest.approx(wanted, rel=0.01)
 
 
+def test_targets_of_many_sources(spark):
+    sizes = {None if i == 3 else f"{i}é"[::-1]: 1 + i * 37 % 101 for i in range(300)}
+    rows = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size bigint, n bigint")
+    found = {r["source"]: r["target"] for r in mixing.source_targets(rows).collect()}
+    assert found == pytest.approx(plain_targets(sizes))
+
+
 def test_rates_are_exponential_tilts(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 9)), "ab"[i % 2]) for i in range(400)]
     found = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
@@ -306,6 +330,20 @@ def test_phrases():
     assert langid.phrases(texts, language, 2).tolist() == [plain_phrases(t, passages) for t in texts]
 
 
+def test_phrases_go_on_across_stretches():
+    rng = np.random.default_rng(7)
+    # long matches too, which span several stretches
+    passages = ["".join(rng.choice(list("ab c"), 200)).encode() for _ in range(4)]
+    texts = [b"", passages[0], passages[1][50:] + passages[2], passages[3][:30] * 5]
+    texts += ["".join(rng.choice(list("ab cd"), n)).encode() for n in (1, 7, 50, 300)]
+    language = langid.parse_table(passages)
+    for size in (1, 2, 7, 64, 1000):
+        cut = [(i, t[low:low + size]) for i, t in enumerate(texts) for low in range(0, len(t), size)]
+        owners = np.array([i for i, _ in cut])
+        found = langid.phrases([s for _, s in cut], language, 8, owners)
+        assert np.bincount(owners, found, len(texts)).tolist() == [plain_phrases(t, passages) for t in texts]
+
+
 def test_language(spark, messy, no_docs):
     assert langid.identify_documents(messy, {}).where("lang_pred <> 'und' or score <> 0").count() == 0
     languages = langid.fit(messy)
