@@ -17,12 +17,16 @@ _GAP_ONLY = r"^[\x20\x09-\x0D]*$"
 
 @dataclass(frozen=True)
 class LineRules:
-    # a line fails if it does not end like a sentence
-    ending: str = r"[.!?…:;\"')\]”’»][\x20\x09-\x0D]*$"
+    # a line fails if it does not end like a sentence, in any of the larger scripts
+    ending: str = r"[.!?…:;\"')\]”’»。．！？；：」』）】।॥؟۔։።][\x20\x09-\x0D]*$"
+    # characters of a line for which the counts of separators and shouts hold;
+    # a line twice as long may have twice as many
+    per_chars: int = 300
     # if it has so many separators of a navigation bar
     separators: str = "|»›•·"
     max_separators: int = 1
-    # if it names things that only page furniture names
+    # if it names things that only page furniture names, and is short enough for that
+    max_boilerplate_chars: int = 600
     boilerplate: str = (
         r"(?i)\b(?:cookies?|privacy policy|terms of (?:use|service)|all rights reserved|javascript|lorem ipsum"
         r"|sign in|log in|subscribe|newsletter|licensed under|released under|copyright)\b")
@@ -51,14 +55,15 @@ def _count_of(text: Column, characters: str) -> Column:
 def line_fails(line: Column, rules: LineRules = LineRules()) -> Column:
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
     capitals = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
+    times = F.greatest(F.ceil(F.length(line) / rules.per_chars), F.lit(1))
     return (
         ~F.rlike(line, F.lit(rules.ending))
-        | (_count_of(line, rules.separators) > rules.max_separators)
+        | (_count_of(line, rules.separators) > rules.max_separators * times)
         | (100 * _count_of(line, SYMBOLS) > rules.max_symbols * F.length(line))
-        | (F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("!"))) > rules.max_shouts)
+        | (F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("!"))) > rules.max_shouts * times)
         | ((letters >= 20) & (100 * capitals > rules.max_capitals * letters))
         | F.rlike(line, F.lit(rules.repeated))
-        | F.rlike(line, F.lit(rules.boilerplate))
+        | ((F.length(line) <= rules.max_boilerplate_chars) & F.rlike(line, F.lit(rules.boilerplate)))
     )
 
 

@@ -307,6 +307,18 @@ def test_lines_are_removed_and_texts_that_lose_too_much_rejected(spark):
     assert found[1]["clean_text"] == body and found[3]["clean_text"] == body
 
 
+def test_lines_of_other_scripts_and_long_lines_are_kept(spark):
+    rng = np.random.default_rng(11)
+    prose = [sentences(rng, 12) for _ in range(40)]
+    texts = ["\n".join(p + end for p in prose[:4]) for end in "。।؟！」"]
+    # one line of prose that names what menus name; the same words in a short line
+    texts += [". ".join(prose) + ". Copyright is a matter of law, col·lecció· too · here!! And!! there!! so.",
+              "\n".join(f"Copyright {p}." for p in prose[:4]), "\n".join(prose[:4])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["kept"] for r in rules.apply_rules(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == [True] * 6 + [False] * 2
+
+
 # Language identification ------------------------------------------------------------
 
 
