@@ -39,6 +39,9 @@ MAX_PUSHED_IDS = 10_000
 TERM_SPLITS = 1024
 
 
+# Fixed values as well: the constants of the score and the depths of the funnel.
+
+
 @dataclass(frozen=True)
 class Bm25Params:
     """Okapi BM25 constants (Robertson & Zaragoza 2009)."""

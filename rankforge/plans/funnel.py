@@ -113,6 +113,7 @@ def _trace(queries: DataFrame, candidates: DataFrame, third: DataFrame, mode: st
         _first_ids(min(3, params.final_k), reranked=True).alias("f_top"),
     )
     filled = queries.select("query_id").join(per_query, "query_id", "left").na.fill(0)
+    # fixed values: the names of the stages
     third_name = "3. rerank" if do_rerank else "3. rerank (skipped)"
     stages = F.array(
         _stage(1, f"1. retrieve ({mode})", F.lit(params.candidates), F.col("c"), "c_top"),
@@ -125,6 +126,7 @@ def _trace(queries: DataFrame, candidates: DataFrame, third: DataFrame, mode: st
 
 def trace_text() -> Column:
     """A trace row as one fixed-width line."""
+    # fixed value: the layout of the line
     return F.format_string(
         "%-22s %4d -> %-4d  top: %s", "stage", "n_in", "n_out", F.array_join("top_ids", ", ")
     )
