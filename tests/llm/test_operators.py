@@ -64,6 +64,26 @@ def test_toxic_words_are_learned():
     assert (found == (np.arange(40) % 2 == 1)).mean() >= 0.95
 
 
+def test_toxicity_learns_from_every_label_and_from_long_texts(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    made = [sentences(rng, 1900, ("dreadful",) * 3 * (i % 2)) for i in range(120)]  # over 10,000 characters
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(made)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id bigint, toxic int")
+    params = toxicity.ToxicityParams(texts_per_part=20)
+    rows = toxicity.labelled(docs, labels, params)
+    learnable = labels.where(~toxicity.remainder_is(F.col("doc_id"), 5, 0)).count()
+    assert rows.count() == learnable
+    kept = rows.toPandas()
+    key, clean, toxic = toxicity.key_counts(pa.array(kept["text"]), kept["label"].to_numpy(), params.bits)
+    found = toxicity._counted(rows, toxicity.ToxicityParams(min_documents=1))
+    assert all((a == b).all() for a, b in zip(found, (key, clean, toxic)))
+    assert clean[0] + toxic[0] == learnable and toxic.max() == toxic[0]
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, labels, params)).collect()
+    assert np.mean([(r["score"] >= 0.5) == (r["doc_id"] % 2 == 1) for r in scored]) >= 0.95
+
+
 def test_toxicity_maxima_match_a_plain_convolution():
     import pyarrow as pa
 
