@@ -14,17 +14,16 @@ from pyspark.sql import functions as F
 
 from rankforge.config import EMBED_MAX_TOKENS
 from rankforge.functions.text import embedding_text, tokens
-from rankforge.storage import materialize
+from rankforge.storage import materialize, parts_of
 
 
 def postings(docs: DataFrame, fields: Sequence[str], partitions: int | None = None) -> DataFrame:
     """``(doc_id, field, term, tf, dl)``: how often each term occurs in each
-    field of each document, with the length of that field in tokens."""
-    by_doc = (
-        docs.select("doc_id", *fields).repartition(partitions, "doc_id")
-        if partitions
-        else docs.select("doc_id", *fields).repartition("doc_id")
-    )
+    field of each document, with the length of that field in tokens. Without a
+    number of ``partitions`` there are as many as keep a task's counts small,
+    with 0 the documents stay where they are."""
+    own = docs.select("doc_id", *fields)
+    by_doc = own if partitions == 0 else own.repartition(partitions or parts_of(own), "doc_id")
     analysed = by_doc.select(
         "doc_id",
         F.explode(

@@ -43,16 +43,27 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Stored bytes of texts that one task takes apart; some twenty times as many of
+# working memory.
+PART_BYTES = 8 * 1024 * 1024
+
+
+def parts_of(df: DataFrame) -> int:
+    """Parts of about :data:`PART_BYTES` of a table, at least one per core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-estimated_bytes(df) // PART_BYTES))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core a share of a small table.
 
     A file with one row group is read by one task, however much work follows.
-    A table with less than 128 MB for each core is redistributed by its key; a
-    larger one has enough row groups and stays where it is.
+    A table with less than 128 MB for each core is redistributed by its key, in
+    parts whose size does not grow with it; a larger one has enough row groups
+    and stays where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if estimated_bytes(df) < cores * 128 * 1024 * 1024:
-        return df.repartition(cores, key)
+        return df.repartition(parts_of(df), key)
     return df
 
 
