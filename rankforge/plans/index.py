@@ -37,7 +37,8 @@ from rankforge.operators.knn import CELL_STATS, CellBounds, assign_cells, cell_b
 from rankforge.sources.catalogue import latest
 from rankforge.storage import materialize
 
-_TARGET_BUCKET_BYTES = 128 * 1024 * 1024
+# What a bucket holds: a task counts its terms, and scores its documents, in memory.
+_TARGET_BUCKET_BYTES = 24 * 1024 * 1024
 # How much larger than the raw text postings and vectors may be on disk.
 _GROWTH = 2
 _SEGMENT = "struct<name:string,docs:bigint,gone:bigint>"
@@ -70,6 +71,7 @@ class Index:
     cells: CellBounds | None = None
     segments: tuple[Segment, ...] = ()
     version: int = 0
+    buckets: int = 0  # 0: not stored in buckets
 
     def check_encoder(self, encoder: Encoder | None) -> Encoder:
         """The query encoder; it must be the one the documents went through."""
@@ -94,7 +96,7 @@ def frames(docs: DataFrame, encoder: Encoder | None = None,
 
 
 def default_buckets(docs: DataFrame, dim: int = 0) -> int:
-    """Buckets of about 128 MB by the measured size of texts and vectors, at
+    """Buckets of about 24 MB by the measured size of texts and vectors, at
     least one per core."""
     text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in docs.schema.fields
             if f.dataType.simpleString() == "string"]
@@ -377,7 +379,7 @@ def open_index(spark: SparkSession, path: str, encoder: Encoder | None = None) -
     index = Index(
         all_of([s.docs for s in segments]), all_of([s.postings for s in segments]),
         spark.read.parquet(f"{folder}/term_stats"), spark.read.parquet(f"{folder}/field_stats"),
-        all_of(vectors or stored), encoder, row["encoder"], centres, cells, tuple(segments), row["version"],
+        all_of(vectors or stored), encoder, row["encoder"], centres, cells, tuple(segments), row["version"], n,
     )
     if encoder is not None:
         index.check_encoder(encoder)

@@ -22,3 +22,8 @@ def test_larger_tables_have_more_parts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "PART_BYTES", 500)
     for parted in (storage.spread(docs, "doc_id"), analysis.postings(docs, ["title"])):
         assert parted.rdd.getNumPartitions() > 2 * cores
+
+
+def test_buckets_stay_small(spark):
+    docs = texts(spark, 400, 100_000)  # 440 MB
+    assert plans.default_buckets(docs) >= 30
