@@ -31,6 +31,8 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Up to this many (query term, document) pairs a lexical search scores them all
 # in one pass; beyond it makes three passes that skip the frequent terms.
 MAX_SCORED_PAIRS = 2_000_000_000
+# (query, document) pairs that one task sums up and ranks at a time, about.
+MAX_TASK_PAIRS = 4_000_000
 # A query batch of up to this many tokens names its terms to the scan of the
 # postings; a shortlist of up to so many rows may name its ids to that of documents.
 MAX_PUSHED_TERMS = 256

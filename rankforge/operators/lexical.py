@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.config import (
-    FIELD_BOOSTS, MAX_BROADCAST_ROWS, MAX_PUSHED_TERMS, MAX_SCORED_PAIRS, SCORE_DECIMALS,
+    FIELD_BOOSTS, MAX_BROADCAST_ROWS, MAX_PUSHED_TERMS, MAX_SCORED_PAIRS, MAX_TASK_PAIRS, SCORE_DECIMALS,
     TERM_SPLITS, Bm25Params,
 )
 from rankforge.operators.batch import QueryBatch, prepare_queries, query_terms
@@ -201,14 +201,17 @@ def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,
                    params: Bm25Params = Bm25Params(),
                    should_weight: float = 1.0,
                    max_pairs: int = MAX_SCORED_PAIRS,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                   max_task_pairs: int = MAX_TASK_PAIRS) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the k best documents per query.
 
     Hard filters restrict the documents; soft ones add ``should_weight`` per
     matched clause to the score of documents that match a query term. Up to
     ``max_pairs`` (query term, document) pairs are all scored; beyond that
     :func:`pruned_bm25` finds the same rows. Queries of more than
-    ``max_broadcast_rows`` terms go through :func:`shuffled_bm25`.
+    ``max_broadcast_rows`` terms go through :func:`shuffled_bm25`. The other ways
+    sum up every bucket's pairs in memory: queries with more than
+    ``max_task_pairs`` of these are cut, one pass over the postings for each part.
     """
     boosts = dict(boosts or FIELD_BOOSTS)
     batch = prepare_queries(queries)
@@ -227,16 +230,25 @@ def lexical_search(index, queries: DataFrame | QueryBatch, k: int = 100, *,
     # a document is live in one segment only
     parts = [eligible(s.docs, s.postings) for s in index.segments] or [eligible(index.docs, index.postings)]
     n_docs = index.field_stats.agg(F.max("n_docs")).first()[0] or 0
-    small = batch.n_tokens * len(boosts) <= max_broadcast_rows
-    terms = weighted_terms(query_terms(batch.queries), index.term_stats, index.field_stats, boosts, small)
-    if not small:
-        scored = shuffled_bm25(reduce(DataFrame.unionByName, parts), terms, list(boosts), params)
-    # the count of pairs is only worked out when it can exceed the bound
-    elif batch.n_tokens * len(boosts) * n_docs > max_pairs and (terms.agg(F.sum("df")).first()[0] or 0) > max_pairs:
+    in_bucket = -(-n_docs // (index.buckets or batch.queries.sparkSession.sparkContext.defaultParallelism))
+
+    def weighted(part: QueryBatch, broadcast: bool) -> DataFrame:
+        return weighted_terms(query_terms(part.queries), index.term_stats, index.field_stats, boosts, broadcast)
+
+    def found(scored: DataFrame) -> DataFrame:
+        return top_k(scored, k).select("query_id", "rank", "doc_id", "score")
+
+    def run(part: QueryBatch) -> DataFrame:
+        terms = weighted(part, True)
+        # the count of pairs is only worked out when it can exceed the bound
+        if part.n_tokens * len(boosts) * n_docs > max_pairs and (terms.agg(F.sum("df")).first()[0] or 0) > max_pairs:
+            post = reduce(DataFrame.unionByName, parts)
+            return found(pruned_bm25(post, terms, k, list(boosts), params, should_weight * len(should or ())))
+        wanted = _wanted_terms(part)
+        return found(reduce(DataFrame.unionByName, [
+            bm25(p if wanted is None else p.where(wanted), terms, list(boosts), params) for p in parts]))
+
+    if batch.n_tokens * len(boosts) > max_broadcast_rows:
         post = reduce(DataFrame.unionByName, parts)
-        scored = pruned_bm25(post, terms, k, list(boosts), params, should_weight * len(should or ()))
-    else:
-        wanted = _wanted_terms(batch)
-        scored = reduce(DataFrame.unionByName, [
-            bm25(p if wanted is None else p.where(wanted), terms, list(boosts), params) for p in parts])
-    return top_k(scored, k).select("query_id", "rank", "doc_id", "score")
+        return found(shuffled_bm25(post, weighted(batch, False), list(boosts), params))
+    return batch.chunks(lambda part: part.n_queries * in_bucket, max_task_pairs, run)

@@ -27,3 +27,12 @@ def test_larger_tables_have_more_parts(spark, tmp_path, monkeypatch):
 def test_buckets_stay_small(spark):
     docs = texts(spark, 400, 100_000)  # 440 MB
     assert plans.default_buckets(docs) >= 30
+
+
+def test_queries_are_cut_by_pairs_of_a_bucket(index, asked):
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert index.buckets == 4
+    whole = lexical.lexical_search(index, asked, 3)
+    cut = lexical.lexical_search(index, asked, 3, max_task_pairs=4)
+    assert rows(cut) == rows(whole) and whole.count() > 0
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("Union") >= 1
