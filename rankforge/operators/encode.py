@@ -7,7 +7,7 @@ model; :class:`ArrowEncoder` runs a user's model in Arrow batches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -21,6 +21,9 @@ from rankforge.config import EMBED_DIM
 from rankforge.functions.text import embedding_text, tokens
 
 
+BLOCK_CODES = 1 << 20  # token codes summed up at a time
+
+
 class Encoder(Protocol):
     name: str
     dim: int
@@ -87,16 +90,25 @@ class HashingEncoder:
 
         def make():
             def to_matrix(lists: pa.ListArray) -> np.ndarray:
-                codes = lists.flatten().to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-                bucket = (codes >> 4) % dim
-                sign = np.where((codes & 15) < 8, 1.0, -1.0)
-                sums = np.bincount(row * dim + bucket, weights=sign, minlength=len(lists) * dim)
-                return unit_rows(sums.astype(np.float64).reshape(len(lists), dim))
+                codes, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+                ends = ends - ends[0]
+                sums = np.zeros((len(lists), dim))
+                # so many whole rows at a time as have about a block of codes
+                cuts = np.flatnonzero(np.diff(ends[:-1] // BLOCK_CODES)) + 1 if len(lists) else []
+                for low, high in zip([0, *cuts], [*cuts, len(lists)]):
+                    part = codes[ends[low]:ends[high]]
+                    row = np.repeat(np.arange(high - low), np.diff(ends[low:high + 1]))
+                    sign = np.where(part & 1, 1.0, -1.0)
+                    sums[low:high] = np.bincount(
+                        row * dim + (part >> 1), weights=sign, minlength=(high - low) * dim).reshape(-1, dim)
+                return unit_rows(sums)
 
             return to_matrix
 
-        hashed = df.withColumn("_codes", self.hashed(F.col(text)))
+        # bucket and sign in four bytes
+        code = F.transform(self.hashed(F.col(text)), lambda c: (
+            F.shiftright(c, 4) % dim * 2 + (c.bitwiseAND(F.lit(15)) < 8).cast("int")).cast("int"))
+        hashed = df.withColumn("_codes", code)
         return _arrow_batches(hashed.drop(text), "_codes", out, make)
 
 
@@ -133,10 +145,12 @@ class ArrowEncoder:
         return _arrow_batches(df, text, out, make)
 
 
-def attach_embeddings(docs: DataFrame, encoder: Encoder) -> DataFrame:
-    """Every document with the vector of its embedding text."""
+def attach_embeddings(docs: DataFrame, encoder: Encoder, keep: Sequence[str] | None = None) -> DataFrame:
+    """Every document with the vector of its embedding text. The columns to
+    ``keep``, all by default, go through the encoder's tasks beside it."""
     text = embedding_text(F.col("title"), F.col("features"), F.col("text"))
-    return encoder.encode(docs.withColumn("_embedding_text", text), "_embedding_text")
+    kept = docs.columns if keep is None else keep
+    return encoder.encode(docs.select(*[F.col(f"`{c}`") for c in kept], text.alias("_embedding_text")), "_embedding_text")
 
 
 def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:

@@ -347,8 +347,7 @@ def _flat_vectors(df: DataFrame, key: str) -> DataFrame:
 @query
 def hash_embedding(spark, sf):
     return _flat_vectors(
-        encode.attach_embeddings(tables.documents(spark, sf), tables.ENCODER).select("doc_id", "embedding"),
-        "doc_id",
+        encode.attach_embeddings(tables.documents(spark, sf), tables.ENCODER, keep=["doc_id"]), "doc_id",
     )
 
 

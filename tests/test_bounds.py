@@ -36,3 +36,9 @@ def test_queries_are_cut_by_pairs_of_a_bucket(index, asked):
     cut = lexical.lexical_search(index, asked, 3, max_task_pairs=4)
     assert rows(cut) == rows(whole) and whole.count() > 0
     assert cut._jdf.queryExecution().optimizedPlan().toString().count("Union") >= 1
+
+
+def test_only_kept_columns_meet_the_encoder(spark):
+    made = encode.attach_embeddings(texts(spark, 5), encode.HashingEncoder(dim=8), keep=["doc_id"])
+    assert made.columns == ["doc_id", "embedding"] and made.count() == 5
+    assert len({tuple(r["embedding"]) for r in made.collect()}) == 1
