@@ -6,11 +6,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankforge.config import MAX_BROADCAST_ROWS
 from rankforge.functions.text import tokens
 from rankforge.functions.vectors import l2_normalise
 from rankforge.operators.encode import HashingEncoder
 from rankforge.plans.index import Index, build_index, exists, open_index
-from rankforge.storage import prepared, shared_dir, spread
+from rankforge.storage import materialize, prepared, shared_dir, spread
 
 ENCODER = HashingEncoder(dim=64)
 # Fixed cells that SQL can follow: a vector's cell is its largest component.
@@ -65,11 +66,14 @@ def _containing(spark: SparkSession, sf_dir: str) -> DataFrame:
         queries(spark, sf_dir).withColumn("toks", tokens(F.col("query")))
         .select("query_id", "query", longest["t"].alias("anchor"))
     )
-    docs = spread(read(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text")
-    words = docs.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("anchor"))
-    # texts join the pairs to compare, so that none is copied once per word
-    pairs = words.join(passages.select("query_id", "anchor"), "anchor").select("query_id", "doc_id")
-    texts = pairs.join(docs, "doc_id").join(passages.select("query_id", "query"), "query_id")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spread(docs, "doc_id").select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("anchor"))
+    # texts join the pairs to compare, so that none is copied once per word; the
+    # pairs, a few for each query, go to the texts
+    pairs = materialize(words.join(passages.select("query_id", "anchor"), "anchor").select("query_id", "doc_id"), "anchored")
+    n_pairs = pairs.agg(F.count(F.lit(1))).first()[0]
+    texts = docs.join(F.broadcast(pairs) if n_pairs <= MAX_BROADCAST_ROWS else pairs, "doc_id").join(
+        passages.select("query_id", "query"), "query_id")
     return texts.where(F.contains("text", "query")).select("query_id", "doc_id")
 
 

@@ -42,3 +42,13 @@ def test_only_kept_columns_meet_the_encoder(spark):
     made = encode.attach_embeddings(texts(spark, 5), encode.HashingEncoder(dim=8), keep=["doc_id"])
     assert made.columns == ["doc_id", "embedding"] and made.count() == 5
     assert len({tuple(r["embedding"]) for r in made.collect()}) == 1
+
+
+def test_texts_do_not_move_to_the_passages(spark, tmp_path):
+    spark.createDataFrame([(i, f"alpha unmistakable{i} beta gamma") for i in range(9)], "doc_id bigint, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "alpha unmistakable3 beta"), (2, "no unmistakable4 here")], "item_id bigint, text string") \
+        .write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = tables._containing(spark, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [(1, 3)]
+    assert "hashpartitioning(doc_id" not in found._jdf.queryExecution().executedPlan().toString()
