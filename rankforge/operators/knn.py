@@ -128,6 +128,7 @@ def _search(vectors: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, query_ids, by_cell = shared.value
         best = [_BestK(k) for _ in query_ids]
+        floors = np.full(len(query_ids), -np.inf)  # the k-th scores so far
         doc_kind = None
         for batch in batches:
             doc_kind = batch.schema.field("doc_id").type
@@ -143,13 +144,19 @@ def _search(vectors: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 if not len(rows):
                     continue
                 own, own_ids = docs[chosen], ids[chosen]
+                if not len(own):
+                    continue
                 # a block of scores has a fixed size, however many the queries
                 step = max(1, BLOCK_SCORES // max(len(own), 1))
                 for low in range(0, len(rows), step):
                     part = rows[low:low + step]
-                    scores = np.round(matrix[part] @ own.T, SCORE_DECIMALS)
-                    for i, r in enumerate(part):
-                        best[r].add(scores[i], own_ids)
+                    scores = matrix[part] @ own.T
+                    # most queries have k better ones after a few batches
+                    near = np.flatnonzero(~(scores.max(axis=1) < floors[part] - 10.0 ** -SCORE_DECIMALS))
+                    for i, r in zip(near, part[near]):
+                        best[r].add(np.round(scores[i], SCORE_DECIMALS), own_ids)
+                        if len(best[r].ids) == k:
+                            floors[r] = best[r].scores[-1]
         def rows_of(numbers: list[int]) -> pa.RecordBatch:
             asked = [query_ids[r] for r in numbers for _ in best[r].ids]
             found = np.concatenate([best[r].ids for r in numbers])

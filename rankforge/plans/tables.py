@@ -194,7 +194,7 @@ def nation_accounts(spark: SparkSession, sf_dir: str, table: str, prefix: str) -
     """Customers or suppliers as unit vectors of few dimensions, which cells part well."""
     parts = F.array(F.col(f"{prefix}_acctbal") / 10000, F.col(f"{prefix}_nationkey") / 25.0, F.lit(1.0))
     key = {"c": "c_custkey", "s": "s_suppkey"}[prefix]
-    return read(spark, sf_dir, table).select(F.col(key).alias("key"), l2_normalise(parts).alias("embedding"))
+    return spread(read(spark, sf_dir, table), key).select(F.col(key).alias("key"), l2_normalise(parts).alias("embedding"))
 
 
 def resident_index(spark: SparkSession, sf_dir: str) -> Index:

@@ -52,3 +52,10 @@ def test_texts_do_not_move_to_the_passages(spark, tmp_path):
     found = tables._containing(spark, str(tmp_path))
     assert [tuple(r) for r in found.collect()] == [(1, 3)]
     assert "hashpartitioning(doc_id" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_accounts_are_dealt_to_all_cores(spark, tmp_path):
+    spark.createDataFrame([(i, i % 25, 10.0 * i) for i in range(50)], "c_custkey bigint, c_nationkey int, c_acctbal double") \
+        .coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    made = tables.nation_accounts(spark, str(tmp_path), "customer", "c")
+    assert made.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and made.count() == 50
