@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -21,6 +22,8 @@ WIDTH, LEVELS = 16, 3
 _NODES = sum(WIDTH ** i for i in range(LEVELS))
 _FIRST = [sum(WIDTH ** i for i in range(level)) for level in range(LEVELS)]  # node of each level
 _UNUSED = -60.0
+_PART = 128  # chunks
+_FEW = 4  # blocks of a node, at most, that are summed up one by one
 
 
 @dataclass(frozen=True)
@@ -82,6 +85,7 @@ def initial(params: ModelParams) -> dict[str, np.ndarray]:
             "O": np.zeros((_NODES, d, WIDTH), np.float32), "o": np.zeros((_NODES, WIDTH), np.float32)}
 
 
+@cache
 def _distance(chunk: int) -> tuple[np.ndarray, np.ndarray]:
     """Distance of every position of a chunk to those of its window, and which
     of these lie after it."""
@@ -106,161 +110,198 @@ def chunks(ids: np.ndarray, starts: np.ndarray, code: dict, chunk: int):
     return inputs.reshape(-1, chunk), target.reshape(-1, chunk), first
 
 
-def _attend(p: dict, inputs: np.ndarray):
+def _flat(t: np.ndarray) -> np.ndarray:
+    return t.reshape(-1, t.shape[-1])
+
+
+def _sums(t: np.ndarray) -> np.ndarray:
+    return np.ones(len(t), t.dtype) @ t
+
+
+def _projection(p: dict) -> np.ndarray:
+    """``P`` with the scale of the products in its queries."""
+    d = p["E"].shape[1]
+    return np.hstack([p["P"][:, :d] * p["P"].dtype.type(1 / math.sqrt(d)), p["P"][:, d:]])
+
+
+def _windows(rows: np.ndarray, low: int, d: int) -> np.ndarray:
+    """``d`` columns of the rows of every chunk but the first, after those of
+    the chunk before it; a view."""
+    n, chunk, _ = rows.shape
+    return np.ndarray((n - 1, 2 * chunk, d), rows.dtype, rows, low * rows.itemsize, rows.strides)
+
+
+def _turned(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The windows of ``x @ weights``, columns first: small products are faster
+    on these."""
+    n, chunk, _ = x.shape
+    columns = weights.T @ _flat(x).T
+    step = columns.itemsize
+    return np.ndarray((n - 1, len(columns), 2 * chunk), columns.dtype, columns, 0, (chunk * step, columns.strides[0], step))
+
+
+def _attend(p: dict, projection: np.ndarray, inputs: np.ndarray):
     """State of every position but those of the first chunk, which is context
     only, and what the way back needs."""
     d = p["E"].shape[1]
     chunk = inputs.shape[1]
     distance, later = _distance(chunk)
-    bias = np.where(later, np.float32(_UNUSED), p["R"][distance])
     x = p["E"].take(inputs, axis=0)
-    flat = x.reshape(-1, d)
-    q, k, v = ((flat @ p["P"][:, i * d:(i + 1) * d]).reshape(x.shape) for i in range(3))
-    q = q[1:] * x.dtype.type(1 / math.sqrt(d))
-    keys = k.transpose(0, 2, 1)
-    a = np.empty((len(q), chunk, 2 * chunk), x.dtype)
-    np.matmul(q, keys[:-1], out=a[:, :, :chunk])
-    np.matmul(q, keys[1:], out=a[:, :, chunk:])
-    a += bias
-    np.minimum(a, 60, out=a)  # no overflow; never reached by a trained model
+    qkv = (_flat(x) @ projection).reshape(*inputs.shape, 3 * d)
+    a = qkv[1:, :, :d] @ _turned(projection[:, d:2 * d], x)
+    a += np.where(later, x.dtype.type(_UNUSED), p["R"][distance])
+    if a.max() > 60:  # no overflow; never reached by a trained model
+        np.minimum(a, 60, out=a)
     np.exp(a, out=a)
-    a *= (1 / (a.reshape(-1, 2 * chunk) @ np.ones(2 * chunk, x.dtype))).reshape(len(q), chunk, 1)
-    h = a[:, :, :chunk] @ v[:-1]
-    h += a[:, :, chunk:] @ v[1:]
-    h += x[1:]
-    z = h.reshape(-1, d) @ p["W1"]
-    z += p["b1"]
-    g = (np.maximum(z, 0) @ p["W2"]).reshape(h.shape)
+    share = (1 / (_flat(a) @ np.ones(2 * chunk, x.dtype)))[:, None]
+    h = a @ _windows(qkv, 2 * d, d)
+    mean = _flat(h)
+    mean *= share
+    h = mean + _flat(x)[chunk:]
+    r = h @ p["W1"]
+    r += p["b1"]
+    np.maximum(r, 0, out=r)
+    g = r @ p["W2"]
     g += h
-    return g, (x, q, k, v, a, h, z)
+    return g, (x, qkv, a, share, mean, h, r)
+
+
+def _back(p: dict, projection: np.ndarray, inputs: np.ndarray, kept: tuple, dg: np.ndarray):
+    """Gradients by every input and by the parameters of attention, from those
+    by the states."""
+    x, qkv, a, share, mean, h, r = kept
+    d, chunk = p["E"].shape[1], inputs.shape[1]
+    dz = dg @ p["W2"].T
+    dz *= r > 0
+    dh = dz @ p["W1"].T
+    dh += dg
+    # a has no share yet
+    own = dh * share
+    mean *= own
+    by_window = own.reshape(len(a), chunk, d)
+    ds = by_window @ _turned(projection[:, 2 * d:], x)
+    ds -= (mean @ np.ones(d, x.dtype)).reshape(len(a), chunk, 1)
+    ds *= a
+    d_qkv = np.empty_like(qkv)
+    d_qkv[0, :, :d] = 0
+    np.matmul(ds, _windows(qkv, d, d), out=d_qkv[1:, :, :d])
+    for low, to_window in ((d, ds.transpose(0, 2, 1) @ qkv[1:, :, :d]), (2 * d, a.transpose(0, 2, 1) @ by_window)):
+        d_qkv[0, :, low:low + d] = to_window[0, :chunk]
+        np.add(to_window[1:, :chunk], to_window[:-1, chunk:], out=d_qkv[1:-1, :, low:low + d])
+        d_qkv[-1, :, low:low + d] = to_window[-1, chunk:]
+    d_qkv = _flat(d_qkv)
+    dx = d_qkv @ projection.T
+    dx[chunk:] += dh
+    dp = _flat(x).T @ d_qkv
+    dp[:, :d] *= x.dtype.type(1 / math.sqrt(d))
+    distance, later = _distance(chunk)
+    by_place = _sums(ds.reshape(len(ds), -1)).reshape(later.shape)
+    dr = np.bincount(distance.ravel(), np.where(later, 0, by_place).ravel(), minlength=2 * chunk)
+    return dx, {"P": dp, "R": dr.astype(x.dtype), "W1": h.T @ dz, "b1": _sums(dz), "W2": r.T @ dg}
 
 
 class _Branches:
     """The softmax of every level for some states, whose leaves are known.
 
-    States are sorted by leaf and laid out in blocks of rows of one node, so
-    that a level is one batch of small matrix products, however uneven the
-    nodes are. ``log`` has the log-probabilities of the branches taken, in the
-    sorted order."""
-
-    def __init__(self, p: dict, states: np.ndarray, leaf: np.ndarray, prior: np.ndarray):
-        self.weights, n = p["O"], len(states)
-        self.order = np.argsort(leaf.astype(np.uint16), kind="stable")
-        leaf = leaf.take(self.order)
-        self.states = states.take(self.order, axis=0)
-        self.levels, self.log = [], np.zeros(n)
-        constant, rows, ones = prior + p["o"], np.arange(n), np.ones(WIDTH, states.dtype)
-        for level in range(LEVELS):
-            node = leaf // WIDTH ** (LEVELS - level)
-            branch = leaf // WIDTH ** (LEVELS - level - 1) % WIDTH
-            layout = _Layout(node, n // (2 * WIDTH ** level)) if level else None
-            if layout is None:
-                logits = self.states @ self.weights[0]
-                logits += constant[0]
-            else:
-                spread = layout.spread(self.states)
-                of_block = layout.nodes + _FIRST[level]
-                layout.states, layout.weights = spread, self.weights.take(of_block, axis=0)
-                logits = (spread @ layout.weights).reshape(-1, WIDTH).take(layout.place, axis=0)
-                logits += constant.take(node + _FIRST[level], axis=0)
+    States are sorted by node of the last level and laid out in blocks of rows
+    of one node, with empty rows at the end of a node, so that this level is one
+    batch of small products; those of any other node follow each other. States
+    end in a one, whose weights are the node's constants. ``log`` has the
+    log-probabilities of the leaves."""
+
+    def __init__(self, weights: np.ndarray, states: np.ndarray, leaf: np.ndarray):
+        self.weights, n = weights, len(states)
+        last = WIDTH ** (LEVELS - 1)
+        self.rows = rows = max(8, min(64, n // (2 * last)))
+        node = (leaf // WIDTH).astype(np.uint16)
+        order = np.argsort(node, kind="stable")
+        size = np.bincount(node, minlength=last)
+        blocks = -(-size // rows)
+        high = np.cumsum(blocks)
+        self.begin, self.blocks, self.nodes = high - blocks, blocks, np.repeat(np.arange(last), blocks)
+        at = np.arange(n) + np.repeat(self.begin * rows - np.cumsum(size) + size, size)
+        self.place = np.empty(n, np.int64)
+        self.place[order] = at
+        m = len(self.nodes) * rows
+        source = np.full(m, n)
+        source[self.place] = np.arange(n)
+        ended = np.zeros((n + 1, states.shape[1] + 1), states.dtype)
+        ended[:n, :-1], ended[:n, -1] = states, 1
+        self.states = padded = ended.take(source, axis=0)
+        # (level, node, its first row, the one after its last) of the levels before the last
+        self.parts = []
+        for level in range(LEVELS - 1):
+            ends = (high[last // WIDTH ** level - 1::last // WIDTH ** level] * rows).tolist()
+            self.parts += [(level, _FIRST[level] + i, low, end) for i, (low, end) in enumerate(zip([0, *ends], ends)) if end > low]
+        self.own = weights[_FIRST[-1]:].take(self.nodes, axis=0)
+        logits = np.empty((LEVELS, m, WIDTH), states.dtype)
+        for level, i, low, end in self.parts:
+            np.dot(padded[low:end], weights[i], logits[level, low:end])
+        np.matmul(self._blocks(padded), self.own, out=self._blocks(logits[-1]))
+        if logits.max() > 60 or logits.min() < -80:
             np.clip(logits, -60, 60, out=logits)
-            taken = rows * WIDTH + branch
-            picked = logits.ravel()[taken]
-            np.exp(logits, out=logits)
-            total = logits @ ones
-            self.log += picked - np.log(total)
-            self.levels.append((logits, total, taken, layout))
-
-    def back(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Gradients, by states, weights and constants, of the mean of -log."""
-        n = len(self.states)
+        # of every level and state, the branch that leads to its leaf
+        down = WIDTH ** np.arange(LEVELS - 1, -1, -1)[:, None]
+        self.taken = (np.arange(LEVELS)[:, None] * m + self.place) * WIDTH + leaf // down % WIDTH
+        picked = logits.ravel().take(self.taken)
+        np.exp(logits, out=logits)
+        self.share, self.total = logits, _flat(logits) @ np.ones(WIDTH, states.dtype)
+        total = np.log(self.total).reshape(LEVELS, m).take(self.place, axis=1)
+        self.log = (picked - total).sum(axis=0, dtype=np.float64)
+
+    def _blocks(self, t: np.ndarray) -> np.ndarray:
+        return t.reshape(len(self.nodes), self.rows, t.shape[-1])
+
+    def back(self) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients, by states and weights, of the mean of -log."""
+        n, share = len(self.place), self.share
+        flat = _flat(share)
+        flat *= (1 / (n * self.total))[:, None]
+        flat.ravel()[self.taken] -= share.dtype.type(1 / n)
         by_weight = np.zeros_like(self.weights)
-        by_constant = np.zeros((len(self.weights), WIDTH), self.weights.dtype)
-        by_state = 0
-        for level, (share, total, taken, layout) in enumerate(self.levels):
-            share *= (1 / (n * total))[:, None]
-            share.ravel()[taken] -= share.dtype.type(1 / n)
-            if layout is None:
-                by_weight[0], by_constant[0] = self.states.T @ share, share.sum(axis=0)
-                by_state = share @ self.weights[0].T
-                continue
-            spread = layout.spread(share)
-            own = layout.states.transpose(0, 2, 1) @ spread
-            nodes = layout.nodes[layout.begin] + _FIRST[level]
-            by_weight[nodes] = np.add.reduceat(own.reshape(len(own), -1), layout.begin, axis=0).reshape(-1, *own.shape[1:])
-            by_constant[nodes] = np.add.reduceat(share, layout.cuts, axis=0)
-            by_state += (spread @ layout.weights.transpose(0, 2, 1)).reshape(-1, self.states.shape[1]).take(
-                layout.place, axis=0)
-        out = np.empty_like(by_state)
-        out[self.order] = by_state
-        return out, by_weight, by_constant
-
-
-class _Layout:
-    """Sorted rows in blocks of one node: node of each block, first row and
-    first block of each node, place of each row."""
-
-    def __init__(self, node: np.ndarray, rows: int):
-        self.rows = max(8, min(64, rows))
-        change = np.empty(len(node), bool)
-        change[:1], change[1:] = True, node[1:] != node[:-1]
-        self.cuts = np.flatnonzero(change)
-        size = np.diff(np.append(self.cuts, len(node)))
-        blocks = -(-size // self.rows)
-        self.begin = np.cumsum(blocks) - blocks
-        self.place = np.arange(len(node)) + np.repeat(self.begin * self.rows - self.cuts, size)
-        self.nodes = np.repeat(node[self.cuts], blocks)
-
-    def spread(self, values: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self.nodes) * self.rows, values.shape[1]), values.dtype)
-        out[self.place] = values
-        return out.reshape(-1, self.rows, values.shape[1])
+        turned = np.ascontiguousarray(self.weights[:, :-1].transpose(0, 2, 1))
+        last = self._blocks(share[-1])
+        by_state = _flat(last @ turned[_FIRST[-1]:].take(self.nodes, axis=0))
+        for level, i, low, end in self.parts:
+            now = share[level, low:end]
+            np.dot(self.states[low:end].T, now, by_weight[i])
+            by_state[low:end] += now @ turned[i]
+        few = self.blocks <= _FEW
+        for node in np.flatnonzero(~few):
+            rows = slice(self.begin[node] * self.rows, (self.begin[node] + self.blocks[node]) * self.rows)
+            np.dot(self.states[rows].T, share[-1, rows], by_weight[_FIRST[-1] + node])
+        by_block = self._blocks(self.states).transpose(0, 2, 1) @ last
+        for number in range(_FEW):
+            nodes = np.flatnonzero(few & (self.blocks > number))
+            by_weight[_FIRST[-1] + nodes] += by_block[self.begin[nodes] + number]
+        return by_state.take(self.place, axis=0), by_weight
+
+
+def _weighted(p: dict, prior: np.ndarray) -> np.ndarray:
+    """Weights of the branches, with the constants of each node as a last row."""
+    return np.concatenate([p["O"], (prior + p["o"])[:, None]], axis=1)
 
 
 def gradients(p: dict, inputs: np.ndarray, target: np.ndarray, code: dict) -> tuple[dict[str, np.ndarray], int]:
     """Of the mean loss over the ids that ``target`` names after the first
     chunk, and their number."""
-    d, chunk = p["E"].shape[1], inputs.shape[1]
-    g, (x, q, k, v, a, h, z) = _attend(p, inputs)
     wanted = target[1:].ravel()
     real = np.flatnonzero(wanted >= 0)
     if not len(real):
         return {}, 0
-    dg = np.zeros((wanted.size, d), g.dtype)
-    flat = lambda t: t.reshape(-1, t.shape[-1])
+    projection = _projection(p)
+    states, kept = _attend(p, projection, inputs)
     leaf = code["leaf"].take(wanted[real])
-    dg[real], do, constants = _Branches(p, flat(g).take(real, axis=0), leaf, code["prior"]).back()
-    r = np.maximum(z, 0)
-    dz = dg @ p["W2"].T
-    dz *= r > 0
-    dh = (dg + dz @ p["W1"].T).reshape(h.shape)
-    ds = np.empty_like(a)
-    np.matmul(dh, v[:-1].transpose(0, 2, 1), out=ds[:, :, :chunk])
-    np.matmul(dh, v[1:].transpose(0, 2, 1), out=ds[:, :, chunk:])
-    ds *= a
-    ds -= a * (flat(ds) @ np.ones(2 * chunk, x.dtype)).reshape(len(a), chunk, 1)
-    dq, dk, dv = (np.zeros_like(x) for _ in range(3))
-    dq[1:] = ds[:, :, :chunk] @ k[:-1]
-    dq[1:] += ds[:, :, chunk:] @ k[1:]
-    dq *= x.dtype.type(1 / math.sqrt(d))
-    to_keys = ds.transpose(0, 2, 1) @ q
-    dk[:-1] = to_keys[:, :chunk]
-    dk[1:] += to_keys[:, chunk:]
-    to_values = a.transpose(0, 2, 1) @ dh
-    dv[:-1] = to_values[:, :chunk]
-    dv[1:] += to_values[:, chunk:]
-    dp = [flat(t) for t in (dq, dk, dv)]
-    dx = sum(t @ p["P"][:, i * d:(i + 1) * d].T for i, t in enumerate(dp)).reshape(x.shape)
-    dx[1:] += dh
+    dg = np.zeros_like(states)
+    dg[real], do = _Branches(_weighted(p, code["prior"]), states.take(real, axis=0), leaf).back()
+    dx, found = _back(p, projection, inputs, kept, dg)
+    found |= {"O": np.ascontiguousarray(do[:, :-1]), "o": np.ascontiguousarray(do[:, -1])}
     order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
     by_input = inputs.ravel().take(order)
     cuts = np.flatnonzero(np.append(True, by_input[1:] != by_input[:-1]))
-    de = np.zeros_like(p["E"])
-    de[by_input[cuts]] = np.add.reduceat(flat(dx).take(order, axis=0), cuts)
-    distance, later = _distance(chunk)
-    dr = np.bincount(distance.ravel(), np.where(later, 0, ds.sum(axis=0)).ravel(), minlength=2 * chunk)
-    return {"E": de, "P": np.hstack([flat(x).T @ t for t in dp]), "R": dr.astype(x.dtype), "W1": flat(h).T @ dz, "b1": dz.sum(axis=0),
-            "W2": r.T @ dg, "O": do, "o": constants}, len(real)
+    found["E"] = np.zeros_like(p["E"])
+    found["E"][by_input[cuts]] = np.add.reduceat(dx.take(order, axis=0), cuts)
+    return found, len(real)
 
 
 class Trainer:
@@ -285,28 +326,33 @@ class Trainer:
             for name, g in found.items():
                 squares = self.state[f"{name}+"]
                 squares += g * g
-                self.state[name] -= self.params.rate * g / np.sqrt(squares)
+                step = np.sqrt(squares)
+                np.divide(g, step, out=step)
+                step *= self.params.rate
+                self.state[name] -= step
 
 
 def weights_of(state: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {k: v for k, v in state.items() if not k.endswith("+")}
 
 
-def score(p: dict, ids: np.ndarray, starts: np.ndarray, code: dict, params: ModelParams, step: int = 256) -> np.ndarray:
+def score(p: dict, ids: np.ndarray, starts: np.ndarray, code: dict, params: ModelParams, step: int = 1024) -> np.ndarray:
     """Natural log-probability of every text, from the ids of all."""
     inputs, target, first = chunks(ids, starts, code, params.chunk)
     own = np.zeros(len(inputs))
+    weights, projection = _weighted(p, code["prior"]), _projection(p)
     # the chunk that stands for what lies before a text names no ids
     for low in range(1, len(inputs), step):
         high = min(low + step, len(inputs))
-        g, _ = _attend(p, inputs[low - 1:high])
         wanted = target[low:high].ravel()
         real = np.flatnonzero(wanted >= 0)
         if not len(real):
             continue
-        found = _Branches(p, g.reshape(-1, params.dim).take(real, axis=0), code["leaf"].take(wanted[real]), code["prior"])
+        # attention in parts whose arrays a core's cache holds
+        states = np.concatenate([
+            _attend(p, projection, inputs[at - 1:min(at + _PART, high)])[0] for at in range(low, high, _PART)])
+        found = _Branches(weights, states.take(real, axis=0), code["leaf"].take(wanted[real]))
         value = np.zeros(len(wanted))
-        value[real[found.order]] = found.log
-        value[real] += code["in_leaf"][wanted[real]]
+        value[real] = found.log + code["in_leaf"][wanted[real]]
         own[low:high] = value.reshape(-1, params.chunk).sum(axis=1)
     return np.add.reduceat(own, first[:-1])

@@ -160,24 +160,62 @@ def _summed(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(apply, "piece int, tokens bigint, values array<double>")
 
 
+def _code_type(params: LmParams) -> str:
+    return "<u2" if params.end_id < 1 << 16 else "<u4"
+
+
+def _packed(ids: np.ndarray, starts: np.ndarray, params: LmParams) -> pa.Array:
+    """The ids of every text as the bytes of fixed-size numbers."""
+    data = ids.astype(_code_type(params))
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [
+        None, pa.py_buffer((starts * data.itemsize).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _unpacked(column: pa.Array, params: LmParams) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after another, and where they start, with the end."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(_code_type(params))
+    return data, (offsets - offsets[0]) // data.itemsize
+
+
+def _round(params: LmParams) -> Column:
+    """The round of training that a document belongs to."""
+    return F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(params.rounds)).cast("int")
+
+
+def subword_rows(docs: DataFrame, params: LmParams) -> DataFrame:
+    """``(round, ids)`` of every document."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = None
+        for block in blocks(batches, max_bytes=4 << 20):
+            encoder = encoder or Encoder(params.vocabulary)
+            found = subwords(lower_words(text_array(block.column(1))), encoder, params.end_id)
+            yield pa.RecordBatch.from_arrays([block.column(0), _packed(*found, params)], names=["round", "ids"])
+
+    texts = docs.select(_round(params).alias("round"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInArrow(apply, "round int, ids binary")
+
+
 def fit(docs: DataFrame, counts: np.ndarray, params: LmParams = LmParams()) -> tuple[dict, dict]:
     """(coding, parameters) from all training rows ``docs`` and their subword
-    counts. Without rows the parameters are the untrained ones."""
+    counts. Rows have ``doc_id`` and ``text``, or ``round`` and ``ids`` where
+    texts are encoded already. Without rows the parameters are the untrained ones."""
     spark = docs.sparkSession
+    encoded = docs if "ids" in docs.columns else materialize(subword_rows(docs, params), "subwords")
     code = attention.coding(counts, params.model)
     state = Trainer.start(params.model)
     names, shapes = list(state), [v.shape for v in state.values()]
     cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for number in range(params.rounds):
         shared = spark.sparkContext.broadcast((code, state))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             code, state = shared.value
-            encoder, trainer = None, Trainer(state, params.model)
-            for block in blocks(batches, max_bytes=1 << 20):
-                encoder = encoder or Encoder(params.vocabulary)
-                ids, starts = subwords(lower_words(text_array(block.column(0))), encoder, params.end_id)
+            trainer = Trainer(state, params.model)
+            for block in blocks(batches, "ids", max_bytes=2 << 20):
+                ids, starts = _unpacked(block.column(0), params)
                 trainer.learn(*attention.chunks(ids, starts, code, params.model.chunk)[:2], code)
             if trainer.tokens:
                 flat = np.concatenate([trainer.state[k].ravel() for k in names]).astype(np.float32)
@@ -188,7 +226,7 @@ def fit(docs: DataFrame, counts: np.ndarray, params: LmParams = LmParams()) -> t
                      pa.array(np.full(n, trainer.tokens)), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat))],
                     names=["piece", "task", "tokens", "values"])
 
-        own = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(params.rounds)) == number).select("text")
+        own = encoded.where(F.col("round") == number).select("ids")
         rows = _summed(own.mapInArrow(learn, "piece int, task int, tokens bigint, values array<float>")).collect()
         if rows:  # as many parameters as one task has
             flat = np.concatenate([np.array(r["values"]) / r["tokens"] for r in sorted(rows, key=lambda r: r["piece"])])
@@ -206,29 +244,29 @@ def score_documents(docs: DataFrame, learnable: Column, params: LmParams = LmPar
     counts as empty: its only token is the end. Repeated rows count and appear
     as often as they come. Without training rows all counts are 0 and the model
     is the untrained one; no rows give none. Other columns are not read.
+    Texts are taken apart twice: for the counts, and into the ids that training
+    and scoring read.
     """
     spark = docs.sparkSession
     train = docs.where(learnable).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = materialize(word_counts(train), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    code, weights = fit(train, subword_counts(counts, params), params)
     smooth, below = params.smoothing, total + params.smoothing * (distinct + 1)
-    shared = spark.sparkContext.broadcast((code, weights, frequent_words(counts, params)))
+    frequent = spark.sparkContext.broadcast(frequent_words(counts, params))
     end_count = counts.where(F.col("word") == END_WORD).select("c").first()
     end_known, end_c = int(end_count is not None), end_count[0] if end_count else 0
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         number = TaskContext.get().partitionId() << 40
-        names = ["row", "doc_id", "word", "n", "n_tokens", "n_known", "base", "score"]
+        names = ["row", "doc_id", "round", "word", "n", "n_tokens", "n_known", "base", "ids"]
         for block in blocks(batches, max_bytes=4 << 20):
-            code, weights, known = shared.value
+            known = frequent.value
             encoder = encoder or Encoder(params.vocabulary)
-            texts = text_array(block.column(1))
+            texts = text_array(block.column(2))
             m = len(texts)
             starts, codes, words = lower_words(texts)
-            ids, bounds = subwords((starts, codes, words), encoder, params.end_id)
-            score = attention.score(weights, ids, bounds, code, params.model) / np.log(10)
+            ids = _packed(*subwords((starts, codes, words), encoder, params.end_id), params)
             counted = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
             common = counted >= 0
             log = np.log10((np.maximum(counted, 0) + smooth) / below)
@@ -240,26 +278,38 @@ def score_documents(docs: DataFrame, learnable: Column, params: LmParams = LmPar
             rows = number + np.arange(m)
             number += m
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), block.column(0), pa.nulls(m, pa.string()), pa.array(np.zeros(m, np.int64)),
-                 pa.array(np.diff(starts) + 1), pa.array(n_known), pa.array(base), pa.array(score)], names=names)
+                [pa.array(rows), block.column(0), block.column(1), pa.nulls(m, pa.string()), pa.array(np.zeros(m, np.int64)),
+                 pa.array(np.diff(starts) + 1), pa.array(n_known), pa.array(base), ids], names=names)
             # the other words of each text, to be looked up by a join
             pairs, n = np.unique(owner[~is_common] * max(len(words), 1) + codes[~is_common], return_counts=True)
             if len(pairs):
                 k = len(pairs)
                 word = pa.array(words, pa.string()).take(pa.array(pairs % len(words)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[pairs // len(words)]), pa.nulls(k, pa.int64()), word, pa.array(n.astype(np.int64)),
-                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()),
-                     pa.nulls(k, pa.float64())], names=names)
-
-    schema = "row bigint, doc_id bigint, word string, n bigint, n_tokens bigint, n_known bigint, base double, score double"
-    found = materialize(docs.select(
-        F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))).mapInArrow(apply, schema), "scores")
-    rare = found.where("word is not null").select("row", "word", "n").join(counts, "word", "left")
+                    [pa.array(rows[pairs // len(words)]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), word,
+                     pa.array(n.astype(np.int64)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+                     pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary())], names=names)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, weights = shared.value
+        for block in blocks(batches, "ids", max_bytes=2 << 20):
+            found = attention.score(weights, *_unpacked(block.column(5), params), code, params.model) / np.log(10)
+            yield pa.RecordBatch.from_arrays(
+                [*block.columns[:5], pa.array(found)], names=["row", "doc_id", "n_tokens", "n_known", "base", "score"])
+
+    encoded = materialize(docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.when(learnable, _round(params)).alias("round"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(
+        apply, "row bigint, doc_id bigint, round int, word string, n bigint, n_tokens bigint, n_known bigint, "
+               "base double, ids binary"), "subwords")
+    shared = spark.sparkContext.broadcast(fit(encoded, subword_counts(counts, params), params))
+    rows = materialize(
+        encoded.where("ids is not null").select("row", "doc_id", "n_tokens", "n_known", "base", "ids").mapInArrow(
+            score, "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double"), "scores")
+    rare = encoded.where("word is not null").select("row", "word", "n").join(counts, "word", "left")
     rare = rare.groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + smooth) / below)).alias("more_base"))
-    rows = found.where("word is null").select("row", "doc_id", "n_tokens", "n_known", "base", "score")
     return rows.join(rare, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),

@@ -644,6 +644,60 @@ def test_gradients_match_differences():
             assert gradients[name][place] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-5), name
 
 
+def test_gradients_of_frequent_and_rare_branches():
+    params = lm.LmParams(model=attention.ModelParams(dim=6, hidden=5, inputs=40, chunk=4))
+    rng = np.random.default_rng(6)
+    # a word that fills many blocks of its node, and some that fill a part of one
+    ids, starts, _, code = coded(["the " * 90 + "one of these words " * 3 + "ends here"], params)
+    p = random_weights(params.model)
+    leaf, states = code["leaf"].take(ids), rng.normal(size=(len(ids), 6))
+    found = attention._Branches(attention._weighted(p, code["prior"]), states, leaf)
+    by_state, by_weight = found.back()
+    assert found.blocks.max() > attention._FEW > found.blocks[found.blocks > 0].min()
+    log, plain_states, plain = np.zeros(len(ids)), np.zeros_like(states), np.zeros_like(by_weight)
+    for t, (state, own) in enumerate(zip(states, leaf.tolist())):
+        node = 0
+        for level in range(3):
+            branch = own // 16 ** (2 - level) % 16
+            logits = state @ p["O"][node] + p["o"][node] + code["prior"][node]
+            share = np.exp(logits) / np.exp(logits).sum()
+            log[t] += np.log(share[branch])
+            share[branch] -= 1
+            plain_states[t] += p["O"][node] @ share / len(ids)
+            plain[node] += np.outer(np.append(state, 1), share) / len(ids)
+            node = node * 16 + branch + 1
+    assert found.log == pytest.approx(log)
+    assert by_state == pytest.approx(plain_states) and by_weight == pytest.approx(plain)
+
+
+def test_stored_ids_come_back():
+    import pyarrow as pa
+
+    for params in (lm.LmParams(), lm.LmParams(end_id=70_000)):
+        ids = np.array([5, 65_535 if params.end_id < 1 << 16 else 66_000, params.end_id, params.end_id, 1, params.end_id])
+        starts = np.array([0, 3, 4, 6])
+        column = pa.array(lm._packed(ids, starts, params))
+        for low, high in ((0, 3), (1, 3), (2, 3), (0, 1)):
+            found, bounds = lm._unpacked(column.slice(low, high - low), params)
+            assert found.tolist() == ids[starts[low]:starts[high]].tolist()
+            assert bounds.tolist() == (starts[low:high + 1] - starts[low]).tolist()
+
+
+def test_training_reads_stored_ids(spark):
+    params = lm.LmParams(model=attention.ModelParams(dim=4, hidden=5, inputs=100))
+    texts = [None, "", *(f"text {i} of the words {'to learn from ' * (i % 5)}" for i in range(30))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    ids, starts, counts, _ = coded([t or "" for t in texts], params)
+    rows = lm.subword_rows(docs, params).collect()
+    assert [np.frombuffer(r["ids"], "<u2").tolist() for r in rows] == [
+        ids[low:high].tolist() for low, high in zip(starts, starts[1:])]
+    assert {r["round"] for r in rows} == {0, 1}
+    stored = spark.createDataFrame(rows, "round int, ids binary").coalesce(1)
+    from_ids, from_texts = (lm.fit(x, counts, params)[1] for x in (stored, docs))
+    for name, value in from_texts.items():
+        assert from_ids[name] == pytest.approx(value), name
+
+
 def test_training_learns_from_the_context():
     params = lm.LmParams(model=attention.ModelParams(dim=8, hidden=8, inputs=50, batch=8))
     ids, starts, counts, code = coded(["red fox then blue owl then " * 60, "blue owl then red fox then " * 60], params)
